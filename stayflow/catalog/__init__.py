@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
 from stayflow.session import apply_runtime_conf
 from stayflow.sources.testmap import with_roles
@@ -37,6 +37,9 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
             cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+        elif isinstance(f.dataType, TimestampType):
+            # session-zone timestamps leave as wall-clock (naive) values, as DuckDB's TIMESTAMP
+            cols.append(F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -1 +1,308 @@
-"""Registered queries (mlq)."""
+"""Registered queries: model preparation and models (survey section 2.9).
+
+All run on the feature table of the test roles (see :mod:`stayflow.catalog.features`).
+Preparation steps have SQL oracles; fitted tree models and regularised linear
+models are checked on rows only (their exact values depend on the learner).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayflow.catalog import query
+from stayflow.catalog.features import FEATURE_SQL, _feature_table
+from stayflow.functions.codes import FLAG_COLUMNS
+from stayflow.plans import enhanced as X
+from stayflow.plans import mlprep as P
+from stayflow.plans import models as M
+from stayflow.sources import testmap as tm
+
+_OV = tm.TEST_ORDER_VITALS
+_VCOLS = [f"{n}_{s}" for n in _OV for s in ("avg", "min", "max", "std", "count")]
+# Column types of the feature table of the test roles (the oracle reports Spark's names).
+FEATURE_TYPES = ({"ICUSTAY_ID": "bigint", "FIRST_CAREUNIT": "string", "LOS": "double", "ADMISSION_TYPE": "string",
+                  "INSURANCE": "string", "GENDER": "string", "EXPIRE_FLAG": "int"}
+                 | {c: "int" for c in FLAG_COLUMNS} | {"total_diagnoses": "bigint"}
+                 | {c: ("bigint" if c.endswith("_count") else "double") for c in _VCOLS}
+                 | {"age_at_admission": "double"})
+BASELINE_FEATURES = (P.BASELINE_DEMOGRAPHIC + P.BASELINE_ADMIN + FLAG_COLUMNS + ["total_diagnoses"] + _VCOLS)
+
+
+@query("missing_profile", dbl="missing_percentage", sql=f"""
+WITH ft AS ({FEATURE_SQL}),
+m AS (SELECT count(*) AS n, {', '.join(f'CAST(count_if("{c}" IS NULL) AS BIGINT) AS "{c}"' for c in FEATURE_TYPES)}
+      FROM ft)
+SELECT u."column", u.missing_count, u.missing_count * 100.0 / m.n AS missing_percentage, t.data_type
+FROM (UNPIVOT (SELECT * EXCLUDE (n) FROM m) ON COLUMNS(*) INTO NAME "column" VALUE missing_count) u,
+     m, (VALUES {', '.join(f"('{c}', '{t}')" for c, t in FEATURE_TYPES.items())}) t("column", data_type)
+WHERE t."column" = u."column" """)
+def missing_profile(spark, d):
+    return P.missing_profile(_feature_table(spark, d))
+
+
+@query("target_clean_fixed", dbl="LOS", sql=f"""
+SELECT ICUSTAY_ID, LOS FROM ({FEATURE_SQL}) WHERE LOS IS NOT NULL AND LOS > 0 AND LOS <= 30""")
+def target_clean_fixed(spark, d):
+    return P.target_clean_fixed(_feature_table(spark, d)).select("ICUSTAY_ID", "LOS")
+
+
+@query("target_clean_report", sql=f"""
+SELECT count(*) AS input_rows, CAST(count_if(NOT coalesce(LOS IS NOT NULL AND LOS > 0, false)) AS BIGINT)
+       AS invalid_removed, CAST(count_if(LOS > 0 AND LOS > 30) AS BIGINT) AS outliers_removed,
+       CAST(count_if(LOS > 0 AND LOS <= 30) AS BIGINT) AS kept_rows
+FROM ({FEATURE_SQL})""")
+def target_clean_report(spark, d):
+    return P.target_clean_report(_feature_table(spark, d))
+
+
+@query("target_clean_iqr", dbl="value", sql="""
+WITH v AS (SELECT event_id, value FROM events WHERE value IS NOT NULL AND value > 0),
+q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM v)
+SELECT event_id, value FROM v, q WHERE value <= q3 + 2.0 * (q3 - q1)""")
+def target_clean_iqr(spark, d):
+    """IQR rule (k = 2) on the event values playing the target."""
+    return P.target_clean_iqr(tm.read(spark, d, "events").select("event_id", "value"), "value", 2.0)
+
+
+def _impute_sql() -> tuple[str, list[str]]:
+    roles_cat = [c for c in BASELINE_FEATURES if FEATURE_TYPES[c] == "string" or c.startswith("has_")]
+    cols, dbl = [], []
+    for c in BASELINE_FEATURES:
+        if c in roles_cat:
+            mode = (f"(SELECT \"{c}\" FROM ft WHERE \"{c}\" IS NOT NULL GROUP BY \"{c}\" "
+                    f"ORDER BY count(*) DESC, \"{c}\" LIMIT 1)")
+            cols.append(f"coalesce(\"{c}\", {mode}) AS \"{c}\"")
+        elif "count" in c:
+            cols.append(f"coalesce(\"{c}\", 0) AS \"{c}\"")
+        else:
+            cols.append(f"CAST(coalesce(\"{c}\", (SELECT quantile_cont(\"{c}\", 0.5) FROM ft)) AS DOUBLE) AS \"{c}\"")
+            dbl.append(c)
+    return f"WITH ft AS ({FEATURE_SQL}) SELECT ICUSTAY_ID, {', '.join(cols)} FROM ft", dbl
+
+
+_IMPUTE_SQL, _IMPUTE_DBL = _impute_sql()
+
+
+def _imputed(spark, d):
+    ft = _feature_table(spark, d)
+    roles = P.column_roles(ft, BASELINE_FEATURES)
+    return P.impute_features(ft, roles, numeric_as_double=True).select("ICUSTAY_ID", *BASELINE_FEATURES)
+
+
+@query("impute_features", dbl=_IMPUTE_DBL, sql=_IMPUTE_SQL)
+def impute_features(spark, d):
+    """Mode for categorical, 0 for counts, median for the other numeric features."""
+    return _imputed(spark, d)
+
+
+# The order-priority and market-segment domains of the test tables.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("one_hot", sql="SELECT ICUSTAY_ID, " + ", ".join(
+    [f"CASE WHEN FIRST_CAREUNIT = '{v}' THEN 1 ELSE 0 END AS \"FIRST_CAREUNIT_{v}\"" for v in PRIORITIES]
+    + [f"CASE WHEN GENDER = '{v}' THEN 1 ELSE 0 END AS \"GENDER_{v}\"" for v in SEGMENTS])
+    + f" FROM ({FEATURE_SQL})")
+def one_hot(spark, d):
+    ft = _feature_table(spark, d).select("ICUSTAY_ID", "FIRST_CAREUNIT", "GENDER")
+    return P.one_hot(ft, ["FIRST_CAREUNIT", "GENDER"])
+
+
+@query("train_test_split", sql=f"""
+SELECT ICUSTAY_ID, CASE WHEN ((ICUSTAY_ID * {P.SPLIT_MULTIPLIER}) % {P.SPLIT_MODULUS}) % 100 < 20
+                        THEN 'test' ELSE 'train' END AS split
+FROM ({FEATURE_SQL})""")
+def train_test_split(spark, d):
+    return P.with_split(_feature_table(spark, d).select("ICUSTAY_ID"))
+
+
+_SCALE_COLS = ["LOS", "age_at_admission", "total_diagnoses"]
+
+
+@query("standard_scale", dbl=_SCALE_COLS, sql=f"""
+WITH ft AS ({FEATURE_SQL})
+SELECT ICUSTAY_ID, {', '.join(f'(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}'
+                              for c in _SCALE_COLS)}
+FROM ft""")
+def standard_scale(spark, d):
+    ft = _feature_table(spark, d).select("ICUSTAY_ID", *_SCALE_COLS)
+    return P.standard_scale(ft, _SCALE_COLS)
+
+
+@query("robust_scale", dbl=_SCALE_COLS, sql=f"""
+WITH ft AS ({FEATURE_SQL}),
+q AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS {c}_m, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_r'
+                        for c in _SCALE_COLS)} FROM ft)
+SELECT ICUSTAY_ID, {', '.join(f'(CAST({c} AS DOUBLE) - q.{c}_m) / q.{c}_r AS {c}' for c in _SCALE_COLS)}
+FROM ft, q""")
+def robust_scale(spark, d):
+    ft = _feature_table(spark, d).select("ICUSTAY_ID", *_SCALE_COLS)
+    return P.robust_scale(ft, _SCALE_COLS)
+
+
+# ------------------------------------------------------------------ models
+
+_CLEAN_SQL = f"SELECT * FROM ({FEATURE_SQL}) WHERE LOS IS NOT NULL AND LOS > 0 AND LOS <= 30"
+
+
+def _ols_one(spark, d):
+    df = P.target_clean_fixed(_feature_table(spark, d)).select(
+        "ICUSTAY_ID", "LOS", F.col("total_diagnoses").cast("double").alias("x"))
+    est = M.make_estimator({"kind": "linear"}, "LOS", "features")
+    model = est.fit(M.assemble(df, ["x"]))
+    return df, model
+
+
+@query("linear_regression", dbl="coefficient intercept", sql=f"""
+SELECT regr_slope(LOS, total_diagnoses) AS coefficient, regr_intercept(LOS, total_diagnoses) AS intercept
+FROM ({_CLEAN_SQL})""")
+def linear_regression(spark, d):
+    """Ordinary least squares of LOS on the diagnosis count (one feature: closed form in SQL)."""
+    _df, model = _ols_one(spark, d)
+    row = [(float(model.coefficients[0]), float(model.intercept))]
+    return spark.createDataFrame(row, "coefficient double, intercept double")
+
+
+@query("regression_metrics", dbl="rmse mae r2 mape", sql=f"""
+WITH c AS ({_CLEAN_SQL}), f AS (SELECT regr_slope(LOS, total_diagnoses) AS b, regr_intercept(LOS, total_diagnoses)
+                                   AS a FROM c),
+p AS (SELECT LOS, a + b * total_diagnoses AS prediction FROM c, f)
+SELECT sqrt(avg((LOS - prediction) * (LOS - prediction))) AS rmse, avg(abs(LOS - prediction)) AS mae,
+       1 - sum((LOS - prediction) * (LOS - prediction)) / (var_pop(LOS) * count(LOS)) AS r2,
+       avg(abs((LOS - prediction) / LOS)) * 100 AS mape
+FROM p""")
+def regression_metrics(spark, d):
+    """RMSE, MAE, R², MAPE of the one-feature OLS predictions (one aggregate)."""
+    df, model = _ols_one(spark, d)
+    return M.regression_metrics(model.transform(M.assemble(df, ["x"])), "LOS")
+
+
+def _prepared(spark, d):
+    """Baseline preparation: clean target, impute, one-hot, split column."""
+    ft = P.target_clean_fixed(_feature_table(spark, d)).select("ICUSTAY_ID", "LOS", *BASELINE_FEATURES)
+    roles = P.column_roles(ft, BASELINE_FEATURES)
+    imp = P.impute_features(ft, roles, numeric_as_double=True)
+    enc = P.one_hot(imp, roles.encode)
+    feats = [c for c in enc.columns if c not in ("ICUSTAY_ID", "LOS")]
+    return P.with_split(enc), feats
+
+
+def _linear_family(spark, d, kind, **kw):
+    data, feats = _prepared(spark, d)
+    train = data.filter(F.col("split") == "train")
+    n, s = M._label_stats(train, "LOS")
+    stats = P.scaling_stats(train, feats)
+    z = M.assemble(P.apply_scaling(train, stats), feats)
+    model = M.make_estimator({"kind": kind, **kw}, "LOS", "features", n, s).fit(z)
+    rows = [(f, float(c)) for f, c in zip(feats, model.coefficients.toArray())] + [("(intercept)", float(model.intercept))]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@query("ridge_regression")
+def ridge_regression(spark, d):
+    """Ridge (alpha 1.0) coefficients on z-scored features (rows-only check)."""
+    return _linear_family(spark, d, "ridge", alpha=1.0)
+
+
+@query("lasso_regression")
+def lasso_regression(spark, d):
+    return _linear_family(spark, d, "lasso", alpha=0.1)
+
+
+@query("elastic_net")
+def elastic_net(spark, d):
+    return _linear_family(spark, d, "elastic_net", alpha=0.1, l1_ratio=0.5)
+
+
+def _holdout(spark, d, models):
+    data, feats = _prepared(spark, d)
+    data = data.persist()
+    res, fitted = M.fit_evaluate(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"),
+                                 models, feats)
+    return res, fitted, feats
+
+
+@query("random_forest")
+def random_forest(spark, d):
+    """100-tree forest, hold-out metrics."""
+    res, _, _ = _holdout(spark, d, {"Random Forest": M.BASELINE_MODELS["Random Forest"]})
+    return res
+
+
+@query("gradient_boosting")
+def gradient_boosting(spark, d):
+    """100 boosting rounds, depth 3, hold-out metrics."""
+    res, _, _ = _holdout(spark, d, {"Gradient Boosting": M.BASELINE_MODELS["Gradient Boosting"]})
+    return res
+
+
+@query("los_baseline_models")
+def los_baseline_models(spark, d):
+    """Clean -> impute -> encode -> split -> linear, forest, boosting -> hold-out metrics, ranked."""
+    res, _, _ = _holdout(spark, d, M.BASELINE_MODELS)
+    return M.rank_models(res)
+
+
+@query("rank_models")
+def rank_models(spark, d):
+    res, _, _ = _holdout(spark, d, {"Linear Regression": M.BASELINE_MODELS["Linear Regression"],
+                                    "Random Forest": M.BASELINE_MODELS["Random Forest"]})
+    return M.rank_models(res)
+
+
+@query("feature_importance")
+def feature_importance(spark, d):
+    """Top 15 forest importances with feature names."""
+    _, fitted, feats = _holdout(spark, d, {"Random Forest": M.BASELINE_MODELS["Random Forest"]})
+    return M.feature_importance(spark, fitted["Random Forest"], feats, 15)
+
+
+@query("kfold_cv")
+def kfold_cv(spark, d):
+    """5-fold CV (folds from a key hash) of the baseline models: mean and population std."""
+    data, feats = _prepared(spark, d)
+    data = P.with_fold(data, "ICUSTAY_ID", 5).persist()
+    return M.kfold_cv(data, M.BASELINE_MODELS, feats, "LOS", "fold", 5)
+
+
+def _enhanced_prepared(spark, d):
+    ft = X.create_enhanced_features(_feature_table(spark, d))
+    ft = P.target_clean_iqr(ft, "LOS", 2.0)
+    # outcome-derived columns are known only after the stay (leakage, defect D8): not features
+    feats = [c for c in ft.columns if c not in P.ENHANCED_EXCLUDE + P.LEAKAGE_COLUMNS]
+    ft = ft.select("ICUSTAY_ID", "LOS", *feats)
+    roles = P.column_roles(ft, feats, enhanced=True)
+    imp = P.impute_features(ft, roles, numeric_as_double=True)
+    enc = P.one_hot(imp, roles.encode, drop_first=True)
+    out_feats = [c for c in enc.columns if c not in ("ICUSTAY_ID", "LOS")]
+    return P.with_split(enc), out_feats
+
+
+@query("feature_family")
+def feature_family(spark, d):
+    """Family of every enhanced feature, with its missing share (from the missing profile)."""
+    ft = X.create_enhanced_features(_feature_table(spark, d))
+    prof = P.missing_profile(ft).withColumnRenamed("column", "feature")
+    return M.feature_family(prof)
+
+
+@query("los_enhanced_models")
+def los_enhanced_models(spark, d):
+    """Enhanced features -> IQR clean -> impute -> encode (drop first) -> split -> 7 models."""
+    data, feats = _enhanced_prepared(spark, d)
+    data = data.persist()
+    res, _ = M.fit_evaluate(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"),
+                            M.ENHANCED_MODELS, feats)
+    return M.rank_models(res)
+
+
+@query("compare_pipelines")
+def compare_pipelines(spark, d):
+    """Best baseline model vs best enhanced model, improvement % (rows-only check)."""
+    base, _, _ = _holdout(spark, d, M.BASELINE_MODELS)
+    data, feats = _enhanced_prepared(spark, d)
+    data = data.persist()
+    enh, _ = M.fit_evaluate(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"),
+                            M.ENHANCED_MODELS, feats)
+    return M.compare_pipelines(base, enh)

@@ -1 +1,234 @@
-"""Registered queries (sourcesq)."""
+"""Registered queries: scans, sinks, layouts and constraint checks (survey 2.1, 2.2).
+
+File operators are checked by a round trip: a role table is written to a fresh
+folder under the shared ``spark.checkpoint.dir`` and read back; the read-back frame
+is the query result, compared with the source in SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayflow.catalog import query
+from stayflow.catalog.features import BASE_SQL
+from stayflow.operators import quality as Q
+from stayflow.plans.stays import base_stay_features
+from stayflow.sources import io
+from stayflow.sources import testmap as tm
+from stayflow.sources.schemas import schema_of, table_spec
+
+TS_WRITE = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _icustays_csv_frame(spark, d):
+    """The ICUSTAYS role in the declared column order and types (+ ROW_ID)."""
+    s = tm.icustays(spark, d)
+    ward = F.substring("FIRST_CAREUNIT", 1, 1).cast("smallint")
+    return s.select(
+        (F.col("ICUSTAY_ID") + 1).cast("int").alias("ROW_ID"), F.col("SUBJECT_ID").cast("int").alias("SUBJECT_ID"),
+        F.col("HADM_ID").cast("int").alias("HADM_ID"), F.col("ICUSTAY_ID").cast("int").alias("ICUSTAY_ID"),
+        "DBSOURCE", "FIRST_CAREUNIT", "LAST_CAREUNIT", ward.alias("FIRST_WARDID"), ward.alias("LAST_WARDID"),
+        "INTIME", "OUTTIME", "LOS")
+
+
+ICUSTAYS_SQL = """
+SELECT CAST(SUBJECT_ID AS INTEGER) AS SUBJECT_ID, CAST(HADM_ID AS INTEGER) AS HADM_ID,
+       CAST(ICUSTAY_ID AS INTEGER) AS ICUSTAY_ID, DBSOURCE, FIRST_CAREUNIT, LAST_CAREUNIT,
+       CAST(substr(FIRST_CAREUNIT, 1, 1) AS SMALLINT) AS FIRST_WARDID,
+       CAST(substr(FIRST_CAREUNIT, 1, 1) AS SMALLINT) AS LAST_WARDID, INTIME, OUTTIME, LOS
+FROM r_icustays"""
+
+
+@query("csv_scan", dbl="LOS", sql=ICUSTAYS_SQL)
+def csv_scan(spark, d):
+    """ICUSTAYS written as ICUSTAYS.csv (header) and loaded with the declared schema; ROW_ID dropped."""
+    folder = io.scratch_path(spark, "csv_scan")
+    (_icustays_csv_frame(spark, d).write.mode("overwrite").option("header", True)
+     .option("timestampFormat", TS_WRITE).option("timestampNTZFormat", TS_WRITE).csv(f"{folder}/ICUSTAYS.csv"))
+    return io.load_csv_table(spark, folder, "icustays")
+
+
+@query("csv_scan_sampled_infer", dbl="c_acctbal", sql="""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def csv_scan_sampled_infer(spark, d):
+    """Schema inferred on a 10 % sample of the CSV rows (types cast back to the source's)."""
+    folder = io.scratch_path(spark, "csv_infer")
+    tm.read(spark, d, "customer").write.mode("overwrite").option("header", True).csv(folder)
+    df = io.load_csv_sampled_infer(spark, folder, 0.1)
+    return df.select(F.col("c_custkey").cast("long"), F.col("c_name").cast("string"),
+                     F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("double"),
+                     F.col("c_mktsegment").cast("string"))
+
+
+@query("typed_event_scan", dbl="VALUENUM", sql="""
+SELECT CAST(event_id AS INTEGER) AS ROW_ID, CAST(user_id AS INTEGER) AS SUBJECT_ID,
+       CAST(user_id AS INTEGER) AS ICUSTAY_ID, event_type AS ITEMID, ts AS CHARTTIME, value AS VALUENUM
+FROM events""")
+def typed_event_scan(spark, d):
+    """Events written as CHARTEVENTS-shaped CSV and read with the declared schema plus a
+    per-column override (ITEMID holds text here)."""
+    e = tm.read(spark, d, "events")
+    schema = schema_of("CHARTEVENTS")
+    cols = []
+    for f in schema.fields:
+        src = {"ROW_ID": "event_id", "SUBJECT_ID": "user_id", "ICUSTAY_ID": "user_id", "ITEMID": "event_type",
+               "CHARTTIME": "ts", "VALUENUM": "value"}.get(f.name)
+        cols.append((F.col(src) if src else F.lit(None)).cast("string" if f.name == "ITEMID" else
+                                                               f.dataType.simpleString()).alias(f.name))
+    folder = io.scratch_path(spark, "typed_scan")
+    (e.select(*cols).write.mode("overwrite").option("header", True).option("timestampFormat", TS_WRITE)
+     .option("timestampNTZFormat", TS_WRITE).csv(folder))
+    df = (spark.read.schema(io.typed_event_scan(spark, folder, schema, {"ITEMID": "string"}).schema)
+          .option("header", True).option("timestampFormat", TS_WRITE).csv(folder))
+    return df.select("ROW_ID", "SUBJECT_ID", "ICUSTAY_ID", "ITEMID", "CHARTTIME", "VALUENUM")
+
+
+@query("sql_view_scan", dbl="AGE TOTAL_LOS REMAINING_LOS", sql=BASE_SQL.format(w=24))
+def sql_view_scan(spark, d):
+    """Role tables registered as temp views; the base-feature SQL text runs over them."""
+    views = {"icustays": tm.icustays(spark, d), "patients": tm.patients(spark, d),
+             "admissions": tm.admissions(spark, d)}
+    return io.sql_view_scan(spark, views, """
+    SELECT i.ICUSTAY_ID, i.SUBJECT_ID, i.HADM_ID, p.GENDER,
+           CAST(DATEDIFF(CAST(a.ADMITTIME AS DATE), CAST(p.DOB AS DATE)) AS DOUBLE) / 365.25 AS AGE,
+           a.ADMISSION_TYPE, i.FIRST_CAREUNIT, i.LOS AS TOTAL_LOS,
+           CASE WHEN i.LOS IS NULL THEN NULL ELSE GREATEST(i.LOS - (24 / 24.0D), 0D) END AS REMAINING_LOS,
+           a.HOSPITAL_EXPIRE_FLAG, hour(a.ADMITTIME) AS ADMISSION_HOUR,
+           CASE WHEN LOWER(a.ADMISSION_TYPE) LIKE '%urgent%' THEN 1 ELSE 0 END AS IS_EMERGENCY,
+           CASE WHEN i.FIRST_CAREUNIT = i.LAST_CAREUNIT THEN 1 ELSE 0 END AS SAME_UNIT_STAY
+    FROM icustays i JOIN patients p ON i.SUBJECT_ID = p.SUBJECT_ID JOIN admissions a ON i.HADM_ID = a.HADM_ID
+    WHERE i.LOS IS NOT NULL AND i.LOS > 0""")
+
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@query("load_manifest", sql="\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _TABLES))
+def load_manifest(spark, d):
+    return io.load_manifest({t: tm.read(spark, d, t) for t in _TABLES})
+
+
+def _base(spark, d):
+    return base_stay_features(tm.icustays(spark, d), tm.patients(spark, d), tm.admissions(spark, d), 24,
+                              emergency_pattern="%urgent%")
+
+
+@query("csv_sink", dbl="AGE TOTAL_LOS REMAINING_LOS", sql=BASE_SQL.format(w=24))
+def csv_sink(spark, d):
+    """Base features saved as CSV with header (overwrite) and read back with their schema."""
+    df = _base(spark, d)
+    folder = io.scratch_path(spark, "csv_sink")
+    io.csv_sink(df, folder)
+    return io.read_csv_back(spark, folder, df.schema)
+
+
+@query("sample_sink", dbl="AGE TOTAL_LOS REMAINING_LOS", sql=f"""
+SELECT * FROM ({BASE_SQL.format(w=24)}) ORDER BY ICUSTAY_ID LIMIT 1000""")
+def sample_sink(spark, d):
+    """First 1,000 rows by key written next to the full output, read back."""
+    df = _base(spark, d)
+    folder = io.scratch_path(spark, "features")
+    paths = io.save_features(df, folder, sample_rows=1000)
+    return io.read_csv_back(spark, paths["sample"], df.schema)
+
+
+@query("parquet_sink", dbl="AGE TOTAL_LOS REMAINING_LOS", sql=BASE_SQL.format(w=24))
+def parquet_sink(spark, d):
+    folder = io.scratch_path(spark, "parquet_sink")
+    io.parquet_sink(_base(spark, d), folder)
+    return spark.read.parquet(folder)
+
+
+def _bucket_sql(col: str, ranges, closed: bool) -> str:
+    conds = " ".join(f"WHEN {col} >= {lo} AND {col} {'<=' if closed else '<'} {hi} THEN '{n}'"
+                     for n, lo, hi in ranges)
+    return f"CASE {conds} ELSE 'other' END"
+
+
+@query("range_partitioned_layout", sql=f"""
+SELECT 'chart_items' AS layout, {_bucket_sql('ITEMID', io.CHART_ITEM_RANGES, False)} AS bucket,
+       count(*) AS rows, min(ITEMID) AS min_key, max(ITEMID) AS max_key
+FROM r_labevents GROUP BY 2
+UNION ALL
+SELECT 'lab_years', {_bucket_sql('year(CHARTTIME)', io.LAB_YEAR_RANGES, True)}, count(*),
+       min(CAST(year(CHARTTIME) AS BIGINT)), max(CAST(year(CHARTTIME) AS BIGINT))
+FROM r_labevents GROUP BY 2""")
+def range_partitioned_layout(spark, d):
+    """Events written partitioned by item-id range and by year range, read back per
+    bucket (partition column from the folder names)."""
+    lab = tm.labevents(spark, d)
+    a = io.scratch_path(spark, "layout_items")
+    io.write_range_layout(lab, a, io.range_bucket(F.col("ITEMID"), io.CHART_ITEM_RANGES))
+    b = io.scratch_path(spark, "layout_years")
+    io.write_range_layout(lab.withColumn("YEAR", F.year("CHARTTIME").cast("long")), b,
+                          io.range_bucket(F.year("CHARTTIME"), io.LAB_YEAR_RANGES, closed_high=True))
+    items = (io.read_range_layout(spark, a).groupBy("bucket")
+             .agg(F.count(F.lit(1)).alias("rows"), F.min("ITEMID").alias("min_key"), F.max("ITEMID").alias("max_key"))
+             .select(F.lit("chart_items").alias("layout"), "bucket", "rows", "min_key", "max_key"))
+    years = (io.read_range_layout(spark, b).groupBy("bucket")
+             .agg(F.count(F.lit(1)).alias("rows"), F.min("YEAR").alias("min_key"), F.max("YEAR").alias("max_key"))
+             .select(F.lit("lab_years").alias("layout"), "bucket", "rows", "min_key", "max_key"))
+    return items.unionByName(years)
+
+
+# ------------------------------------------------------------------ 2.2 constraint checks
+
+
+@query("pk_violations", sql="""
+SELECT HADM_ID, SEQ_NUM, count(*) AS count FROM r_diagnoses_icd GROUP BY HADM_ID, SEQ_NUM HAVING count(*) > 1""")
+def pk_violations(spark, d):
+    """(admission, sequence number) is not unique in the diagnosis role."""
+    return Q.pk_violations(tm.diagnoses_icd(spark, d), ["HADM_ID", "SEQ_NUM"])
+
+
+@query("fk_orphans", sql="""
+SELECT d.HADM_ID, d.SEQ_NUM, d.ICD9_CODE FROM r_diagnoses_icd d
+WHERE d.HADM_ID IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM r_admissions a WHERE a.HADM_ID = d.HADM_ID AND a.HOSPITAL_EXPIRE_FLAG = 1)""")
+def fk_orphans(spark, d):
+    """Diagnoses whose admission is missing from a filtered parent (status 'F' orders)."""
+    parent = tm.admissions(spark, d).filter(F.col("HOSPITAL_EXPIRE_FLAG") == 1)
+    return Q.fk_orphans(tm.diagnoses_icd(spark, d), parent, "HADM_ID")
+
+
+def _nn_cols(table: str, present: list[str]) -> list[str]:
+    return [c for c in table_spec(table).not_null_columns() if c in present]
+
+
+_NN = {
+    "ICUSTAYS": ("r_icustays", ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "DBSOURCE", "FIRST_CAREUNIT",
+                                "LAST_CAREUNIT", "INTIME", "OUTTIME", "LOS"]),
+    "ADMISSIONS": ("r_admissions", ["SUBJECT_ID", "HADM_ID", "ADMITTIME", "DISCHTIME", "ADMISSION_TYPE",
+                                    "INSURANCE", "MARITAL_STATUS", "HOSPITAL_EXPIRE_FLAG"]),
+    "PATIENTS": ("r_patients", ["SUBJECT_ID", "GENDER", "DOB", "EXPIRE_FLAG"]),
+    "DIAGNOSES_ICD": ("r_diagnoses_icd", ["HADM_ID", "SEQ_NUM", "ICD9_CODE"]),
+}
+
+
+@query("not_null_violations", sql="\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM {v}"
+    for t, (v, cols) in _NN.items() for c in _nn_cols(t, cols)))
+def not_null_violations(spark, d):
+    """Null count of every declared NOT NULL column of each role table."""
+    frames = {"ICUSTAYS": tm.icustays(spark, d), "ADMISSIONS": tm.admissions(spark, d),
+              "PATIENTS": tm.patients(spark, d), "DIAGNOSES_ICD": tm.diagnoses_icd(spark, d)}
+    out = None
+    for t, df in frames.items():
+        part = Q.not_null_violations(df, _nn_cols(t, _NN[t][1])).select(F.lit(t).alias("table"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("join_row_audit", sql="""
+SELECT 0 AS step, 'icustays' AS stage, count(*) AS rows FROM r_icustays
+UNION ALL SELECT 1, 'joined_admissions', count(*) FROM r_icustays s LEFT JOIN r_admissions a
+  ON s.SUBJECT_ID = a.SUBJECT_ID AND s.HADM_ID = a.HADM_ID
+UNION ALL SELECT 2, 'joined_patients', count(*) FROM r_icustays s LEFT JOIN r_admissions a
+  ON s.SUBJECT_ID = a.SUBJECT_ID AND s.HADM_ID = a.HADM_ID LEFT JOIN r_patients p ON s.SUBJECT_ID = p.SUBJECT_ID""")
+def join_row_audit(spark, d):
+    from stayflow.operators.relational import join_patient, join_stay_admission
+    s = tm.icustays(spark, d)
+    sa = join_stay_admission(s, tm.admissions(spark, d))
+    return Q.join_row_audit({"icustays": s, "joined_admissions": sa,
+                             "joined_patients": join_patient(sa, tm.patients(spark, d))})

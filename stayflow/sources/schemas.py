@@ -26,11 +26,19 @@ class TableSpec:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    def _fields(self) -> list[tuple[str, str, bool]]:
+        # (name, type, nullable) read from the DDL text (no session needed)
+        out = []
+        for part in self.ddl.split(","):
+            words = part.split()
+            out.append((words[0], words[1], not part.upper().rstrip().endswith("NOT NULL")))
+        return out
+
     def columns(self) -> list[str]:
-        return [f.name for f in self.schema().fields]
+        return [n for n, _, _ in self._fields()]
 
     def not_null_columns(self) -> list[str]:
-        return [f.name for f in self.schema().fields if not f.nullable]
+        return [n for n, _, nullable in self._fields() if not nullable]
 
 
 def _fk(cols, parent, parent_cols=None):

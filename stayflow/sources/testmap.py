@@ -17,6 +17,7 @@ the tables.
 | CHARTEVENTS   | events                   | stay = user, item = event type                  |
 | event stays   | events                   | INTIME = first event of the user                |
 | LABEVENTS     | lineitem                 | item = part, time = ship date, value = quantity |
+| order events  | lineitem                 | chart events of the order stays, item = flag    |
 | D_ITEMS       | part                     | item = part, DBSOURCE = part type               |
 | age pairs     | lineitem x orders        | ADMITTIME = ship date, DOB = order date         |
 """
@@ -32,6 +33,9 @@ TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
 # Fixed values of the test mapping: which event types play the vital signs.
 TEST_VITALS = {"heart_rate": ["click"], "respiratory_rate": ["view"], "spo2": ["purchase"]}
 TEST_HEART_RATE_ITEMS = ["click", "error"]
+# Line items play chart events of the order-keyed stays: the return flag is the item.
+TEST_ORDER_VITALS = {"heart_rate": ["A"], "respiratory_rate": ["N"], "spo2": ["R"]}
+TEST_ORDER_HEART_RATE_ITEMS = ["A", "N"]
 # Lab window on the lineitem role: 180 days after the order date.
 TEST_LAB_WINDOW_HOURS = 180 * 24
 # Keyword classes on the part names that play diagnosis titles (first match wins);
@@ -171,12 +175,13 @@ def d_items(spark, sf_dir) -> DataFrame:
                     F.col("p_type").alias("DBSOURCE"))
 
 
-def item_events(spark, sf_dir) -> DataFrame:
-    """Line items as item-coded events of a stay (ITEMID joins D_ITEMS)."""
+def order_events(spark, sf_dir) -> DataFrame:
+    """Line items as chart events of the order-keyed stays (item = return flag)."""
     li = read(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("ICUSTAY_ID"),
-        F.col("l_partkey").alias("ITEMID"),
+        F.col("l_orderkey").alias("HADM_ID"),
+        F.col("l_returnflag").alias("ITEMID"),
         F.col("l_shipdate").alias("CHARTTIME"),
         F.col("l_quantity").alias("VALUENUM"),
     )
@@ -194,7 +199,7 @@ ROLES = {
     "patients": patients, "icustays": icustays, "admissions": admissions,
     "diagnoses_icd": diagnoses_icd, "d_icd_diagnoses": d_icd_diagnoses,
     "chartevents": chartevents, "event_stays": event_stays, "labevents": labevents,
-    "d_items": d_items, "item_events": item_events, "age_pairs": age_pairs,
+    "d_items": d_items, "order_events": order_events, "age_pairs": age_pairs,
 }
 
 
@@ -246,8 +251,9 @@ ROLE_SQL: dict[str, str] = {
         SELECT l_orderkey AS HADM_ID, l_partkey AS ITEMID, l_shipdate AS CHARTTIME, l_quantity AS VALUENUM
         FROM lineitem""",
     "r_d_items": "SELECT p_partkey AS ITEMID, p_name AS LABEL, p_type AS DBSOURCE FROM part",
-    "r_item_events": """
-        SELECT l_orderkey AS ICUSTAY_ID, l_partkey AS ITEMID, l_shipdate AS CHARTTIME, l_quantity AS VALUENUM
+    "r_order_events": """
+        SELECT l_orderkey AS ICUSTAY_ID, l_orderkey AS HADM_ID, l_returnflag AS ITEMID, l_shipdate AS CHARTTIME,
+               l_quantity AS VALUENUM
         FROM lineitem""",
     "r_age_pairs": """
         SELECT l_orderkey AS HADM_ID, l_linenumber AS SEQ_NUM, l_shipdate AS ADMITTIME, o_orderdate AS DOB
