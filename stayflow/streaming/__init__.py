@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+The reference reads its event tables (chart events, labs) only as bounded sets: it
+has no ``readStream``, watermark, event-time window or stateful operator, so none is
+provided here.  The windowed event statistics in :mod:`stayflow.plans.vitals` are
+plain DataFrame plans and run unchanged on a bounded read of an event table.
+"""
