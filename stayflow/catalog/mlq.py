@@ -15,6 +15,7 @@ from stayflow.functions.codes import FLAG_COLUMNS
 from stayflow.plans import enhanced as X
 from stayflow.plans import mlprep as P
 from stayflow.plans import models as M
+from stayflow.session import materialize
 from stayflow.sources import testmap as tm
 
 _OV = tm.TEST_ORDER_VITALS
@@ -180,7 +181,9 @@ def regression_metrics(spark, d):
 
 def _prepared(spark, d):
     """Baseline preparation: clean target, impute, one-hot, split column."""
-    ft = P.target_clean_fixed(_feature_table(spark, d)).select("ICUSTAY_ID", "LOS", *BASELINE_FEATURES)
+    # several actions (imputation values, levels, scaling stats, fits) read this table:
+    # cut its lineage once instead of recomputing the joins for each
+    ft = materialize(P.target_clean_fixed(_feature_table(spark, d)).select("ICUSTAY_ID", "LOS", *BASELINE_FEATURES))
     roles = P.column_roles(ft, BASELINE_FEATURES)
     imp = P.impute_features(ft, roles, numeric_as_double=True)
     enc = P.one_hot(imp, roles.encode)
@@ -289,7 +292,7 @@ def kfold_cv(spark, d):
 
 
 def _enhanced_prepared(spark, d):
-    ft = X.create_enhanced_features(_feature_table(spark, d))
+    ft = materialize(X.create_enhanced_features(materialize(_feature_table(spark, d))))
     ft = P.target_clean_iqr(ft, "LOS", 2.0)
     # outcome-derived columns are known only after the stay (leakage, defect D8): not features
     feats = [c for c in ft.columns if c not in P.ENHANCED_EXCLUDE + P.LEAKAGE_COLUMNS]

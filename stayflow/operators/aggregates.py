@@ -152,8 +152,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5
                     names: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Exact (interpolated) quantiles, as pandas ``quantile``/``median``."""
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    aggs = [F.percentile(F.col(col), p).alias(n) for p, n in zip(probs, names)]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    if by:
+        # per group: Spark's exact percentile (a value map per group, bounded by its distinct values)
+        return df.groupBy(*by).agg(*[F.percentile(F.col(col), p).alias(n) for p, n in zip(probs, names)])
+    from stayflow.operators.quantiles import exact_percentiles
+    q = exact_percentiles(df, [(col, p) for p in probs])
+    row = [tuple(q[(col, float(p))] for p in probs)]
+    return df.sparkSession.createDataFrame(row, ", ".join(f"`{n}` double" for n in names))
 
 
 def mode_value(df: DataFrame, col: str, alias: str = "mode", by: Sequence[str] = ()) -> DataFrame:

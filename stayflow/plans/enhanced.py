@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.operators.quantiles import exact_percentiles
+
 # Enhanced age bins (right-closed) and labels.
 AGE_BINS = [0, 18, 35, 50, 65, 80, 120]
 AGE_LABELS = ["pediatric", "young_adult", "adult", "middle_aged", "elderly", "very_elderly"]
@@ -120,12 +122,11 @@ def enh_data_density(df: DataFrame, vitals: Sequence[str] = VITALS) -> DataFrame
     present = [p for p in vitals if f"{p}_count" in df.columns]
     if not present:
         return df
-    stats = df.agg(*[F.percentile(F.col(f"{p}_count"), 0.5).alias(f"{p}__med") for p in present],
-                   *[F.percentile(F.col(f"{p}_count"), 0.25).alias(f"{p}__q1") for p in present]).first()
+    stats = exact_percentiles(df, [(f"{p}_count", q) for p in present for q in (0.5, 0.25)])
     cols = []
     for p in present:
         c = F.col(f"{p}_count")
-        med, q1 = stats[f"{p}__med"], stats[f"{p}__q1"]
+        med, q1 = stats[(f"{p}_count", 0.5)], stats[(f"{p}_count", 0.25)]
         cols.append(_flag(c > F.lit(med)).alias(f"{p}_data_rich") if med is not None else F.lit(0).alias(f"{p}_data_rich"))
         cols.append(_flag(c < F.lit(q1)).alias(f"{p}_sparse_data") if q1 is not None else F.lit(0).alias(f"{p}_sparse_data"))
     return df.select("*", *cols)

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from stayflow.operators.quantiles import exact_percentiles
+
 VITAL_MARKERS = ("heart_rate", "respiratory_rate", "spo2")
 # Feature groups of the baseline model step.
 BASELINE_DEMOGRAPHIC = ["GENDER", "age_at_admission"]
@@ -64,11 +66,11 @@ def target_clean_report(df: DataFrame, target: str = "LOS", threshold: float = 3
 def iqr_threshold(df: DataFrame, target: str = "LOS", k: float = 2.0) -> float | None:
     """Q3 + k * (Q3 - Q1) of the valid targets (exact, interpolated quantiles)."""
     t = F.col(target)
-    row = df.filter(t.isNotNull() & (t > 0)).agg(F.percentile(t, 0.25).alias("q1"),
-                                                 F.percentile(t, 0.75).alias("q3")).first()
-    if row["q1"] is None:
+    q = exact_percentiles(df.filter(t.isNotNull() & (t > 0)), [(target, 0.25), (target, 0.75)])
+    q1, q3 = q[(target, 0.25)], q[(target, 0.75)]
+    if q1 is None:
         return None
-    return row["q3"] + k * (row["q3"] - row["q1"])
+    return q3 + k * (q3 - q1)
 
 
 def target_clean_iqr(df: DataFrame, target: str = "LOS", k: float = 2.0) -> DataFrame:
@@ -122,11 +124,12 @@ def imputation_values(df: DataFrame, roles: ColumnRoles) -> dict:
                  F.mode(F.col(_q(c)), deterministic=True).alias(f"v__c{i}")]
     for i, c in enumerate(roles.numeric):
         aggs.append(F.count_if(F.col(_q(c)).isNull()).alias(f"n__n{i}"))
-        if "count" not in c:
-            aggs.append(F.percentile(F.col(_q(c)).cast("double"), 0.5).alias(f"v__n{i}"))
     if not aggs:
         return {}
     row = df.agg(*aggs).first()
+    # medians only for the numeric columns that have gaps
+    need = [c for i, c in enumerate(roles.numeric) if row[f"n__n{i}"] and "count" not in c]
+    medians = exact_percentiles(df, [(c, 0.5) for c in need])
     fills = {}
     for i, c in enumerate(roles.categorical):
         if row[f"n__c{i}"]:
@@ -134,7 +137,7 @@ def imputation_values(df: DataFrame, roles: ColumnRoles) -> dict:
             fills[c] = "Unknown" if v is None else v
     for i, c in enumerate(roles.numeric):
         if row[f"n__n{i}"]:
-            fills[c] = 0 if "count" in c else row[f"v__n{i}"]
+            fills[c] = 0 if "count" in c else medians[(c, 0.5)]
     return fills
 
 
@@ -213,23 +216,22 @@ def with_fold(df: DataFrame, key: str = "ICUSTAY_ID", k: int = 5, out: str = "fo
 
 
 def scaling_stats(df: DataFrame, columns: Sequence[str], robust: bool = False) -> dict[str, tuple[float, float]]:
-    """(center, scale) per column from one aggregate: (mean, population std) or
-    (median, Q3 - Q1)."""
+    """(center, scale) per column: (mean, population std) from one aggregate, or
+    (median, Q3 - Q1) from the distributed exact quantiles."""
+    out = {}
+    if robust:
+        q = exact_percentiles(df, [(c, p) for c in columns for p in (0.25, 0.5, 0.75)])
+        for c in columns:
+            q1, med, q3 = q[(c, 0.25)], q[(c, 0.5)], q[(c, 0.75)]
+            out[c] = (med, (q3 - q1) if q3 is not None else None)
+        return out
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(_q(c)).cast("double")
-        if robust:
-            aggs += [F.percentile(x, 0.5).alias(f"a{i}"), F.percentile(x, 0.75).alias(f"q3{i}"),
-                     F.percentile(x, 0.25).alias(f"q1{i}")]
-        else:
-            aggs += [F.avg(x).alias(f"a{i}"), F.stddev_pop(x).alias(f"s{i}")]
+        aggs += [F.avg(x).alias(f"a{i}"), F.stddev_pop(x).alias(f"s{i}")]
     row = df.agg(*aggs).first()
-    out = {}
     for i, c in enumerate(columns):
-        center = row[f"a{i}"]
-        scale = (row[f"q3{i}"] - row[f"q1{i}"]) if robust and row[f"q3{i}"] is not None else (
-            None if robust else row[f"s{i}"])
-        out[c] = (center, scale)
+        out[c] = (row[f"a{i}"], row[f"s{i}"])
     return out
 
 

@@ -42,11 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     runs (tests, bench) without the setting get a fresh scratch directory.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc_dir = spark.sparkContext.getCheckpointDir()
+    if current and not sc_dir:
+        spark.sparkContext.setCheckpointDir(current)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc_dir
     if not current:
         current = tempfile.mkdtemp(prefix="stayflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     return current
 
@@ -69,3 +71,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into ``spark.checkpoint.dir`` (the shared
+    folder on a cluster) when several actions will read the same expensive plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
