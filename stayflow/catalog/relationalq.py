@@ -181,10 +181,7 @@ FROM r_icustays s JOIN r_labevents l ON l.HADM_ID = s.HADM_ID
 WHERE l.CHARTTIME BETWEEN s.INTIME AND s.INTIME + to_hours({tm.TEST_LAB_WINDOW_HOURS})""")
 def join_interval(spark, d):
     s = tm.icustays(spark, d).select("ICUSTAY_ID", "HADM_ID", "INTIME")
-    lab = tm.labevents(spark, d)
-    j = lab.join(s, "HADM_ID", "inner").filter(
-        (F.col("CHARTTIME") >= F.col("INTIME")) & (F.col("CHARTTIME") <= plus_hours(F.col("INTIME"),
-                                                                                   tm.TEST_LAB_WINDOW_HOURS)))
+    j = R.interval_join(tm.labevents(spark, d), s, "HADM_ID", "CHARTTIME", "INTIME", tm.TEST_LAB_WINDOW_HOURS)
     return j.select("ICUSTAY_ID", "ITEMID", "CHARTTIME", "VALUENUM")
 
 

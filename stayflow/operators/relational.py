@@ -187,3 +187,25 @@ def join_feature_blocks(base: DataFrame, blocks: Sequence[DataFrame], key: str =
     for b in blocks:
         out = out.join(b, key, "left")
     return out
+
+
+def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str, start_col: str,
+                  window_hours: float) -> DataFrame:
+    """Events joined to every stay with the same ``key`` whose window
+    ``[start, start + window_hours]`` (hour-exact, both ends inclusive) holds the event.
+
+    A bucketed range join: the time axis is cut into buckets of the window width;
+    an event carries its one bucket, a stay is exploded into the (at most two)
+    buckets its window spans, and the equi-join runs on (key, bucket) before the
+    exact window filter.  An event therefore only meets stays whose window overlaps
+    its bucket -- not every stay of a key with many stays -- and each matching pair
+    is produced exactly once.
+    """
+    width = max(1, int(round(window_hours * 3600)))
+    ev = events.withColumn("_bucket", F.floor(F.unix_timestamp(F.col(time_col)) / F.lit(width)))
+    end = F.unix_timestamp(F.col(start_col)) + F.lit(width)
+    first = F.floor(F.unix_timestamp(F.col(start_col)) / F.lit(width))
+    st = stays.withColumn("_bucket", F.explode(F.sequence(first, F.floor(end / F.lit(width)))))
+    joined = ev.join(st, [key, "_bucket"], "inner").drop("_bucket")
+    t, s = F.col(time_col), F.col(start_col)
+    return joined.filter((t >= s) & (t <= s + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(width))))

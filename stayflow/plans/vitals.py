@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.timefn import hours_between, plus_hours
+from stayflow.operators.relational import interval_join
 
 # Vital signs and their item ids in the reference notebook.
 CLINICAL_VITALS: dict[str, list[int]] = {"heart_rate": [211], "respiratory_rate": [618], "spo2": [646]}
@@ -156,8 +157,13 @@ def interval_window_stats(events: DataFrame, base: DataFrame, stays: DataFrame,
     st = (base.select(stay_col).join(stays.select(stay_col, join_key, intime_col) if join_key != stay_col
                                      else stays.select(stay_col, intime_col), stay_col, "inner"))
     st = st.select(stay_col, F.col(join_key).alias("_k"), F.col(intime_col).alias("_in"))
-    joined = ev.join(st, "_k", "inner").filter(
-        (F.col("_t") >= F.col("_in")) & (F.col("_t") <= plus_hours(F.col("_in"), window_hours)))
+    if join_key == stay_col:
+        # one stay per key: a plain equi-join plus the window filter
+        joined = ev.join(st, "_k", "inner").filter(
+            (F.col("_t") >= F.col("_in")) & (F.col("_t") <= plus_hours(F.col("_in"), window_hours)))
+    else:
+        # several stays per admission: bucketed range join (no all-pairs within an admission)
+        joined = interval_join(ev, st, "_k", "_t", "_in", window_hours)
     agg_fns = {"avg": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count}
     per_stay = joined.groupBy(stay_col).agg(*[agg_fns[fn](F.col("_v")).alias(alias) for alias, fn in stats.items()])
     return base.join(per_stay, stay_col, "left")

@@ -52,3 +52,23 @@ def test_one_pass_equals_per_vital_joins(spark):
     a = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in one.select(cols).collect())
     b = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in multi.select(cols).collect())
     assert a == b
+
+
+def test_bucketed_interval_join_equals_naive(spark):
+    import datetime as dt
+
+    from stayflow.functions.timefn import plus_hours
+    base = dt.datetime(2150, 1, 1)
+    stays = spark.createDataFrame(
+        [(s, 1, base + dt.timedelta(hours=h)) for s, h in [(1, 0), (2, 23), (3, 30.5), (4, 100)]]
+        + [(5, 2, base)], "ICUSTAY_ID int, HADM_ID int, INTIME timestamp")
+    events = spark.createDataFrame(
+        [(1, base + dt.timedelta(minutes=m), float(m)) for m in range(0, 150 * 60, 37)]
+        + [(2, base + dt.timedelta(hours=24), 1.0), (3, base, 2.0)],
+        "HADM_ID int, CHARTTIME timestamp, VALUENUM double")
+    fast = R.interval_join(events, stays, "HADM_ID", "CHARTTIME", "INTIME", 24)
+    naive = events.join(stays, "HADM_ID").filter(
+        (F.col("CHARTTIME") >= F.col("INTIME")) & (F.col("CHARTTIME") <= plus_hours(F.col("INTIME"), 24)))
+    cols = ["ICUSTAY_ID", "CHARTTIME", "VALUENUM"]
+    assert sorted(fast.select(cols).collect()) == sorted(naive.select(cols).collect())
+    assert fast.count() > 0
