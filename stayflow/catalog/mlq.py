@@ -85,7 +85,8 @@ _IMPUTE_SQL, _IMPUTE_DBL = _impute_sql()
 
 
 def _imputed(spark, d):
-    ft = _feature_table(spark, d)
+    # null counts, modes and medians are read before the output: one checkpoint of the table
+    ft = materialize(_feature_table(spark, d))
     roles = P.column_roles(ft, BASELINE_FEATURES)
     return P.impute_features(ft, roles, numeric_as_double=True).select("ICUSTAY_ID", *BASELINE_FEATURES)
 
