@@ -169,11 +169,22 @@ def impute_features(df: DataFrame, roles: ColumnRoles, numeric_as_double: bool =
     return out
 
 
-def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Sorted distinct non-null levels per categorical column (bounded by cardinality)."""
+MAX_LEVELS = 10_000
+
+
+def category_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted distinct non-null levels per categorical column.
+
+    Only the levels reach the driver, and their number is checked first
+    (``limit(max_levels + 1)``): a column with more levels than one-hot encoding can
+    sensibly widen into is an error, never silently truncated."""
     levels = {}
     for c in columns:
-        levels[c] = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+        distinct = df.select(c).where(F.col(c).isNotNull()).distinct()
+        rows = distinct.orderBy(c).limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"column {c} has more than {max_levels} levels; not one-hot encodable")
+        levels[c] = [r[0] for r in rows]
     return levels
 
 

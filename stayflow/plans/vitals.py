@@ -11,9 +11,10 @@ Plan shape (all vitals at once):
 
 The reference runs one filter + aggregate + join per vital and re-reads the event
 table for each; here all vitals share one scan, one join and one aggregate.  The
-join is inner (both sides can be split by AQE when one stay is hot) and the
-aggregate is algebraic, so partial aggregation collapses a hot stay before the
-final shuffle.  The final left join keeps every stay, as the reference does.
+event-to-stay join is salted (:func:`salted_join`), so a stay holding a third of
+all events is spread over several join tasks, and the aggregate is algebraic, so
+partial aggregation collapses it before the final shuffle on the stay id.  The
+final left join keeps every stay, as the reference does.
 """
 
 from __future__ import annotations
@@ -34,6 +35,28 @@ HEART_RATE_BOUNDS = (0.0, 300.0)
 CREATININE_ITEMS = [50912]
 
 BASIC_STATS = ("avg", "min", "max", "std", "count")
+# Events of one stay are spread over this many join tasks (see ``salted_join``).
+SALT_BUCKETS = 8
+
+
+def salted_join(events: DataFrame, stays: DataFrame, key: str, hash_cols: Sequence[str],
+                buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Inner join of many events to one row per key, robust to a key holding a large
+    share of the events.
+
+    Each event gets a salt from a hash of its own columns (deterministic, so a retried
+    task rebuilds exactly the same rows); each key row is repeated once per salt with
+    ``explode(sequence(...))``; the join runs on (key, salt).  A hot key is thereby
+    split over ``buckets`` join tasks, and a following ``groupBy(key)`` gets its own
+    shuffle with partial aggregation in front of it, which collapses the hot key
+    before the final aggregate.  The key side grows by ``buckets`` rows per key
+    (one row per stay, small next to the event table).
+    """
+    if buckets <= 1:
+        return events.join(stays, key, "inner")
+    ev = events.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.lit(buckets)).cast("int"))
+    st = stays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return ev.join(st, [key, "_salt"], "inner").drop("_salt")
 
 
 def _items(items) -> list:
@@ -54,7 +77,7 @@ def window_events(events: DataFrame, stays: DataFrame, item_ids: Sequence | None
     ev = events.filter(cond).select(stay_col, item_col, time_col, value_col)
     st = stays.select(stay_col, intime_col)
     hours = hours_between(F.col(time_col), F.col(intime_col))
-    return (ev.join(st, stay_col, "inner")
+    return (salted_join(ev, st, stay_col, [time_col, item_col, value_col])
             .select(stay_col, item_col, value_col, hours.alias("hours_from_intime"))
             .filter(F.col("hours_from_intime").between(0, window_hours)))
 
@@ -158,8 +181,8 @@ def interval_window_stats(events: DataFrame, base: DataFrame, stays: DataFrame,
                                      else stays.select(stay_col, intime_col), stay_col, "inner"))
     st = st.select(stay_col, F.col(join_key).alias("_k"), F.col(intime_col).alias("_in"))
     if join_key == stay_col:
-        # one stay per key: a plain equi-join plus the window filter
-        joined = ev.join(st, "_k", "inner").filter(
+        # one stay per key: a (salted) equi-join plus the window filter
+        joined = salted_join(ev, st, "_k", ["_t", "_v"]).filter(
             (F.col("_t") >= F.col("_in")) & (F.col("_t") <= plus_hours(F.col("_in"), window_hours)))
     else:
         # several stays per admission: bucketed range join (no all-pairs within an admission)
