@@ -71,8 +71,9 @@ def source_distribution(events: DataFrame, items: DataFrame, stay_col: str = "IC
                         item_col: str = "ITEMID", source_col: str = "DBSOURCE",
                         alias: str = "count") -> DataFrame:
     """Events that belong to a stay, per item source system, descending."""
+    from stayflow.operators.relational import DICTIONARY_MAX_ROWS, broadcast_if_small
     ev = events.filter(F.col(stay_col).isNotNull()).select(item_col)
-    return (ev.join(items.select(item_col, source_col), item_col, "inner")
+    return (ev.join(broadcast_if_small(items.select(item_col, source_col), DICTIONARY_MAX_ROWS), item_col, "inner")
             .groupBy(source_col).agg(F.count(F.lit(1)).alias(alias))
             .orderBy(F.col(alias).desc(), F.col(source_col)))
 

@@ -21,6 +21,12 @@ from stayflow.functions.timefn import hours_between
 
 # ------------------------------------------------------------------ helpers
 
+# Code / item dictionaries (ICD-9 codes, chart items) hold tens of thousands of rows;
+# joined to event or diagnosis rows they are broadcast behind this row bound, so a
+# hot code or item (a large share of all events) never piles up in one join task.
+DICTIONARY_MAX_ROWS = 2_000_000
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Hint a broadcast only when the side provably has at most ``max_rows`` rows.
 
@@ -142,8 +148,9 @@ def join_patient(df: DataFrame, patients: DataFrame, key: str = "SUBJECT_ID",
 
 def join_code_dictionary(diagnoses: DataFrame, dictionary: DataFrame, key: str = "ICD9_CODE",
                          drop: Sequence[str] = ("SHORT_TITLE",)) -> DataFrame:
-    """Diagnoses left-joined to the code dictionary; short title dropped."""
-    return drop_columns(diagnoses.join(dictionary, key, "left"), drop)
+    """Diagnoses left-joined to the code dictionary (broadcast behind a row bound); short
+    title dropped."""
+    return drop_columns(diagnoses.join(broadcast_if_small(dictionary, DICTIONARY_MAX_ROWS), key, "left"), drop)
 
 
 def join_fanout_diagnoses(stays: DataFrame, diagnoses: DataFrame,
@@ -153,7 +160,9 @@ def join_fanout_diagnoses(stays: DataFrame, diagnoses: DataFrame,
 
 
 def join_item_dictionary(events: DataFrame, items: DataFrame, key: str = "ITEMID") -> DataFrame:
-    return events.join(items, key, "left")
+    """Events left-joined to the item dictionary (broadcast behind a row bound: a few
+    items carry most chart events)."""
+    return events.join(broadcast_if_small(items, DICTIONARY_MAX_ROWS), key, "left")
 
 
 def join_inner_chain(stays: DataFrame, patients: DataFrame, admissions: DataFrame,
