@@ -13,7 +13,8 @@ and those can be found with bounded work:
 
 A bracket that does not verify (it cannot with a correct sketch, but ties at the
 edges are handled conservatively) falls back to Spark's exact ``percentile`` for that
-column, so the result is always exact.
+column, so the result is always exact.  Columns with at most ``DIRECT_MAX_ROWS``
+values skip the brackets: their exact ``percentile`` map is bounded by that count.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 ACCURACY = 100_000
 DELTA = 3.0 / ACCURACY
+# Up to this many values per column the exact percentile is computed directly.
+DIRECT_MAX_ROWS = 100_000
 
 
 def _q(c: str) -> str:
@@ -52,6 +55,14 @@ def exact_percentiles(df: DataFrame, specs: Sequence[tuple[str, float]],
         if n_of[c] and b is not None:
             brackets[k] = (float(b[0]), float(b[1]))
     out: dict[tuple[str, float], float | None] = {s: None for s in specs}
+    # small columns: Spark's exact percentile holds at most DIRECT_MAX_ROWS values
+    direct = [k for k in brackets if n_of[specs[k][0]] <= DIRECT_MAX_ROWS]
+    if direct:
+        row = df.agg(*[F.percentile(F.col(_q(specs[k][0])).cast("double"), specs[k][1]).alias(f"d{k}")
+                       for k in direct]).first()
+        for k in direct:
+            out[specs[k]] = row[f"d{k}"]
+            del brackets[k]
     if not brackets:
         return out
     checks = []

@@ -4,9 +4,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stayflow.operators import quantiles
 from stayflow.operators.quantiles import exact_percentiles
 
 
+@pytest.fixture(params=[True, False], ids=["bracketed", "direct"])
+def path(request, monkeypatch):
+    # exercise both the bracketed (large-column) and the direct (small-column) path
+    monkeypatch.setattr(quantiles, "DIRECT_MAX_ROWS", 0 if request.param else 10 ** 9)
+
+
 @pytest.mark.parametrize("values", [
     [5.0],
     [2.0, 2.0, 2.0, 2.0],
@@ -14,7 +21,7 @@ from stayflow.operators.quantiles import exact_percentiles
     list(np.round(np.random.default_rng(3).normal(size=5000), 2)),   # many ties
     list(np.random.default_rng(4).exponential(size=20000)),
 ])
-def test_matches_spark_percentile(spark, values):
+def test_matches_spark_percentile(spark, values, path):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(4)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = exact_percentiles(df, [("x", p) for p in probs])
