@@ -53,9 +53,11 @@ def code_prefix_number(code: Column) -> Column:
     return F.when(all_digits, head.cast("int"))
 
 
-def chapter_flag_columns(code: Column, compat: bool = False, strict_letters: bool = False) -> list[Column]:
-    """One 0/1 column per chapter for a code column (NULL code -> all 0)."""
-    num = code_prefix_number(code)
+def chapter_flag_columns(code: Column, compat: bool = False, strict_letters: bool = False,
+                         prefix_number: Column | None = None) -> list[Column]:
+    """One 0/1 column per chapter for a code column (NULL code -> all 0).  Pass the
+    already computed ``code_prefix_number`` column to avoid recomputing it per flag."""
+    num = code_prefix_number(code) if prefix_number is None else prefix_number
     cols = []
     for name, lo, hi, _ in CHAPTERS:
         if compat and name == "has_hematologic":

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayflow.functions.codes import FLAG_COLUMNS, RANGE_LABELS, chapter_flag_columns
+from stayflow.functions.codes import FLAG_COLUMNS, RANGE_LABELS, chapter_flag_columns, code_prefix_number
 from stayflow.functions.keywords import DIAGNOSIS_KEYWORDS, OTHER, flag_name, keyword_class
 from stayflow.operators.aggregates import sum_columns
 from stayflow.operators.relational import DICTIONARY_MAX_ROWS, broadcast_if_small
@@ -33,8 +33,9 @@ def admission_chapter_flags(diagnoses: DataFrame, keys: Sequence[str] = DIAG_KEY
                             compat: bool = False, strict_letters: bool = False) -> DataFrame:
     """Per admission: max of the 19 chapter flags over its non-null codes and their count."""
     code = F.col(code_col)
-    rows = diagnoses.filter(code.isNotNull()).select(*keys, code_col,
-                                                     *chapter_flag_columns(code, compat, strict_letters))
+    # the numeric prefix is computed once per row, the 19 range checks read it
+    rows = (diagnoses.filter(code.isNotNull()).select(*keys, code_col, code_prefix_number(code).alias("_code3"))
+            .select(*keys, code_col, *chapter_flag_columns(code, compat, strict_letters, F.col("_code3"))))
     return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in FLAG_COLUMNS],
                                    F.count(code_col).alias("total_diagnoses"))
 
