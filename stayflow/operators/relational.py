@@ -155,8 +155,10 @@ def join_code_dictionary(diagnoses: DataFrame, dictionary: DataFrame, key: str =
 
 def join_fanout_diagnoses(stays: DataFrame, diagnoses: DataFrame,
                           keys: Sequence[str] = ("SUBJECT_ID", "HADM_ID")) -> DataFrame:
-    """Stay x diagnoses (1:N) left join: stays without a diagnosis are kept once."""
-    return stays.join(diagnoses, list(keys), "left")
+    """Stay x diagnoses (1:N) left join: stays without a diagnosis are kept once.
+    Built as a salted inner join plus an anti join (:func:`salted_left_join`), so an
+    admission with a large share of all diagnoses is spread over several tasks."""
+    return salted_left_join(stays, diagnoses, list(keys))
 
 
 def join_item_dictionary(events: DataFrame, items: DataFrame, key: str = "ITEMID") -> DataFrame:
@@ -218,3 +220,28 @@ def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str,
     joined = ev.join(st, [key, "_bucket"], "inner").drop("_bucket")
     t, s = F.col(time_col), F.col(start_col)
     return joined.filter((t >= s) & (t <= s + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(width))))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_buckets: int = 8) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` for a right side with hot keys.
+
+    Spark can neither broadcast the preserved side of a left join nor split skew on
+    its right side, so a key holding a third of the right rows would land in one
+    task.  The same result is built from two skew-safe parts:
+
+    * an inner join on (keys, salt): right rows carry a salt hashed from their own
+      columns (deterministic under retries), left rows are repeated once per salt
+      with ``explode(sequence)``, so a hot key spreads over ``salt_buckets`` tasks;
+    * left rows whose key has no right row (``left_anti`` against the distinct right
+      keys, a partially aggregated ``distinct``), padded with NULL right columns.
+    """
+    keys = list(keys)
+    rcols = [c for c in right.columns if c not in keys]
+    salted_r = right.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]),
+                                                F.lit(salt_buckets)).cast("int"))
+    salted_l = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    matched = salted_l.join(salted_r, keys + ["_salt"], "inner").drop("_salt")
+    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    rtypes = {f.name: f.dataType for f in right.schema.fields}
+    unmatched = unmatched.select("*", *[F.lit(None).cast(rtypes[c]).alias(c) for c in rcols])
+    return matched.unionByName(unmatched.select(*matched.columns))

@@ -72,3 +72,11 @@ def test_bucketed_interval_join_equals_naive(spark):
     cols = ["ICUSTAY_ID", "CHARTTIME", "VALUENUM"]
     assert sorted(fast.select(cols).collect()) == sorted(naive.select(cols).collect())
     assert fast.count() > 0
+
+
+def test_salted_left_join_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, l string")
+    right = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 7), (2, 7), (None, 9)], "k int, r int")
+    fast = R.salted_left_join(left, right, ["k"], salt_buckets=4)
+    plain = left.join(right, ["k"], "left")
+    assert sorted(fast.collect()) == sorted(plain.select(*fast.columns).collect())
