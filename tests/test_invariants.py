@@ -79,4 +79,6 @@ def test_salted_left_join_equals_left_join(spark):
     right = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 7), (2, 7), (None, 9)], "k int, r int")
     fast = R.salted_left_join(left, right, ["k"], salt_buckets=4)
     plain = left.join(right, ["k"], "left")
-    assert sorted(fast.collect()) == sorted(plain.select(*fast.columns).collect())
+    def key(r):
+        return tuple((v is None, v if v is not None else 0) for v in r)
+    assert sorted(fast.collect(), key=key) == sorted(plain.select(*fast.columns).collect(), key=key)
