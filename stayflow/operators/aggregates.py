@@ -154,8 +154,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5
     """Exact (interpolated) quantiles, as pandas ``quantile``/``median``."""
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     if by:
-        # per group: Spark's exact percentile (a value map per group, bounded by its distinct values)
-        return df.groupBy(*by).agg(*[F.percentile(F.col(col), p).alias(n) for p, n in zip(probs, names)])
+        from stayflow.operators.quantiles import grouped_exact_percentiles
+        return grouped_exact_percentiles(df, list(by), col, list(probs), names).drop("n")
     from stayflow.operators.quantiles import exact_percentiles
     q = exact_percentiles(df, [(col, p) for p in probs])
     row = [tuple(q[(col, float(p))] for p in probs)]
@@ -218,12 +218,17 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 50, low: float | None =
 
 
 def boxplot_stats(df: DataFrame, group: str, value: str, min_rows: int = 10) -> DataFrame:
-    """Five-number summary per group, only groups with more than ``min_rows`` rows."""
+    """Five-number summary per group, only groups with more than ``min_rows`` rows.
+
+    Quartiles are exact and interpolated (:func:`grouped_exact_percentiles`: no
+    per-group value map); min / max / n come from one algebraic aggregate."""
+    from stayflow.operators.quantiles import grouped_exact_percentiles
     v = F.col(value)
-    return (df.filter(v.isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(
-        F.count(v).alias("n"), F.min(v).alias("min"), F.percentile(v, 0.25).alias("q1"),
-        F.percentile(v, 0.5).alias("median"), F.percentile(v, 0.75).alias("q3"), F.max(v).alias("max"))
-        .filter(F.col("n") > min_rows))
+    data = df.filter(v.isNotNull() & F.col(group).isNotNull())
+    mm = data.groupBy(group).agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
+    q = grouped_exact_percentiles(data, [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]).drop("n")
+    return (mm.filter(F.col("n") > min_rows).join(q, group, "inner")
+            .select(group, "n", "min", "q1", "median", "q3", "max"))
 
 
 def rate_percent(df: DataFrame, flag: str, alias: str = "rate_pct") -> DataFrame:

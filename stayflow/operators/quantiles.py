@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
@@ -123,3 +123,62 @@ def _interpolate(vals, r: int, frac: float) -> float:
 
 def exact_percentile(df: DataFrame, col: str, p: float) -> float | None:
     return exact_percentiles(df, [(col, p)])[(col, float(p))]
+
+
+def grouped_exact_percentiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
+                              names: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
+    """Per group: exact (interpolated) quantiles of ``col`` without a per-group value map.
+
+    Same three steps as :func:`exact_percentiles`, as DataFrame operations:
+    per-group ``percentile_approx`` brackets; per group and quantile the count below
+    the bracket and the in-bracket values as (value, count) runs; a window over each
+    (group, quantile) bracket -- a few values, not the group -- finds the order
+    statistics.  Groups whose bracket does not verify are recomputed with Spark's
+    exact ``percentile`` (only those groups).  Rows with a NULL group key are ignored
+    (callers filter them, as the box-plot statistics do).
+    """
+    by = list(by)
+    probs = [float(p) for p in probs]
+    delta = 3.0 / accuracy
+    base = df.select(*by, F.col(_q(col)).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    for b in by:
+        base = base.filter(F.col(_q(b)).isNotNull())
+    pcts = []
+    for p in probs:
+        pcts += [max(0.0, p - delta), min(1.0, p + delta)]
+    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_x", pcts, accuracy).alias("_b"))
+    # one row per (group, quantile k): bracket, target rank i and interpolation weight
+    per_k = stats.select(*by, "_n", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col("_b")[2 * k].alias("lo"), F.col("_b")[2 * k + 1].alias("hi"),
+                 F.floor(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("i"),
+                 (F.lit(p) * (F.col("_n") - 1) - F.floor(F.lit(p) * (F.col("_n") - 1))).alias("frac"))
+        for k, p in enumerate(probs)])).alias("q")).select(*by, "_n", "q.*")
+    # every value meets the brackets of its own group only; the bracket table has one row
+    # per (group, quantile) and is broadcast behind a row bound, so a hot group is not
+    # gathered into one join task
+    from stayflow.operators.relational import broadcast_if_small
+    tagged = base.join(broadcast_if_small(per_k, 1_000_000), by, "inner")
+    below = tagged.groupBy(*by, "k").agg(F.count_if(F.col("_x") < F.col("lo")).alias("below"),
+                                          F.count_if(F.col("_x") <= F.col("hi")).alias("upto"))
+    runs = (tagged.filter((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
+            .groupBy(*by, "k", F.col("_x").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy(*by, "k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = runs.withColumn("cum", F.sum("c").over(w))
+    info = per_k.join(below, by + ["k"], "inner").withColumn("r", F.col("i") - F.col("below"))
+    valid = (F.col("below") <= F.col("i")) & (F.col("i") + F.when(F.col("frac") > 0, 1).otherwise(0) < F.col("upto"))
+    picked = (runs.join(info.filter(valid), by + ["k"], "inner")
+              .groupBy(*by, "k").agg(F.min(F.when(F.col("cum") > F.col("r"), F.col("v"))).alias("v0"),
+                                     F.min(F.when(F.col("cum") > F.col("r") + 1, F.col("v"))).alias("v1"),
+                                     F.first("frac").alias("frac"), F.first("_n").alias("_n")))
+    value = F.when(F.col("frac") == 0, F.col("v0")).otherwise(F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0")))
+    exact = picked.select(*by, "k", "_n", value.alias("value"))
+    # groups with a bracket that did not verify: Spark's exact percentile on those groups only
+    bad = info.filter(~valid).select(*by).distinct()
+    redo = base.join(bad, by, "left_semi").groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.percentile("_x", p).alias(f"_p{k}") for k, p in enumerate(probs)])
+    redo = redo.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("value"))
+                                                    for k in range(len(probs))])).alias("e")).select(*by, "e.k", "_n",
+                                                                                                    "e.value")
+    long = exact.unionByName(redo)
+    return long.groupBy(*by).agg(F.first("_n").alias("n"),
+                                 *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(n) for k, n in enumerate(names)])

@@ -34,3 +34,22 @@ def test_matches_spark_percentile(spark, values, path):
 def test_empty_column(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_percentiles(df, [("x", 0.5)]) == {("x", 0.5): None}
+
+
+def test_grouped_matches_spark_percentile(spark, path):
+    from stayflow.operators.quantiles import grouped_exact_percentiles
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v)) for v in np.round(rng.normal(size=6000), 2)]
+    rows += [(f"g{i % 7}", float(v)) for i, v in enumerate(rng.exponential(size=3000))]
+    rows += [("single", 4.0), ("pair", 1.0), ("pair", 3.0), (None, 1.0), ("hot", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    probs = [0.25, 0.5, 0.75]
+    got = {r.g: r for r in grouped_exact_percentiles(df, ["g"], "x", probs, ["q1", "med", "q3"]).collect()}
+    want = {r.g: r for r in df.filter("g IS NOT NULL AND x IS NOT NULL").groupBy("g").agg(
+        F.count("x").alias("n"), *[F.percentile("x", p).alias(n) for p, n in zip(probs, ["q1", "med", "q3"])]
+    ).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g].n == want[g].n
+        for n in ("q1", "med", "q3"):
+            assert got[g][n] == pytest.approx(want[g][n], rel=1e-12, abs=1e-12)
