@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.timefn import years_by_days
+from stayflow.operators.quantiles import exact_percentiles
 from stayflow.operators.relational import clip_floor
 
 KEY_COLUMNS = ("SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "INTIME", "OUTTIME", "ADMITTIME", "DISCHTIME")
@@ -51,25 +52,30 @@ def stay_admission_profile(joined: DataFrame, key_columns: Sequence[str] = KEY_C
     secs = lambda a, b: (F.unix_timestamp(a) - F.unix_timestamp(b)).cast("double")
     cols = set(joined.columns)
     aggs = [F.count(F.lit(1)).cast("double").alias("total_records")]
+    medians = {}  # metric -> column expression; exact, distributed (no single-task value map)
     for c in key_columns:
         if c in cols:
             aggs.append(F.count_if(F.col(c).isNull()).cast("double").alias(f"null_{c}"))
     if {"INTIME", "OUTTIME"} <= cols:
         icu = secs(F.col("OUTTIME"), F.col("INTIME")) / 86400
-        aggs += [F.avg(icu).alias("icu_los_days_mean"), F.percentile(icu, 0.5).alias("icu_los_days_median"),
-                 F.stddev_samp(icu).alias("icu_los_days_std"), F.min(icu).alias("icu_los_days_min"),
-                 F.max(icu).alias("icu_los_days_max")]
+        aggs += [F.avg(icu).alias("icu_los_days_mean"), F.stddev_samp(icu).alias("icu_los_days_std"),
+                 F.min(icu).alias("icu_los_days_min"), F.max(icu).alias("icu_los_days_max")]
+        medians["icu_los_days_median"] = icu
     if {"ADMITTIME", "DISCHTIME"} <= cols:
         hosp = secs(F.col("DISCHTIME"), F.col("ADMITTIME")) / 86400
-        aggs += [F.avg(hosp).alias("hospital_los_days_mean"),
-                 F.percentile(hosp, 0.5).alias("hospital_los_days_median")]
+        aggs.append(F.avg(hosp).alias("hospital_los_days_mean"))
+        medians["hospital_los_days_median"] = hosp
     if {"ADMITTIME", "DOB"} <= cols:
         # pandas ``(a - b).dt.days / 365.25``: whole days, floored
         age = F.floor(secs(F.col("ADMITTIME"), F.col("DOB")) / 86400) / 365.25
-        aggs.append(F.percentile(F.when(age < max_age, age), 0.5).alias("age_median"))
+        medians["age_median"] = F.when(age < max_age, age)
     if flag_col in cols:
         aggs.append((F.avg(F.col(flag_col).cast("double")) * 100).alias("mortality_rate_pct"))
     one = joined.agg(*aggs)
+    if medians:
+        derived = joined.select(*[e.alias(m) for m, e in medians.items()])
+        q = exact_percentiles(derived, [(m, 0.5) for m in medians])
+        one = one.select("*", *[F.lit(q[(m, 0.5)]).cast("double").alias(m) for m in medians])
     names = one.columns
     expr = ", ".join(f"'{n}', CAST(`{n}` AS DOUBLE)" for n in names)
     return one.selectExpr(f"stack({len(names)}, {expr}) AS (metric, value)")
