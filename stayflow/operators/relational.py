@@ -177,8 +177,10 @@ def join_inner_chain(stays: DataFrame, patients: DataFrame, admissions: DataFram
 
 def join_events_to_stay(events: DataFrame, stays: DataFrame, stay_col: str = "ICUSTAY_ID",
                         intime_col: str = "INTIME") -> DataFrame:
-    """Events inner-joined to (stay, INTIME); the stay side is projected first."""
-    return events.join(stays.select(stay_col, intime_col), stay_col, "inner")
+    """Events inner-joined to (stay, INTIME); the stay side is projected first and the
+    join is salted (:func:`salted_join`), so a hot stay is spread over several tasks."""
+    return salted_join(events, stays.select(stay_col, intime_col), stay_col,
+                       [c for c in events.columns if c != stay_col])
 
 
 def join_semi_examples(stays: DataFrame, entities: DataFrame, n: int = 3, key: str = "SUBJECT_ID",
@@ -245,3 +247,27 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], sal
     rtypes = {f.name: f.dataType for f in right.schema.fields}
     unmatched = unmatched.select("*", *[F.lit(None).cast(rtypes[c]).alias(c) for c in rcols])
     return matched.unionByName(unmatched.select(*matched.columns))
+
+
+# Events of one stay are spread over this many join tasks (see ``salted_join``).
+SALT_BUCKETS = 8
+
+
+def salted_join(events: DataFrame, stays: DataFrame, key: str, hash_cols: Sequence[str],
+                buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Inner join of many events to one row per key, robust to a key holding a large
+    share of the events.
+
+    Each event gets a salt from a hash of its own columns (deterministic, so a retried
+    task rebuilds exactly the same rows); each key row is repeated once per salt with
+    ``explode(sequence(...))``; the join runs on (key, salt).  A hot key is thereby
+    split over ``buckets`` join tasks, and a following ``groupBy(key)`` gets its own
+    shuffle with partial aggregation in front of it, which collapses the hot key
+    before the final aggregate.  The key side grows by ``buckets`` rows per key
+    (one row per stay, small next to the event table).
+    """
+    if buckets <= 1:
+        return events.join(stays, key, "inner")
+    ev = events.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.lit(buckets)).cast("int"))
+    st = stays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return ev.join(st, [key, "_salt"], "inner").drop("_salt")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.timefn import hours_between, plus_hours
-from stayflow.operators.relational import interval_join
+from stayflow.operators.relational import SALT_BUCKETS, interval_join, salted_join  # noqa: F401
 
 # Vital signs and their item ids in the reference notebook.
 CLINICAL_VITALS: dict[str, list[int]] = {"heart_rate": [211], "respiratory_rate": [618], "spo2": [646]}
@@ -35,30 +35,6 @@ HEART_RATE_BOUNDS = (0.0, 300.0)
 CREATININE_ITEMS = [50912]
 
 BASIC_STATS = ("avg", "min", "max", "std", "count")
-# Events of one stay are spread over this many join tasks (see ``salted_join``).
-SALT_BUCKETS = 8
-
-
-def salted_join(events: DataFrame, stays: DataFrame, key: str, hash_cols: Sequence[str],
-                buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Inner join of many events to one row per key, robust to a key holding a large
-    share of the events.
-
-    Each event gets a salt from a hash of its own columns (deterministic, so a retried
-    task rebuilds exactly the same rows); each key row is repeated once per salt with
-    ``explode(sequence(...))``; the join runs on (key, salt).  A hot key is thereby
-    split over ``buckets`` join tasks, and a following ``groupBy(key)`` gets its own
-    shuffle with partial aggregation in front of it, which collapses the hot key
-    before the final aggregate.  The key side grows by ``buckets`` rows per key
-    (one row per stay, small next to the event table).
-    """
-    if buckets <= 1:
-        return events.join(stays, key, "inner")
-    ev = events.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.lit(buckets)).cast("int"))
-    st = stays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return ev.join(st, [key, "_salt"], "inner").drop("_salt")
-
-
 def _items(items) -> list:
     return list(items) if isinstance(items, (list, tuple, set, frozenset)) else [items]
 
