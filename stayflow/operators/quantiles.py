@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 ACCURACY = 100_000
 DELTA = 3.0 / ACCURACY
 # Up to this many values per column the exact percentile is computed directly.
-DIRECT_MAX_ROWS = 100_000
+DIRECT_MAX_ROWS = 1_000_000
 
 
 def _q(c: str) -> str:
