@@ -203,7 +203,7 @@ def join_feature_blocks(base: DataFrame, blocks: Sequence[DataFrame], key: str =
 
 
 def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str, start_col: str,
-                  window_hours: float) -> DataFrame:
+                  window_hours: float, salt_buckets: int | None = None) -> DataFrame:
     """Events joined to every stay with the same ``key`` whose window
     ``[start, start + window_hours]`` (hour-exact, both ends inclusive) holds the event.
 
@@ -219,7 +219,9 @@ def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str,
     end = F.unix_timestamp(F.col(start_col)) + F.lit(width)
     first = F.floor(F.unix_timestamp(F.col(start_col)) / F.lit(width))
     st = stays.withColumn("_bucket", F.explode(F.sequence(first, F.floor(end / F.lit(width)))))
-    joined = ev.join(st, [key, "_bucket"], "inner").drop("_bucket")
+    # plus the deterministic salt of salted_join: a key whose events share one bucket is
+    # still spread over several tasks
+    joined = salted_join(ev, st, [key, "_bucket"], events.columns, salt_buckets).drop("_bucket")
     t, s = F.col(time_col), F.col(start_col)
     return joined.filter((t >= s) & (t <= s + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(width))))
 
@@ -253,8 +255,8 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], sal
 SALT_BUCKETS = 8
 
 
-def salted_join(events: DataFrame, stays: DataFrame, key: str, hash_cols: Sequence[str],
-                buckets: int = SALT_BUCKETS) -> DataFrame:
+def salted_join(events: DataFrame, stays: DataFrame, key: str | Sequence[str], hash_cols: Sequence[str],
+                buckets: int | None = None) -> DataFrame:
     """Inner join of many events to one row per key, robust to a key holding a large
     share of the events.
 
@@ -266,8 +268,10 @@ def salted_join(events: DataFrame, stays: DataFrame, key: str, hash_cols: Sequen
     before the final aggregate.  The key side grows by ``buckets`` rows per key
     (one row per stay, small next to the event table).
     """
+    buckets = SALT_BUCKETS if buckets is None else buckets
+    keys = [key] if isinstance(key, str) else list(key)
     if buckets <= 1:
-        return events.join(stays, key, "inner")
+        return events.join(stays, keys, "inner")
     ev = events.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.lit(buckets)).cast("int"))
     st = stays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return ev.join(st, [key, "_salt"], "inner").drop("_salt")
+    return ev.join(st, keys + ["_salt"], "inner").drop("_salt")
