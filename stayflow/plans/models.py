@@ -111,7 +111,11 @@ def training_partitions(spark: SparkSession, n: int) -> int:
     """Partitions for a training set of ``n`` rows: one per ~200k rows, at most the
     cluster's parallelism.  Tree learners allocate split statistics per partition
     for every open node, so extra partitions on a small set only add that cost."""
-    return max(1, min(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TRAINING_PARTITION)))
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(parallelism, -(-n // ROWS_PER_TRAINING_PARTITION)))
 
 
 def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:

@@ -42,14 +42,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     runs (tests, bench) without the setting get a fresh scratch directory.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint dir
+        return current or ""
+    sc_dir = sc.getCheckpointDir()
     if current and not sc_dir:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
     if not current:
         current = sc_dir
     if not current:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not shared by executors: the cluster must name one
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="stayflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
     return current
 
 

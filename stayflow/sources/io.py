@@ -24,6 +24,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir`` (never machine-local
     on a cluster: the setting is the cluster's shared folder)."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; scratch output needs a shared folder")
     return f"{base.rstrip('/')}/stayflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
