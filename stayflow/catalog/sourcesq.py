@@ -103,8 +103,12 @@ def sql_view_scan(spark, d):
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-@query("load_manifest", sql="\nUNION ALL\n".join(
-    f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _TABLES))
+_MANIFEST_SQL = "\nUNION ALL\n".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _TABLES)
+
+
+@query("load_manifest", sql=f"""
+WITH m AS ({_MANIFEST_SQL})
+SELECT "table", rows FROM m UNION ALL SELECT 'TOTAL', CAST(sum(rows) AS BIGINT) FROM m""")
 def load_manifest(spark, d):
     return io.load_manifest({t: tm.read(spark, d, t) for t in _TABLES})
 

@@ -74,12 +74,16 @@ def sql_view_scan(spark: SparkSession, views: Mapping[str, DataFrame], sql: str)
     return spark.sql(sql)
 
 
-def load_manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, rows) for each table from one count per table, combined in one result."""
+def load_manifest(tables: Mapping[str, DataFrame], total: str | None = "TOTAL") -> DataFrame:
+    """(table, rows) for each table from one count per table, combined in one result,
+    plus a ``total`` row (the seconds per table are timing, kept out of the result)."""
     out = None
     for name, df in tables.items():
         row = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         out = row if out is None else out.unionByName(row)
+    if total:
+        out = out.unionByName(out.agg(F.sum("rows").cast("long").alias("rows")).select(
+            F.lit(total).alias("table"), "rows"))
     return out
 
 
