@@ -2,8 +2,8 @@
 
 Each rule votes good (1), bad (-1) or abstains (0).  Expectation-maximisation over
 the table of vote patterns (at most 3 ** rules rows, whatever the corpus size)
-estimates per rule how often it votes good on good documents and bad on bad ones;
-the posterior probability of "good" replaces all-must-pass filtering.  Everything is
+estimates per rule how often it votes each way, or abstains, on good and on bad
+documents; the posterior probability of "good" replaces all-must-pass filtering.  Everything is
 DataFrame / SQL: text statistics are in-row array expressions without a shuffle, the
 only exchange is the pattern count.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from stayflow.llm.common import SEPARATORS, staged, words
 
 WINDOW = 5
-ITERATIONS = 25
+ITERATIONS = 12
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_upper", "n_exclaim")
 
@@ -35,19 +35,23 @@ class Rule:
         return f"CASE WHEN {self.bad} THEN -1 WHEN {self.good} THEN 1 ELSE 0 END"
 
 
+#: Six rules speak only against a document, each about one kind of junk; the last speaks for plain prose.
 RULES = (
-    Rule("word_length", "word_chars BETWEEN 2 * n_words AND 12 * n_words", "word_chars > 20 * n_words"),
-    Rule("symbols", "100 * n_symbols <= 2 * n_words", "100 * n_symbols > 10 * n_words"),
-    Rule("dup_lines", "n_dup_lines = 0", "n_dup_lines >= 3"),
-    Rule("repeats", "100 * n_repeat_words <= 5 * n_words", "100 * n_repeat_words > 20 * n_words"),
-    Rule("vocabulary", "100 * n_distinct >= 25 * n_words", "100 * n_distinct < 10 * n_words"),
-    Rule("upper_case", "100 * n_upper <= 20 * word_chars", "100 * n_upper > 50 * word_chars"),
-    Rule("exclaim", "100 * n_exclaim <= 2 * n_words", "100 * n_exclaim > 10 * n_words"),
+    Rule("word_length", "1 = 0", "word_chars > 20 * n_words"),
+    Rule("symbols", "1 = 0", "100 * n_symbols > 10 * n_words"),
+    Rule("dup_lines", "1 = 0", "n_dup_lines >= 3"),
+    Rule("repeats", "1 = 0", "100 * n_repeat_words > 20 * n_words"),
+    Rule("vocabulary", "1 = 0", "100 * n_distinct < 10 * n_words"),
+    Rule("upper_case", "1 = 0", "100 * n_upper > 50 * word_chars"),
+    Rule("exclaim", "1 = 0", "100 * n_exclaim > 10 * n_words"),
+    Rule("prose", "word_chars BETWEEN 2 * n_words AND 12 * n_words AND 100 * n_symbols <= 2 * n_words AND n_dup_lines < 3 "
+         "AND 100 * n_repeat_words <= 20 * n_words AND 100 * n_distinct >= 20 * n_words AND 100 * n_upper <= 20 * word_chars "
+         "AND 100 * n_exclaim <= 2 * n_words", "1 = 0"),
 )
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
-#: Where the estimation starts: share of good documents, good votes on good, bad votes on bad.
-#: A rule rarely speaks against a good document; bad documents fail few rules each.
-START = (0.85, 0.998, 0.25)
+#: Where the estimation starts: share of good documents, then the shares of bad and good
+#: votes that a rule gives good documents, and those that it gives bad ones.
+START = (0.85, (0.005, 0.6), (0.25, 0.05))
 
 
 def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -88,31 +92,41 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         count_of("!").cast("long").alias("_n_exclaim"))
 
 
-def posterior_sql(rules: Sequence[Rule], pi: str, good: Sequence[str], bad: Sequence[str]) -> str:
-    """SQL of P(good | votes v0, v1, ...) under the named or literal parameters."""
-    on_good = " + ".join(f"CASE v{j} WHEN 1 THEN ln({g}) WHEN -1 THEN ln(1 - {g}) ELSE 0 END" for j, g in enumerate(good))
-    on_bad = " + ".join(f"CASE v{j} WHEN 1 THEN ln(1 - {b}) WHEN -1 THEN ln({b}) ELSE 0 END" for j, b in enumerate(bad))
-    return f"1 / (1 + exp((ln(1 - {pi}) + {on_bad}) - (ln({pi}) + {on_good})))"
+def parameters(rules: Sequence[Rule]) -> dict[str, float]:
+    """``pi``, and per rule j the shares of bad and good votes on good (``gm``, ``gp``) and bad documents (``bm``, ``bp``)."""
+    return {"pi": START[0]} | {f"{c}{s}{j}": START[1 + (c == "b")][s == "p"]
+                               for j in range(len(rules)) for c in "gb" for s in "mp"}
+
+
+def posterior_sql(rules: Sequence[Rule], value: dict[str, str]) -> str:
+    """SQL of P(good | votes v0, v1, ...); ``value`` has the SQL of each parameter."""
+    def term(c, j):
+        m, p = value[f"{c}m{j}"], value[f"{c}p{j}"]
+        return f"CASE v{j} WHEN 1 THEN ln({p}) WHEN -1 THEN ln({m}) ELSE ln(1 - {m} - {p}) END"
+    good, bad = (" + ".join(term(c, j) for j in range(len(rules))) for c in "gb")
+    return f"1 / (1 + exp((ln(1 - {value['pi']}) + {bad}) - (ln({value['pi']}) + {good})))"
 
 
 def maximise_sql(rules: Sequence[Rule]) -> list[str]:
-    """SQL aggregates over (v0.., n, q) that re-estimate pi, g0.., b0.. (add-one smoothed)."""
+    """SQL aggregates over (v0.., n, q) that re-estimate the parameters (add-one smoothed)."""
     out = ["(coalesce(sum(n * q), 0) + 1) / (coalesce(sum(n), 0) + 2) AS pi"]
     for j in range(len(rules)):
-        out.append(f"(coalesce(sum(CASE WHEN v{j} = 1 THEN n * q END), 0) + 1)"
-                   f" / (coalesce(sum(CASE WHEN v{j} <> 0 THEN n * q END), 0) + 2) AS g{j}")
-        out.append(f"(coalesce(sum(CASE WHEN v{j} = -1 THEN n * (1 - q) END), 0) + 1)"
-                   f" / (coalesce(sum(CASE WHEN v{j} <> 0 THEN n * (1 - q) END), 0) + 2) AS b{j}")
+        for c, mass in (("g", "n * q"), ("b", "n * (1 - q)")):
+            for s, vote in (("m", -1), ("p", 1)):
+                out.append(f"(coalesce(sum(CASE WHEN v{j} = {vote} THEN {mass} END), 0) + 1)"
+                           f" / (coalesce(sum({mass}), 0) + 3) AS {c}{s}{j}")
     return out
 
 
+def literals(p: dict[str, float]) -> dict[str, str]:
+    return {name: f"{x!r}D" for name, x in p.items()}
+
+
 def estimate(patterns: DataFrame, rules: Sequence[Rule] = RULES, iterations: int = ITERATIONS) -> dict[str, float]:
     """EM on the vote patterns (``v0``.., ``n``); one row of parameters returns per iteration."""
-    k = range(len(rules))
-    p = {"pi": START[0]} | {f"g{j}": START[1] for j in k} | {f"b{j}": START[2] for j in k}
+    p = parameters(rules)
     for _ in range(iterations):
-        lit = {name: f"{value!r}D" for name, value in p.items()}
-        q = posterior_sql(rules, lit["pi"], [lit[f"g{j}"] for j in k], [lit[f"b{j}"] for j in k])
+        q = posterior_sql(rules, literals(p))
         p = patterns.withColumn("q", F.expr(q)).agg(*[F.expr(x) for x in maximise_sql(rules)]).first().asDict()
     return p
 
@@ -137,9 +151,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule]
     names = [f"v{j}" for j in range(len(rules))]
     patterns = votes.groupBy(*[F.col(f"{v}_").alias(v) for v in names]).agg(F.count(F.lit(1)).alias("n"))
     p = estimate(patterns.coalesce(1).checkpoint(), rules, iterations)
-    lit = {name: f"{value!r}D" for name, value in p.items()}
-    k = range(len(rules))
-    q = posterior_sql(rules, lit["pi"], [lit[f"g{j}"] for j in k], [lit[f"b{j}"] for j in k])
+    q = posterior_sql(rules, literals(p))
     for v in names:
         q = q.replace(f"CASE {v} ", f"CASE {v}_ ")
     return (votes.withColumn("_base_failed", F.expr(_underscored(BASE_FAILED)))
@@ -184,10 +196,9 @@ def oracle_sql(rules: Sequence[Rule] = RULES, iterations: int = ITERATIONS, sour
         "FROM tok LEFT JOIN cov USING (rid))",
         f"votes AS MATERIALIZED (SELECT *, {votes} FROM stats)",
         f"pat AS MATERIALIZED (SELECT {', '.join(f'v{j}' for j in k)}, count(*) AS n FROM votes GROUP BY ALL)",
-        "par0 AS (SELECT " + ", ".join([f"{START[0]!r}::DOUBLE AS pi"] + [f"{START[1]!r}::DOUBLE AS g{j}" for j in k]
-                                       + [f"{START[2]!r}::DOUBLE AS b{j}" for j in k]) + ")",
+        "par0 AS (SELECT " + ", ".join(f"{x!r}::DOUBLE AS {name}" for name, x in parameters(rules).items()) + ")",
     ]
-    q = posterior_sql(rules, "pi", [f"g{j}" for j in k], [f"b{j}" for j in k])
+    q = posterior_sql(rules, {name: name for name in parameters(rules)})
     for it in range(iterations):
         ctes.append(f"par{it + 1} AS MATERIALIZED (SELECT {', '.join(maximise_sql(rules))} FROM "
                     f"(SELECT {', '.join(f'v{j}' for j in k)}, n, {q} AS q FROM pat, par{it}))")
