@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +47,15 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(k)).cast("int")
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Columns ``_id`` (a null id sorts first), ``_tie`` and ``_text`` for operators on whole texts.
 
     Rows that share an id are told apart, and ordered, by ``_tie``, a hash of the
     text; rows equal in id and text share the key and are judged as one document.
-    Other columns are left out, so clashing names cannot matter.
+    Other columns are left out, so clashing names cannot matter; those in ``keep`` come
+    as ``_keep_<name>``.
     """
     i, t = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return docs.select(i.alias("doc_id"), F.coalesce(i, F.lit(NULL_ID)).alias("_id"),
-                       F.xxhash64(t, i.isNull()).alias("_tie"), t.alias("_text"))
+                       F.xxhash64(t, i.isNull()).alias("_tie"), t.alias("_text"),
+                       *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in keep])

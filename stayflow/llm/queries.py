@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import langid, mixing, quality, toxicity, urlfilter
+from stayflow.llm import langid, mixing, quality, suffixdedup, superkmer, toxicity, urlfilter
 from stayflow.llm.common import fold, read
 from stayflow.session import apply_runtime_conf
 
@@ -26,6 +26,11 @@ def op1_sql() -> str:
     return f"WITH {ctes}\nSELECT doc_id, {', '.join(quality.STATS)}, base_failed, p_good, kept FROM {table}"
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 20-word windows cut from every document."""
+    return superkmer.dedup_substrings(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to temperature weights of their sources, in global shuffle order."""
     out = mixing.mix_sources(read(spark, sf_dir, "documents"))
@@ -74,12 +79,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings cut from every document."""
+    return suffixdedup.dedup_bytes(read(spark, sf_dir, "documents")).drop("kept")
+
+
 _REGISTERED = {
     "op1_quality_rules": (op1_quality_rules, op1_sql),
+    "op2_substring_dedup": (op2_substring_dedup, None),
     "op4_mix_sources": (op4_mix_sources, op4_sql),
     "op5_toxicity": (op5_toxicity, None),
     "op7_url_filters": (op7_url_filters, op7_sql),
     "op9_language_id": (op9_language_id, None),
+    "op10_suffix_dedup": (op10_suffix_dedup, None),
 }
 
 
