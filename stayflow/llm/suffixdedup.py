@@ -12,7 +12,7 @@ text around minimisers that occur once never needs sorting:
    gives its suffix array with common-prefix values; neighbours with a common prefix of
    at least ``window`` bytes are equal windows, and all but the earliest are removed.
 
-Passages that many documents share are settled per Arrow batch before the shuffle.
+Passages that many documents share are settled per part of an Arrow batch before the shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from stayflow.llm.common import keyed, staged
 from stayflow.llm.induced import Shard
-from stayflow.llm.vec import _BYTES, SECOND, Spans, buffers, mix, pieces, runs_of, super_kmers
+from stayflow.llm.vec import _BYTES, PART, SECOND, Spans, buffers, mix, pieces, runs_of, super_kmers
 
 WINDOW = 100
 SEED = 50
@@ -68,7 +68,7 @@ def _runs(window: int, seed: int, buckets: int):
     """Batches of (_id, _tie, _text) to packed run descriptions (bucket, blob); bucket -1 has settled runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in pieces(b.column(2), PART)):
             key, tie = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             cols: list[list[np.ndarray]] = [[] for _ in _COLUMNS]
             for lo, hi in pieces(batch.column(2)):
@@ -79,8 +79,6 @@ def _runs(window: int, seed: int, buckets: int):
                 whole = Spans(mix(values), SECOND)(at, at + count + window - 1)
                 for c, x in zip(cols, (least, whole, key[lo + text], tie[lo + text], start, count, twin), strict=True):
                     c.append(x)
-            if not cols[0]:
-                continue
             anchor, whole, k, t, s, n, twin = (np.concatenate(c) for c in cols)
             order, fresh, same = _earliest(anchor, whole, k, t, s)
             bucket = (mix(anchor) % np.uint64(buckets)).astype(np.int64)

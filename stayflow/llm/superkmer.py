@@ -6,9 +6,9 @@ their words travel as one packed string to the bucket of the minimiser.  Equal w
 have equal minimisers, so a bucket sees every occurrence of its windows and finds, by
 sorting them, the first one exactly.
 
-Before the shuffle each Arrow batch settles super-k-mers that repeat within it: only the
-first copy travels as text.  A passage that a third of all documents share is therefore
-one packed string per batch in its bucket, not one per document.
+Before the shuffle each part of an Arrow batch settles super-k-mers that repeat within
+it: only the first copy travels as text.  A passage that a third of all documents share
+is therefore one packed string per part in its bucket, not one per document.
 
 Exchanges: packed strings by bucket; removed ranges and documents by document.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.llm.common import keyed
-from stayflow.llm.vec import Spans, Words, expand, mix, pieces, runs_of, super_kmers
+from stayflow.llm.vec import PART, Spans, Words, expand, mix, pieces, runs_of, super_kmers
 
 WINDOW = 20
 SEED = 5
@@ -59,11 +59,9 @@ def _split(window: int, seed: int, buckets: int):
     """Batches of (_id, _tie, _text) to packed super-k-mers (bucket, blob)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in pieces(b.column(2), PART)):
             key, tie = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             order = np.lexsort((tie, key))
-            if not len(order):
-                continue
             fresh = np.ones(len(order), bool)  # rows equal in id and text are one document
             fresh[1:] = (key[order[1:]] != key[order[:-1]]) | (tie[order[1:]] != tie[order[:-1]])
             order = order[fresh]

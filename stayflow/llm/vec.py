@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text whose arrays are held at once.
-PIECE = 2 << 20
+PIECE = 1 << 20
+#: Bytes of text of a batch part: what repeats within a part is settled before a shuffle.
+PART = 8 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
