@@ -59,3 +59,32 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     return docs.select(i.alias("doc_id"), F.coalesce(i, F.lit(NULL_ID)).alias("_id"),
                        F.xxhash64(t, i.isNull()).alias("_tie"), t.alias("_text"),
                        *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in keep])
+
+
+#: A blocked Bloom filter is a table of at most BLOOM_BLOCKS rows of eight 64-bit words, so
+#: its broadcast has a fixed bound (2.4 MB); more keys only let more false hits through.
+BLOOM_BLOCKS = 1 << 15
+LANES = 8
+
+
+def place(df: DataFrame, keys: Sequence[str], blocks: int = BLOOM_BLOCKS) -> DataFrame:
+    """``df`` plus ``_block`` (of the keys' hash) and ``_m0`` .. ``_m7``, a one-bit mask for each word of the block."""
+    k = ", ".join(f"`{c}`" for c in keys)
+    df = df.withColumn("_block", F.expr(f"cast(pmod(xxhash64({k}), {blocks}) AS int)"))
+    df = df.withColumn("_bits", F.expr(f"xxhash64({k}, 'bits')"))
+    for j in range(LANES):
+        df = df.withColumn(f"_m{j}", F.expr(f"shiftleft(1L, cast(shiftright(_bits, {6 * j}) & 63 AS int))"))
+    return df.drop("_bits")
+
+
+def bloom_blocks(listed: DataFrame, keys: Sequence[str], blocks: int = BLOOM_BLOCKS) -> DataFrame:
+    """Rows (``_block``, ``_b0`` .. ``_b7``), at most ``blocks`` of them, pre-combined before the shuffle."""
+    return place(listed, keys, blocks).groupBy("_block").agg(*[F.bit_or(f"_m{j}").alias(f"_b{j}") for j in range(LANES)])
+
+
+def maybe_listed(df: DataFrame, keys: Sequence[str], listed: DataFrame, listed_keys: Sequence[str] | None = None,
+                 blocks: int = BLOOM_BLOCKS) -> DataFrame:
+    """Rows of ``df`` whose keys may be in ``listed``: all that are, and few others.  An exact join must follow."""
+    bits = " AND ".join(f"(_m{j} & _b{j}) = _m{j}" for j in range(LANES))
+    table = bloom_blocks(listed, listed_keys or keys, blocks)
+    return place(df, keys, blocks).join(F.broadcast(table), "_block").filter(bits).select(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import langid, mixing, quality, suffixdedup, superkmer, toxicity, urlfilter
+from stayflow.llm import jaccard, langid, mixing, quality, suffixdedup, superkmer, toxicity, urlfilter
 from stayflow.llm.common import fold, read
 from stayflow.session import apply_runtime_conf
 
@@ -54,6 +54,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a similarity of 0.8 or more."""
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def listed_urls(pages: DataFrame) -> DataFrame:
     return pages.filter(F.length("html") < THIN_HTML).select("url")
 
@@ -89,6 +94,7 @@ _REGISTERED = {
     "op2_substring_dedup": (op2_substring_dedup, None),
     "op4_mix_sources": (op4_mix_sources, op4_sql),
     "op5_toxicity": (op5_toxicity, None),
+    "op6_ngram_jaccard_join": (op6_ngram_jaccard_join, None),
     "op7_url_filters": (op7_url_filters, op7_sql),
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, None),

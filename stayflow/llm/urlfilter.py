@@ -14,10 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import lower_ascii
+from stayflow.llm.common import BLOOM_BLOCKS, lower_ascii, maybe_listed
 
-BLOCKS = 1 << 15
-LANES = 8
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Query parameters that do not name another page.
@@ -51,23 +49,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return out
 
 
-def place(df: DataFrame, url: str, blocks: int) -> DataFrame:
-    """``df`` plus ``_block`` and ``_m0`` .. ``_m7``: a one-bit mask for each word of the block."""
-    df = df.withColumn("_block", F.expr(f"cast(pmod(xxhash64(`{url}`), {blocks}) AS int)"))
-    df = df.withColumn("_bits", F.expr(f"xxhash64(`{url}`, 'bits')"))
-    for k in range(LANES):
-        df = df.withColumn(f"_m{k}", F.expr(f"shiftleft(1L, cast(shiftright(_bits, {6 * k}) & 63 AS int))"))
-    return df.drop("_bits")
-
-
-def bloom_blocks(listed: DataFrame, url: str, blocks: int = BLOCKS) -> DataFrame:
-    """Rows (``_block``, ``_b0`` .. ``_b7``), at most ``blocks`` of them, pre-combined before the shuffle."""
-    return place(listed.filter(F.col(f"`{url}`").isNotNull()), url, blocks).groupBy("_block").agg(
-        *[F.bit_or(f"_m{k}").alias(f"_b{k}") for k in range(LANES)])
-
-
 def filter_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url", listed_col: str = "url",
-                rules: Sequence[tuple[str, str, str]] = RULES, blocks: int = BLOCKS) -> DataFrame:
+                rules: Sequence[tuple[str, str, str]] = RULES, blocks: int = BLOOM_BLOCKS) -> DataFrame:
     """``pages`` plus ``_host``, ``_path``, ``_canonical``, ``_rule``, ``_listed`` and ``_verdict``.
 
     A rule decides where one fits; else a page is blocked if its canonical URL is in
@@ -85,9 +68,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url", liste
     entries = listed.select(canonical(F.col(f"`{listed_col}`")).alias("_url")).filter("_url IS NOT NULL").distinct()
     # possible hits of the undecided pages: every bit of the URL is set in its block
     open_urls = base.filter("_named IS NULL AND _canonical IS NOT NULL").select("_canonical").distinct()
-    bits = " AND ".join(f"(_m{k} & _b{k}) = _m{k}" for k in range(LANES))
-    possible = (place(open_urls, "_canonical", blocks).join(F.broadcast(bloom_blocks(entries, "_url", blocks)), "_block")
-                .filter(bits).select("_canonical"))
+    possible = maybe_listed(open_urls, ["_canonical"], entries, ["_url"], blocks)
     hits = possible.join(entries, possible["_canonical"] == entries["_url"], "left_semi").select(
         F.col("_canonical").alias("_hit"))
     out = base.join(hits, (base["_canonical"] == hits["_hit"]) & base["_named"].isNull(), "left")
