@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import jaccard, langid, mixing, quality, suffixdedup, superkmer, toxicity, urlfilter
+from stayflow.llm import jaccard, langid, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
 from stayflow.llm.common import fold, read
 from stayflow.session import apply_runtime_conf
 
@@ -76,6 +76,11 @@ def op7_sql() -> str:
             "SELECT page_id, host, path, rule, verdict FROM judged")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that its passages cover."""
+    return tiling.contaminated_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those outside fold 2 of 4."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -96,6 +101,7 @@ _REGISTERED = {
     "op5_toxicity": (op5_toxicity, None),
     "op6_ngram_jaccard_join": (op6_ngram_jaccard_join, None),
     "op7_url_filters": (op7_url_filters, op7_sql),
+    "op8_benchmark_decontamination": (op8_benchmark_decontamination, None),
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
 }

@@ -21,6 +21,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
+#: Letters and digits in lower case, other ASCII to spaces.
+_PLAIN = np.where((np.arange(256) < 128) & ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)]), 32,
+                  _LOWER).astype(np.uint8)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -111,10 +114,13 @@ def pieces(texts: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int]]:
 class Words:
     """Words of some texts: ``data`` has them joined by one space within a text (no space
     between texts); ``start`` and ``end`` are byte positions, ``first`` the first word of
-    each text and, last, the number of words."""
+    each text and, last, the number of words.  ``plain`` takes ASCII punctuation as
+    separators and lower-cases A-Z."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, plain: bool = False):
         raw, off = buffers(texts)
+        if plain:
+            raw = _PLAIN[raw]
         space = _SPACE[raw]
         # a separator stays if it follows a word byte of the same text
         keep = ~space
