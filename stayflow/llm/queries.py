@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import jaccard, langid, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
+from stayflow.llm import jaccard, langid, lm, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
 from stayflow.llm.common import fold, read
 from stayflow.session import apply_runtime_conf
 
@@ -31,6 +31,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.dedup_substrings(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document, learned from those outside fold 2 of 7."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    out = lm.score(docs, docs.filter(~held_out))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to temperature weights of their sources, in global shuffle order."""
     out = mixing.mix_sources(read(spark, sf_dir, "documents"))
@@ -97,6 +105,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED = {
     "op1_quality_rules": (op1_quality_rules, op1_sql),
     "op2_substring_dedup": (op2_substring_dedup, None),
+    "op3_lm_scoring": (op3_lm_scoring, None),
     "op4_mix_sources": (op4_mix_sources, op4_sql),
     "op5_toxicity": (op5_toxicity, None),
     "op6_ngram_jaccard_join": (op6_ngram_jaccard_join, None),
