@@ -6,37 +6,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stayflow.llm import jaccard, mixing, quality, suffixdedup, tiling
-from stayflow.llm.common import read, staged
-from stayflow.session import apply_runtime_conf
+from stayflow.llm.common import prepare, read, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    apply_runtime_conf(spark)
+    prepare(spark)
     return quality.kept_documents(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingle similarity of 0.8 or more."""
-    apply_runtime_conf(spark)
+    prepare(spark)
     return jaccard.one_of_each(docs)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without 100-byte strings that also start earlier."""
-    apply_runtime_conf(spark)
+    prepare(spark)
     return suffixdedup.without_repeats(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item is covered by."""
-    apply_runtime_conf(spark)
+    prepare(spark)
     return tiling.clean_documents(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their sources' target weights, globally shuffled."""
-    apply_runtime_conf(spark)
+    prepare(spark)
     return mixing.mix_sources(docs)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.session import ensure_checkpoint_dir
+from stayflow.session import apply_runtime_conf, ensure_checkpoint_dir
 
 #: A word is a maximal run of other code points than space and \t \n \v \f \r.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -17,6 +17,16 @@ SEPARATOR_RUN = r"[\x20\x09-\x0D]+"
 NULL_ID = -(1 << 63)
 
 
+#: Rows of an Arrow batch: whole documents are long, and a batch is held twice by the JVM and twice by Python.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators on whole texts."""
+    apply_runtime_conf(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -34,6 +34,8 @@ EMBED, HIDDEN = 16, 24
 ROUNDS, SLICES = 3, 24
 TRAIN_LANES, TRAIN_WINDOW = 32, 16
 SCORE_LANES, SCORE_WINDOW = 512, 32
+#: Bytes of text that are scored together.
+SCORE_BYTES = 24 << 20
 RATE = 0.01
 SEED = 7
 
@@ -314,12 +316,25 @@ def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, slices: int = SL
     return net
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int = SCORE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to about ``limit`` bytes of text, so that long texts share their lanes' steps with others."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column(column).nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _score(shared_vocabulary, shared_net):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, net = shared_vocabulary.value, Net(shared_net.value)
         frequent = _value_set(v)
         logs = np.log10(np.concatenate([v.counts, [0]]) + 1.0)
-        for b in batches:
+        for b in _gathered(batches, 3):
             texts, cols = [], [[] for _ in range(5)]
             for lo, hi in pieces(b.column(3)):
                 ids, rank, w = token_ids(b.column(3).slice(lo, hi - lo), frequent, v.known)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.llm import jaccard, langid, lm, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
-from stayflow.llm.common import fold, read
-from stayflow.session import apply_runtime_conf
+from stayflow.llm.common import fold, prepare, read
 
 #: A page with less html than this is thin; op7 lists the URLs of thin pages.
 THIN_HTML = 4000
@@ -118,7 +117,7 @@ _REGISTERED = {
 
 def _session(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_runtime_conf(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
