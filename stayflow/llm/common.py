@@ -98,3 +98,16 @@ def maybe_listed(df: DataFrame, keys: Sequence[str], listed: DataFrame, listed_k
     bits = " AND ".join(f"(_m{j} & _b{j}) = _m{j}" for j in range(LANES))
     table = bloom_blocks(listed, listed_keys or keys, blocks)
     return place(df, keys, blocks).join(F.broadcast(table), "_block").filter(bits).select(*df.columns)
+
+
+def most_frequent(counts: DataFrame, limit: int):
+    """At most ``limit`` rows, those with the largest ``n`` (all of one ``n`` or none), most frequent first.
+
+    The smallest ``n`` that counts is read from the number of words of each ``n``, so the
+    words themselves are not sorted.
+    """
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(limit).toPandas()
+    enough = sizes[sizes["words"].cumsum() <= limit]["n"]
+    if not len(enough):
+        return counts.limit(0).toPandas()
+    return counts.filter(F.col("n") >= int(enough.min())).toPandas().sort_values(["n", "word"], ascending=[False, True], ignore_index=True)

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import keyed, staged
+from stayflow.llm.common import keyed, most_frequent, staged
 from stayflow.llm.vec import PART, Words, expand, pieces
 
 #: Tokens that the network tells apart, in classes of CLASS; the end token is one of them.
@@ -103,11 +103,11 @@ class Net:
     def steps(self, ids: np.ndarray, start: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States (lanes, time, HIDDEN) before each target, and the last one; ``start`` marks first tokens of texts."""
         p, n = self.p, HIDDEN
-        table = p["emb"] @ p["wx"] + p["b"]
-        out = np.empty((*ids.shape, n), np.float32)
+        inputs = p["emb"][ids.T] @ p["wx"] + p["b"]
+        out = np.empty((*ids.shape, n), inputs.dtype)
         for t in range(ids.shape[1]):
-            h = np.where(start[:, t, None], np.float32(0), h)
-            g, r = table[ids[:, t]], h @ p["u"]
+            h = np.where(start[:, t, None], h.dtype.type(0), h)
+            g, r = inputs[t], h @ p["u"]
             gate = 1 / (1 + np.exp(-(g[:, :2 * n] + r[:, :2 * n])))
             z, reset = gate[:, :n], gate[:, n:]
             new = np.tanh(g[:, 2 * n:] + reset * r[:, 2 * n:])
@@ -157,17 +157,20 @@ class Net:
         g["ww"], g["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
         if len(rows):
             c = cls[rows]
-            w = p["ww"][c]
-            b = np.matmul(w, flat[rows][:, :, None])[:, :, 0] + p["bw"][c]
+            first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+            groups = list(zip(c[first].tolist(), first.tolist(), [*first[1:].tolist(), len(c)], strict=True))
+            x, b = flat[rows], p["bw"][c].copy()
+            for k, lo, hi in groups:
+                b[lo:hi] += x[lo:hi] @ p["ww"][k].T
             b = np.exp(b - b.max(1, keepdims=True))
             b /= b.sum(1, keepdims=True)
             at = np.arange(len(rows))
             loss[rows] -= np.log(b[at, y[rows] % CLASS] + 1e-30)
             b[at, y[rows] % CLASS] -= 1
             b /= live
-            d[rows] += np.matmul(b[:, None, :], w)[:, 0]
-            first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            g["ww"][c[first]] = np.add.reduceat(b[:, :, None] * flat[rows][:, None, :], first)
+            for k, lo, hi in groups:
+                d[rows[lo:hi]] += b[lo:hi] @ p["ww"][k]
+                g["ww"][k] = b[lo:hi].T @ x[lo:hi]
             g["bw"][c[first]] = np.add.reduceat(b, first)
         d = d.reshape(lanes, time, n)
         g["u"], dg = np.zeros_like(p["u"]), np.empty((lanes, time, 3 * n), np.float32)
@@ -251,7 +254,7 @@ def learn_vocabulary(train: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabu
     counts = staged(count_words(train), "lm-counts")
     ends = train.count()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    top = most_frequent(counts, frequent)
     return Vocabulary([bytes(x) for x in top["word"]], top["n"].to_numpy().astype(np.int64), ends, total[0] + ends,
                       total[1] + (ends > 0)), counts
 

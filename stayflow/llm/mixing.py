@@ -62,12 +62,12 @@ def source_rates(docs: DataFrame, weights: Mapping[str | None, float] | None = N
         for name, w in weights.items():
             weight = F.when(F.col("_src").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     sizes = sizes.withColumn("_weight", F.when(F.col("_chars") > 0, weight).otherwise(F.lit(0.0)))
-    total = sizes.agg(F.sum("_chars").alias("_all"), F.sum("_weight").alias("_weights"))
-    # one row of totals against one row per source
-    return (sizes.join(F.broadcast(total)).select(
+    total, weights_sum = (sizes.select(F.sum(c)).scalar() for c in ("_chars", "_weight"))
+    sizes = sizes.withColumns({"_all": total, "_weights": weights_sum})
+    return sizes.select(
         "_src", "_chars", F.when((F.col("_chars") > 0) & (F.col("_weights") > 0),
                                  F.lit(float(epochs)) * F.col("_all") * F.col("_weight") / F.col("_weights") / F.col("_chars"))
-        .otherwise(F.lit(0.0)).alias("_rate")))
+        .otherwise(F.lit(0.0)).alias("_rate"))
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = None, epochs: float = EPOCHS,

@@ -154,8 +154,8 @@ class Words:
         lengths = self.end - self.start
         off = np.concatenate([[0], np.cumsum(lengths)])
         inside = np.zeros(len(self.data) + 1, np.int8)
-        np.add.at(inside, self.start, 1)
-        np.add.at(inside, self.end, -1)
+        inside[self.start] += 1  # starts are distinct, and so are ends
+        inside[self.end] -= 1
         flat = self.data[np.cumsum(inside[:-1]).astype(bool)]
         return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(flat)])
 
