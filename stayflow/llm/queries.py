@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.llm import jaccard, langid, lm, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
-from stayflow.llm.common import fold, prepare, read
+from stayflow.llm.common import fold, maybe_listed, prepare, read
 
 #: A page with less html than this is thin; op7 lists the URLs of thin pages.
 THIN_HTML = 4000
@@ -53,8 +53,8 @@ def op4_sql() -> str:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows outside fold 0 of 5."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    train = docs.filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", "text").join(
-        labels.filter("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id")
+    known = labels.filter("toxic IS NOT NULL").filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
+    train = maybe_listed(docs.select("doc_id", "text"), ["doc_id"], known).join(known, "doc_id")
     weights, intercept = toxicity.train(train)
     out = toxicity.score(docs, weights, intercept)
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",

@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.llm.common import staged
+
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 18
 FEATURES = 1 << 15
-#: Labelled rows of each class that the regression sees.
+#: Distinct labelled texts of each class that the regression sees, those with the smallest hashes.
 SAMPLE = 3000
 SMOOTHING = 1.0
 L2 = 1e-3
@@ -101,16 +103,16 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scal
     return w, b
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = SAMPLE) -> tuple[np.ndarray, float]:
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weight of each bucket and the intercept, from rows with a text and a label 0 or 1.
 
     Null labels and other values are left out; without rows of both classes every
     weight is 0 and the intercept gives the only class (or 0.5).
     """
     y = F.col(f"`{label_col}`").cast("int")
-    rows = labelled.filter(y.isin(0, 1)).select(
-        F.col(f"`{id_col}`").alias("_i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_t"), y.alias("_y"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    # read for the counts and for each class's sample: written once
+    rows = staged(labelled.filter(y.isin(0, 1)).select(text.alias("_t"), F.xxhash64(text).alias("_h"), y.alias("_y")), "toxicity-train")
     # at most 2 * BUCKETS + 2 rows, whatever the corpus
     counts = count_table(rows, "_t", "_y").toPandas()
     n = np.zeros((2, BUCKETS))
@@ -143,8 +145,11 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     parts = []
     for label in (0, 1):
-        picked = rows.filter(F.col("_y") == label).orderBy(F.xxhash64("_t"), "_t", "_i").limit(sample)
-        parts.append(picked.select("_t", "_y").mapInArrow(features, "x binary, y int").toPandas())
+        own = rows.filter(F.col("_y") == label)
+        # the bound is found on hashes alone, so no more than the sampled texts move
+        bound = own.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+        picked = own.filter(F.col("_h") <= bound).dropDuplicates(["_h"])
+        parts.append(picked.select("_t", "_y").mapInArrow(features, "x binary, y int").orderBy("x").toPandas())
     xs = [np.frombuffer(x, np.int32).astype(np.int64) for part in parts for x in part["x"]]
     ys = np.concatenate([part["y"].to_numpy() for part in parts]).astype(float)
     share = np.array([size[int(label)] / len(parts[int(label)]) for label in ys])
