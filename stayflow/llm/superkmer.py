@@ -35,24 +35,41 @@ SEED = 5
 BUCKETS_PER_PARTITION = 8
 
 
+def _bytes(a: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, and so on: like bytes compress well."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+
+
+def _numbers(b: bytes, kind, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8, n * size, at).reshape(size, n).T).view(kind)[:, 0]
+
+
+_LAYOUT = (np.int64, np.int64, np.int32)  # per document: id, tie, super-k-mers
+_RUNS = (np.int32, np.int32, np.uint8)  # per super-k-mer: start, windows, whether its words follow
+
+
 def _pack(key: np.ndarray, tie: np.ndarray, start: np.ndarray, count: np.ndarray, strings: list[bytes | None]) -> bytes:
-    """Columns of super-k-mers and, for those not settled, their words."""
-    sent = np.array([s is not None for s in strings], np.uint8)
-    head = struct.pack("<q", len(key))
-    body = b"".join([key.astype(np.int64).tobytes(), tie.astype(np.int64).tobytes(), start.astype(np.int32).tobytes(),
-                     count.astype(np.int32).tobytes(), sent.tobytes(), b"\n".join(s for s in strings if s is not None)])
-    return zstandard.ZstdCompressor(level=3).compress(head + body)
+    """Super-k-mers in document order and, for those not settled, their words."""
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (tie[1:] != tie[:-1])
+    first = np.flatnonzero(new)
+    per = np.diff(np.concatenate([first, [len(key)]]))
+    sent = np.array([s is not None for s in strings])
+    cols = [*zip((key[first], tie[first], per), _LAYOUT, strict=True), *zip((start, count, sent), _RUNS, strict=True)]
+    body = b"".join(_bytes(c.astype(k)) for c, k in cols) + b"\n".join(s for s in strings if s is not None)
+    return zstandard.ZstdCompressor(level=6).compress(struct.pack("<qq", len(first), len(key)) + body)
 
 
 def _unpack(blob: bytes):
     b = zstandard.ZstdDecompressor().decompress(blob)
-    n = struct.unpack_from("<q", b)[0]
-    at, cols = 8, []
-    for kind in (np.int64, np.int64, np.int32, np.int32, np.uint8):
-        cols.append(np.frombuffer(b, kind, n, at))
+    docs, runs = struct.unpack_from("<qq", b)
+    at, cols = 16, []
+    for kind, n in [*((k, docs) for k in _LAYOUT), *((k, runs) for k in _RUNS)]:
+        cols.append(_numbers(b, kind, n, at) if n else np.empty(0, kind))
         at += cols[-1].nbytes
-    words = b[at:].split(b"\n") if cols[4].any() else []
-    return *cols, words
+    key, tie, per, start, count, sent = cols
+    return np.repeat(key, per), np.repeat(tie, per), start, count, sent, b[at:].split(b"\n") if sent.any() else []
 
 
 def _split(window: int, seed: int, buckets: int):
