@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayflow.catalog import query
-from stayflow.functions.codes import FLAG_COLUMNS
+from stayflow.functions.codes import CHAPTERS, FLAG_COLUMNS, HEMATOLOGIC_COMPAT_HIGH, LETTER_CHAPTERS
 from stayflow.functions.timefn import hours_between, plus_hours
 from stayflow.operators import aggregates as A
 from stayflow.operators import ordering as O
@@ -220,7 +220,7 @@ def count_rows(spark, d):
 
 
 @query("count_distinct", sql="""
-SELECT CAST(count(DISTINCT ICD9_CODE) + max(CASE WHEN ICD9_CODE IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+SELECT CAST(count(DISTINCT ICD9_CODE) + coalesce(max(CASE WHEN ICD9_CODE IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT)
        AS distinct_ICD9_CODE
 FROM r_diagnoses_icd""")
 def count_distinct(spark, d):
@@ -263,19 +263,17 @@ def source_distribution(spark, d):
 
 
 def _flag_sql(code: str = "ICD9_CODE", compat: bool = False, strict: bool = False) -> list[str]:
-    """Oracle form of the chapter rule: the regular-expression prefixes."""
-    pats = {
-        "has_infectious": "^(00[1-9]|0[1-9][0-9]|1[0-3][0-9])", "has_malignancy": "^(1[4-9][0-9]|2[0-3][0-9])",
-        "has_endocrine": "^2[4-7][0-9]", "has_hematologic": "^2[89][0-9]" if compat else "^28[0-9]",
-        "has_psychiatric": "^(29[0-9]|3[01][0-9])", "has_neurological": "^3[2-8][0-9]",
-        "has_cardiovascular": "^(39[0-9]|4[0-5][0-9])", "has_respiratory": "^(4[6-9][0-9]|5[01][0-9])",
-        "has_gastrointestinal": "^5[2-7][0-9]", "has_genitourinary": "^(5[89][0-9]|6[0-2][0-9])",
-        "has_obstetric": "^6[3-7][0-9]", "has_skin": "^(6[89][0-9]|70[0-9])",
-        "has_musculoskeletal": "^7[1-3][0-9]", "has_congenital": "^7[45][0-9]", "has_perinatal": "^7[67][0-9]",
-        "has_symptoms_signs": "^7[89][0-9]", "has_trauma": "^[89][0-9][0-9]",
-        "has_external_causes": "^E[0-9]" if strict else "^E", "has_supplemental": "^V[0-9]" if strict else "^V",
-    }
-    return [f"CASE WHEN regexp_matches({code}, '{pats[f]}') THEN 1 ELSE 0 END" for f in FLAG_COLUMNS]
+    """Oracle form of the chapter rule: the first three characters as a number within the
+    chapter's range, or the chapter's letter (``strict``: a digit after it)."""
+    number = f"TRY_CAST(CASE WHEN regexp_matches({code}, '^[0-9][0-9][0-9]') THEN substr({code}, 1, 3) END AS INTEGER)"
+    out = {}
+    for name, low, high, _label in CHAPTERS:
+        top = HEMATOLOGIC_COMPAT_HIGH if compat and name == "has_hematologic" else high
+        out[name] = f"CASE WHEN {number} BETWEEN {low} AND {top} THEN 1 ELSE 0 END"
+    for name, letter, _label in LETTER_CHAPTERS:
+        digit = f" AND TRY_CAST(substr({code}, 2, 1) AS INTEGER) IS NOT NULL" if strict else ""
+        out[name] = f"CASE WHEN starts_with({code}, '{letter}'){digit} THEN 1 ELSE 0 END"
+    return [out[f] for f in FLAG_COLUMNS]
 
 
 ADM_FLAGS_SQL = ("SELECT HADM_ID, " + ", ".join(f"max({e}) AS {f}" for e, f in zip(_flag_sql(), FLAG_COLUMNS))
@@ -463,10 +461,18 @@ def distinct_rows(spark, d):
     return O.distinct_rows(tm.icustays(spark, d), ["SUBJECT_ID", "FIRST_CAREUNIT"])
 
 
-@query("sample_fraction")
+_SAMPLE_ROWS = 20000
+
+
+@query("sample_fraction", sql=f"""
+WITH n AS (SELECT count(*)::HUGEINT AS total FROM lineitem)
+SELECT l_orderkey, l_linenumber FROM lineitem, n
+WHERE ('0x' || substr(md5('42|' || l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR), 1, 15))::BIGINT
+      < CASE WHEN total <= {_SAMPLE_ROWS} THEN {1 << 60}::HUGEINT ELSE {_SAMPLE_ROWS << 60}::HUGEINT // total END""")
 def sample_fraction(spark, d):
-    """Bernoulli sample, fraction min(1, 50000 / n), seed 42 (rows-only check)."""
-    return O.sample_fraction(tm.read(spark, d, "lineitem"), 50000, 42)
+    """Bernoulli sample by a hash of the line's key, fraction min(1, 20,000 / n), seed 42."""
+    out = O.sample_fraction(tm.read(spark, d, "lineitem"), _SAMPLE_ROWS, 42, key=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber")
 
 
 @query("union_results", dbl="percentage", sql="""

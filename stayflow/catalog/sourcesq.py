@@ -48,25 +48,26 @@ def csv_scan(spark, d):
     return io.load_csv_table(spark, folder, "icustays")
 
 
-@query("csv_scan_sampled_infer", dbl="c_acctbal", sql="""
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+@query("csv_scan_sampled_infer", sql="""
+SELECT * FROM (VALUES ('c_custkey', 'int'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
+                      ('c_mktsegment', 'string')) t("column", inferred), (SELECT count(*) AS rows FROM customer)""")
 def csv_scan_sampled_infer(spark, d):
-    """Schema inferred on a 10 % sample of the CSV rows (types cast back to the source's)."""
+    """Column types that a 10 % sample of the CSV rows gives, and the rows read with them."""
     folder = io.scratch_path(spark, "csv_infer")
     tm.read(spark, d, "customer").write.mode("overwrite").option("header", True).csv(folder)
     df = io.load_csv_sampled_infer(spark, folder, 0.1)
-    return df.select(F.col("c_custkey").cast("long"), F.col("c_name").cast("string"),
-                     F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("double"),
-                     F.col("c_mktsegment").cast("string"))
+    types = ", ".join(f"'{c}', '{t}'" for c, t in df.dtypes)
+    return df.agg(F.count(F.lit(1)).alias("rows")).selectExpr(f"stack({len(df.columns)}, {types}) AS (column, inferred)", "rows")
 
 
 @query("typed_event_scan", dbl="VALUENUM", sql="""
-SELECT CAST(event_id AS INTEGER) AS ROW_ID, CAST(user_id AS INTEGER) AS SUBJECT_ID,
-       CAST(user_id AS INTEGER) AS ICUSTAY_ID, event_type AS ITEMID, ts AS CHARTTIME, value AS VALUENUM
+SELECT event_id AS ROW_ID, CAST(user_id AS INTEGER) AS SUBJECT_ID,
+       CAST(user_id AS INTEGER) AS ICUSTAY_ID, event_type AS ITEMID, ts AS CHARTTIME, value AS VALUENUM,
+       (SELECT count(value) FROM events) AS values_read
 FROM events""")
 def typed_event_scan(spark, d):
     """Events written as CHARTEVENTS-shaped CSV and read with the declared schema plus a
-    per-column override (ITEMID holds text here)."""
+    per-column override (ITEMID holds text here); with the number of values read."""
     e = tm.read(spark, d, "events")
     schema = schema_of("CHARTEVENTS")
     cols = []
@@ -78,29 +79,27 @@ def typed_event_scan(spark, d):
     folder = io.scratch_path(spark, "typed_scan")
     (e.select(*cols).write.mode("overwrite").option("header", True).option("timestampFormat", TS_WRITE)
      .option("timestampNTZFormat", TS_WRITE).csv(folder))
-    df = (spark.read.schema(io.typed_event_scan(spark, folder, schema, {"ITEMID": "string"}).schema)
-          .option("header", True).option("timestampFormat", TS_WRITE).csv(folder))
-    return df.select("ROW_ID", "SUBJECT_ID", "ICUSTAY_ID", "ITEMID", "CHARTTIME", "VALUENUM")
+    df = io.typed_event_scan(spark, folder, schema, {"ITEMID": "string"}, timestamp_format=TS_WRITE)
+    values = df.select(F.count("VALUENUM")).scalar()
+    return df.select("ROW_ID", "SUBJECT_ID", "ICUSTAY_ID", "ITEMID", "CHARTTIME", "VALUENUM", values.alias("values_read"))
 
 
-@query("sql_view_scan", dbl="AGE TOTAL_LOS REMAINING_LOS", sql=BASE_SQL.format(w=24))
+@query("sql_view_scan", dbl="longest_los", sql="""
+SELECT s.FIRST_CAREUNIT, p.GENDER, count(*) AS stays, count(DISTINCT s.SUBJECT_ID) AS patients, max(s.LOS) AS longest_los
+FROM r_icustays s INNER JOIN r_patients p USING (SUBJECT_ID) GROUP BY ALL""")
 def sql_view_scan(spark, d):
-    """Role tables registered as temp views; the base-feature SQL text runs over them."""
-    views = {"icustays": tm.icustays(spark, d), "patients": tm.patients(spark, d),
-             "admissions": tm.admissions(spark, d)}
+    """Role tables registered as temp views and summarised by SQL over them."""
+    views = {"stay_view": tm.icustays(spark, d), "person_view": tm.patients(spark, d)}
     return io.sql_view_scan(spark, views, """
-    SELECT i.ICUSTAY_ID, i.SUBJECT_ID, i.HADM_ID, p.GENDER,
-           CAST(DATEDIFF(CAST(a.ADMITTIME AS DATE), CAST(p.DOB AS DATE)) AS DOUBLE) / 365.25 AS AGE,
-           a.ADMISSION_TYPE, i.FIRST_CAREUNIT, i.LOS AS TOTAL_LOS,
-           CASE WHEN i.LOS IS NULL THEN NULL ELSE GREATEST(i.LOS - (24 / 24.0D), 0D) END AS REMAINING_LOS,
-           a.HOSPITAL_EXPIRE_FLAG, hour(a.ADMITTIME) AS ADMISSION_HOUR,
-           CASE WHEN LOWER(a.ADMISSION_TYPE) LIKE '%urgent%' THEN 1 ELSE 0 END AS IS_EMERGENCY,
-           CASE WHEN i.FIRST_CAREUNIT = i.LAST_CAREUNIT THEN 1 ELSE 0 END AS SAME_UNIT_STAY
-    FROM icustays i JOIN patients p ON i.SUBJECT_ID = p.SUBJECT_ID JOIN admissions a ON i.HADM_ID = a.HADM_ID
-    WHERE i.LOS IS NOT NULL AND i.LOS > 0""")
+    WITH per_patient AS (
+      SELECT SUBJECT_ID, FIRST_CAREUNIT, count(*) AS n, max(LOS) AS los
+      FROM stay_view GROUP BY SUBJECT_ID, FIRST_CAREUNIT)
+    SELECT FIRST_CAREUNIT, GENDER, sum(n) AS stays, count(*) AS patients, max(los) AS longest_los
+    FROM per_patient JOIN person_view USING (SUBJECT_ID) GROUP BY FIRST_CAREUNIT, GENDER""")
 
 
-_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+           "pages", "benchmark", "labels", "conversations"]
 
 
 _MANIFEST_SQL = "\nUNION ALL\n".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _TABLES)
@@ -178,48 +177,121 @@ def range_partitioned_layout(spark, d):
 
 # ------------------------------------------------------------------ 2.2 constraint checks
 
+# Role tables that stand for declared tables: (declared name, frame, role view).
+_DECLARED = {
+    "PATIENTS": (tm.patients, "r_patients"), "ADMISSIONS": (tm.admissions, "r_admissions"),
+    "ICUSTAYS": (tm.icustays, "r_icustays"), "DIAGNOSES_ICD": (tm.diagnoses_icd, "r_diagnoses_icd"),
+    "D_ICD_DIAGNOSES": (tm.d_icd_diagnoses, "r_d_icd_diagnoses"), "D_ITEMS": (tm.d_items, "r_d_items"),
+    "LABEVENTS": (tm.labevents, "r_labevents"), "CHARTEVENTS": (tm.chartevents, "r_chartevents"),
+}
+
+
+def _shown(cols) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+
+
+def _keys(columns: dict[str, list[str]]):
+    """Checkable primary keys: those whose columns the role table has."""
+    for t, (frame, view) in _DECLARED.items():
+        key = table_spec(t).primary_key
+        if key and all(c in columns[t] for c in key):
+            yield t, frame, view, key
+
+
+def _references(columns: dict[str, list[str]]):
+    """Checkable foreign keys: both tables are role tables and have the columns (the chart
+    events' role has text for its item ids, so those are not compared)."""
+    for t, (frame, view) in _DECLARED.items():
+        for cols, parent, parent_cols in table_spec(t).foreign_keys:
+            if (t, parent) != ("CHARTEVENTS", "D_ITEMS") and parent in _DECLARED and all(c in columns[t] for c in cols) and all(c in columns[parent] for c in parent_cols):
+                yield t, frame, view, cols, parent, parent_cols
 
-@query("pk_violations", sql="""
-SELECT HADM_ID, SEQ_NUM, count(*) AS count FROM r_diagnoses_icd GROUP BY HADM_ID, SEQ_NUM HAVING count(*) > 1""")
+
+# The columns that the role tables have of those declared (see testmap).
+_COLUMNS = tm.ROLE_COLUMNS
+
+_PK_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", {_shown(key)} AS key, count(*) AS count FROM {view} GROUP BY {', '.join(key)} "
+    f"HAVING count(*) > 1 OR {' OR '.join(f'{c} IS NULL' for c in key)}" for t, _, view, key in _keys(_COLUMNS))
+# (admission, sequence number) is declared nowhere, but meant to be unique
+_PK_SQL += ("\nUNION ALL\nSELECT 'DIAGNOSES_ICD (HADM_ID, SEQ_NUM)', " + _shown(["HADM_ID", "SEQ_NUM"])
+            + ", count(*) FROM r_diagnoses_icd GROUP BY HADM_ID, SEQ_NUM HAVING count(*) > 1 OR HADM_ID IS NULL OR SEQ_NUM IS NULL")
+
+
+def _key_text(cols):
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
+@query("pk_violations", sql=_PK_SQL)
 def pk_violations(spark, d):
-    """(admission, sequence number) is not unique in the diagnosis role."""
-    return Q.pk_violations(tm.diagnoses_icd(spark, d), ["HADM_ID", "SEQ_NUM"])
+    """Repeated or NULL keys of every role table's declared primary key."""
+    checks = [(t, frame(spark, d), list(key)) for t, frame, _, key in _keys(_COLUMNS)]
+    checks.append(("DIAGNOSES_ICD (HADM_ID, SEQ_NUM)", tm.diagnoses_icd(spark, d), ["HADM_ID", "SEQ_NUM"]))
+    out = None
+    for t, df, key in checks:
+        part = Q.pk_violations(df, key).select(F.lit(t).alias("table"), _key_text(key).alias("key"), "count")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("fk_orphans", sql="""
-SELECT d.HADM_ID, d.SEQ_NUM, d.ICD9_CODE FROM r_diagnoses_icd d
-WHERE d.HADM_ID IS NOT NULL AND NOT EXISTS (
-  SELECT 1 FROM r_admissions a WHERE a.HADM_ID = d.HADM_ID AND a.HOSPITAL_EXPIRE_FLAG = 1)""")
-def fk_orphans(spark, d):
-    """Diagnoses whose admission is missing from a filtered parent (status 'F' orders)."""
-    parent = tm.admissions(spark, d).filter(F.col("HOSPITAL_EXPIRE_FLAG") == 1)
-    return Q.fk_orphans(tm.diagnoses_icd(spark, d), parent, "HADM_ID")
+_FK_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", '{'|'.join(cols)}' AS columns, '{parent}' AS parent, "
+    f"(SELECT count(*) FROM {view} c WHERE {' AND '.join(f'c.{x} IS NOT NULL' for x in cols)} AND NOT EXISTS (SELECT 1 FROM "
+    f"{_DECLARED[parent][1]} p WHERE {' AND '.join(f'p.{y} = c.{x}' for x, y in zip(cols, ys, strict=True))})) AS orphans"
+    for t, _, view, cols, parent, ys in _references(_COLUMNS))
+_FK_SQL += ("\nUNION ALL\nSELECT 'DIAGNOSES_ICD', 'HADM_ID', 'ADMISSIONS with deaths', (SELECT count(*) FROM r_diagnoses_icd c "
+            "WHERE HADM_ID IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r_admissions p WHERE p.HADM_ID = c.HADM_ID "
+            "AND p.HOSPITAL_EXPIRE_FLAG = 1))")
 
 
-def _nn_cols(table: str, present: list[str]) -> list[str]:
-    return [c for c in table_spec(table).not_null_columns() if c in present]
+@query("fk_orphans", sql=_FK_SQL)
+def fk_orphans(spark, d):
+    """Orphans of every declared foreign key between role tables, and of a filtered parent."""
+    checks = [(t, frame(spark, d), list(cols), parent, _DECLARED[parent][0](spark, d), list(ys))
+              for t, frame, _, cols, parent, ys in _references(_COLUMNS)]
+    checks.append(("DIAGNOSES_ICD", tm.diagnoses_icd(spark, d), ["HADM_ID"], "ADMISSIONS with deaths",
+                   tm.admissions(spark, d).filter(F.col("HOSPITAL_EXPIRE_FLAG") == 1), ["HADM_ID"]))
+    out = None
+    for t, df, cols, name, parent, ys in checks:
+        part = Q.fk_orphans(df, parent, cols, ys).agg(F.count(F.lit(1)).alias("orphans")).select(
+            F.lit(t).alias("table"), F.lit("|".join(cols)).alias("columns"), F.lit(name).alias("parent"), "orphans")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-_NN = {
-    "ICUSTAYS": ("r_icustays", ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "DBSOURCE", "FIRST_CAREUNIT",
-                                "LAST_CAREUNIT", "INTIME", "OUTTIME", "LOS"]),
-    "ADMISSIONS": ("r_admissions", ["SUBJECT_ID", "HADM_ID", "ADMITTIME", "DISCHTIME", "ADMISSION_TYPE",
-                                    "INSURANCE", "MARITAL_STATUS", "HOSPITAL_EXPIRE_FLAG"]),
-    "PATIENTS": ("r_patients", ["SUBJECT_ID", "GENDER", "DOB", "EXPIRE_FLAG"]),
-    "DIAGNOSES_ICD": ("r_diagnoses_icd", ["HADM_ID", "SEQ_NUM", "ICD9_CODE"]),
-}
+def _nn_cols(table: str) -> list[str]:
+    return [c for c in table_spec(table).not_null_columns() if c in _COLUMNS[table]]
 
 
 @query("not_null_violations", sql="\nUNION ALL\n".join(
     f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM {v}"
-    for t, (v, cols) in _NN.items() for c in _nn_cols(t, cols)))
+    for t, (_, v) in _DECLARED.items() for c in _nn_cols(t)))
 def not_null_violations(spark, d):
     """Null count of every declared NOT NULL column of each role table."""
-    frames = {"ICUSTAYS": tm.icustays(spark, d), "ADMISSIONS": tm.admissions(spark, d),
-              "PATIENTS": tm.patients(spark, d), "DIAGNOSES_ICD": tm.diagnoses_icd(spark, d)}
     out = None
-    for t, df in frames.items():
-        part = Q.not_null_violations(df, _nn_cols(t, _NN[t][1])).select(F.lit(t).alias("table"), "*")
+    for t, (frame, _) in _DECLARED.items():
+        if cols := _nn_cols(t):
+            part = Q.not_null_violations(frame(spark, d), cols).select(F.lit(t).alias("table"), "*")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+_REGISTRY_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS declared, {str(f.nullable).lower()} AS nullable, "
+    f"{str(f.name in _COLUMNS[t]).lower()} AS present, (SELECT count({f.name if f.name in _COLUMNS[t] else 'NULL'}) FROM {v}) AS filled"
+    for t, (_, v) in _DECLARED.items() for f in schema_of(t).fields)
+
+
+@query("schema_registry", sql=_REGISTRY_SQL)
+def schema_registry(spark, d):
+    """Declared columns of every role table against the columns read, with their non-null counts."""
+    out = None
+    for t, (frame, _) in _DECLARED.items():
+        df, fields = frame(spark, d), schema_of(t).fields
+        one = df.agg(*[(F.count(F.col(f.name)) if f.name in df.columns else F.lit(0).cast("long")).alias(f"c{i}") for i, f in enumerate(fields)])
+        rows = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, {str(f.name in df.columns).lower()}, c{i}"
+                         for i, f in enumerate(fields))
+        part = one.selectExpr(f"'{t}' AS table", f"stack({len(fields)}, {rows}) AS (column, declared, nullable, present, filled)")
         out = part if out is None else out.unionByName(part)
     return out
 

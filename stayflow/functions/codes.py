@@ -72,13 +72,3 @@ def chapter_flag_columns(code: Column, compat: bool = False, strict_letters: boo
             hit = code.startswith(letter)
         cols.append(F.when(hit, 1).otherwise(0).alias(name))
     return cols
-
-
-def chapter_table(spark):
-    """The 19-row chapter dictionary (flag, category, range label) as a DataFrame."""
-    rows = [(name, _category_label(name), RANGE_LABELS[name]) for name in FLAG_COLUMNS]
-    return spark.createDataFrame(rows, "flag string, category string, code_range string")
-
-
-def _category_label(flag: str) -> str:
-    return flag.removeprefix("has_").replace("_", " ").title()

@@ -11,14 +11,10 @@ def hours_between(later: Column, earlier: Column) -> Column:
     return (F.unix_timestamp(later) - F.unix_timestamp(earlier)) / F.lit(3600)
 
 
-def days_between_exact(later: Column, earlier: Column) -> Column:
-    return (F.unix_timestamp(later) - F.unix_timestamp(earlier)) / F.lit(86400)
-
-
 def plus_hours(ts: Column, hours) -> Column:
-    """``ts + hours`` as an hour-exact interval (not ``date_add``, which drops the time)."""
-    h = hours if isinstance(hours, Column) else F.lit(int(hours))
-    return ts + F.make_dt_interval(F.lit(0), h.cast("int"), F.lit(0), F.lit(0))
+    """``ts + hours`` to the second, fractions of an hour included."""
+    h = hours if isinstance(hours, Column) else F.lit(float(hours))
+    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (h * 3600).cast("decimal(18,6)"))
 
 
 def years_by_months(later: Column, earlier: Column) -> Column:

@@ -39,7 +39,8 @@ def count_rows(df: DataFrame, alias: str = "row_count") -> DataFrame:
 def count_distinct(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
     """Distinct values of ``col`` counting NULL as one value (``distinct().count()``)."""
     alias = alias or f"distinct_{col}"
-    return df.agg((F.count_distinct(col) + F.max(F.col(col).isNull().cast("int"))).cast("long").alias(alias))
+    nulls = F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0))
+    return df.agg((F.count_distinct(col) + nulls).cast("long").alias(alias))
 
 
 def group_count_having(df: DataFrame, key: str, counted: str, alias: str = "child_count",
@@ -71,10 +72,11 @@ def source_distribution(events: DataFrame, items: DataFrame, stay_col: str = "IC
                         item_col: str = "ITEMID", source_col: str = "DBSOURCE",
                         alias: str = "count") -> DataFrame:
     """Events that belong to a stay, per item source system, descending."""
-    from stayflow.operators.relational import DICTIONARY_MAX_ROWS, broadcast_if_small
     ev = events.filter(F.col(stay_col).isNotNull()).select(item_col)
-    return (ev.join(broadcast_if_small(items.select(item_col, source_col), DICTIONARY_MAX_ROWS), item_col, "inner")
-            .groupBy(source_col).agg(F.count(F.lit(1)).alias(alias))
+    # counted per item first: a hot item is one row of the join
+    per_item = ev.groupBy(item_col).agg(F.count(F.lit(1)).alias("_n"))
+    return (per_item.join(items.select(item_col, source_col), item_col, "inner")
+            .groupBy(source_col).agg(F.sum("_n").alias(alias))
             .orderBy(F.col(alias).desc(), F.col(source_col)))
 
 
@@ -163,9 +165,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5
 
 
 def mode_value(df: DataFrame, col: str, alias: str = "mode", by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent non-null value, the smallest one on ties (pandas ``mode().iloc[0]``)."""
-    agg = F.mode(F.col(col), deterministic=True).alias(alias)
-    return df.groupBy(*by).agg(agg) if by else df.agg(agg)
+    """Most frequent non-null value, the smallest one on ties (pandas ``mode().iloc[0]``).
+
+    Values are counted by a shuffle on (group, value), so no task holds the values of a
+    group; a group without values gives NULL."""
+    count = df.groupBy(*by, col).agg(F.count(F.col(col)).alias("_n"))
+    best = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct(-F.col("_n"), F.col(col)))).alias(alias)
+    return count.groupBy(*by).agg(best) if by else count.agg(best)
 
 
 def scalar_row(one_row: DataFrame):

@@ -29,20 +29,27 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return (df.select(*columns) if columns else df).distinct()
 
 
+def sample_bound(target_rows: int, total: int) -> int:
+    """Keys whose 60-bit hash is below this are sampled."""
+    return (1 << 60) if total <= target_rows else (target_rows << 60) // total
+
+
 def sample_fraction(df: DataFrame, target_rows: int = 50000, seed: int = 42, total: int | None = None,
-                    key: str | None = None) -> DataFrame:
+                    key: str | Sequence[str] | None = None) -> DataFrame:
     """Bernoulli sample with fraction ``min(1, target_rows / n)``.
 
-    With ``key`` the sample is a hash of the key (reproducible across runs and
-    engines); otherwise Spark's seeded sampler is used.
+    With ``key`` (a column or several) the sample is decided by 60 bits of the md5 of seed
+    and key, which other engines can repeat; otherwise Spark's seeded sampler is used.
     """
     if total is None:
         total = df.count()
     fraction = 1.0 if total <= target_rows else target_rows / total
     if key is None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    return df.filter(bucket < F.lit(int(round(fraction * 1_000_000))))
+    keys = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    place = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return df.filter(place < F.lit(sample_bound(target_rows, total)))
 
 
 def union_results(frames: Sequence[DataFrame], labels: Sequence[str] | None = None,

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 
 def pk_violations(df: DataFrame, key: Sequence[str] | str, alias: str = "count") -> DataFrame:
-    """Key values that occur more than once (NULL keys count as violations too)."""
+    """Key values that occur more than once or have a NULL part."""
     key = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)
+    null_part = None
+    for k in key:
+        c = F.col(k).isNull()
+        null_part = c if null_part is None else null_part | c
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias(alias)).filter((F.col(alias) > 1) | null_part)
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str] | str,

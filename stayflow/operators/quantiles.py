@@ -1,184 +1,208 @@
-"""Exact (linearly interpolated) quantiles of whole columns without a single-task value map.
-
-Spark's exact ``percentile`` merges a value -> count map of the whole column in one
-task, which grows with the number of distinct values.  pandas' ``quantile`` /
-``median`` need the order statistics at ranks ``floor(p (n - 1))`` and the next one,
-and those can be found with bounded work:
-
-1. one aggregate: ``count`` and ``percentile_approx`` at ``p -/+ delta`` per column
-   (rank error of the sketch <= n / accuracy, so the bracket holds the target ranks);
-2. one aggregate: how many values fall below / inside each bracket (verifies it);
-3. per bracket: the distinct values inside it with their counts, collected in order
-   (about ``4 n / accuracy`` values at most, ties collapse to one row).
-
-A bracket that does not verify (it cannot with a correct sketch, but ties at the
-edges are handled conservatively) falls back to Spark's exact ``percentile`` for that
-column, so the result is always exact.  Columns with at most ``DIRECT_MAX_ROWS``
-values skip the brackets: their exact ``percentile`` map is bounded by that count.
+"""Exact (linearly interpolated) quantiles of whole columns and of groups, one way at every size.
+
+pandas' ``quantile`` / ``median`` need the order statistics at ranks ``floor(p (n - 1))``
+and the next one.  Each wanted rank has a bracket: an open interval of values that
+holds it, with the number of values below and inside.  A round sketches the inside
+(``percentile_approx``), takes two values around the rank and counts the values below
+and up to each, exactly; the rank is then one of the two values or lies in a narrower
+bracket.  When at most ``LISTED`` values are inside, they are listed and the rank is read
+off.  Nothing that grows with the column reaches one task or the driver: a round returns
+a row of counts, the listing at most ``LISTED`` values per rank.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
-DELTA = 3.0 / ACCURACY
-# Up to this many values per column the exact percentile is computed directly.
-DIRECT_MAX_ROWS = 1_000_000
+from stayflow.session import materialize
+
+#: Values of a bracket that may be listed.
+LISTED = 1000
+ACCURACY = 10_000
+#: Steps of the sketch of a group (its percentages must be literals).
+STEPS = 128
 
 
 def _q(c: str) -> str:
     return f"`{c}`"
 
 
-def exact_percentiles(df: DataFrame, specs: Sequence[tuple[str, float]],
-                      accuracy: int = ACCURACY) -> dict[tuple[str, float], float | None]:
-    """``{(column, p): value}`` with pandas' linear interpolation between order statistics."""
+def _ranks(n: int, p: float) -> tuple[int, float]:
+    pos = p * (n - 1)
+    return int(math.floor(pos)), pos - math.floor(pos)
+
+
+@dataclass
+class _Bracket:
+    """Values in (lo, hi), None for open ends: ``inside`` of them after ``below`` smaller ones."""
+    column: str
+    rank: int
+    inside: int
+    below: int = 0
+    lo: float | None = None
+    hi: float | None = None
+    value: float | None = None
+
+    def x(self) -> Column:
+        return F.col(_q(self.column)).cast("double")
+
+    def holds(self) -> Column:
+        c = self.x().isNotNull()
+        if self.lo is not None:
+            c = c & (self.x() > F.lit(self.lo))
+        if self.hi is not None:
+            c = c & (self.x() < F.lit(self.hi))
+        return c
+
+    def around(self) -> list[float]:
+        t, slack = (self.rank - self.below) / self.inside, 2.0 / ACCURACY + 1.0 / self.inside
+        return [max(0.0, t - slack), min(1.0, t + slack)]
+
+    def narrow(self, a: float, b: float, below_a: int, upto_a: int, below_b: int, upto_b: int) -> None:
+        r = self.rank
+        if r < below_a:
+            self.hi, self.inside = a, below_a - self.below
+        elif r < upto_a:
+            self.value = a
+        elif r < below_b:
+            self.lo, self.hi, self.below, self.inside = a, b, upto_a, below_b - upto_a
+        elif r < upto_b:
+            self.value = b
+        else:
+            self.inside, self.lo, self.below = self.below + self.inside - upto_b, b, upto_b
+
+
+def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, int]], sizes: dict[str, int]) -> dict[tuple[str, int], float]:
+    """``{(column, rank): value}``; ``sizes`` has the non-null count of every column."""
+    found = {w: _Bracket(w[0], w[1], sizes[w[0]]) for w in dict.fromkeys(wanted)}
+    while wide := [b for b in found.values() if b.value is None and b.inside > LISTED]:
+        first = df.agg(*[F.percentile_approx(F.when(b.holds(), b.x()), b.around(), ACCURACY).alias(f"s{k}")
+                         for k, b in enumerate(wide)]).first()
+        counts = []
+        for k, b in enumerate(wide):
+            for j, v in enumerate(first[f"s{k}"]):
+                counts += [F.count_if(b.x() < F.lit(float(v))).alias(f"c{k}_{2 * j}"),
+                           F.count_if(b.x() <= F.lit(float(v))).alias(f"c{k}_{2 * j + 1}")]
+        got = df.agg(*counts).first()
+        for k, b in enumerate(wide):
+            b.narrow(*map(float, first[f"s{k}"]), *[got[f"c{k}_{j}"] for j in range(4)])
+    if listed := [b for b in found.values() if b.value is None]:
+        tagged = F.array(*[F.when(b.holds(), F.struct(F.lit(k).alias("k"), b.x().alias("v"))) for k, b in enumerate(listed)])
+        runs = (df.select(F.explode(F.filter(tagged, lambda e: e.isNotNull())).alias("e"))
+                .select("e.k", "e.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).orderBy("k", "v").collect())
+        seen = [b.below for b in listed]
+        for r in runs:
+            b = listed[r["k"]]
+            if seen[r["k"]] <= b.rank < seen[r["k"]] + r["c"]:
+                b.value = r["v"]
+            seen[r["k"]] += r["c"]
+    return {w: b.value for w, b in found.items()}
+
+
+def exact_percentiles(df: DataFrame, specs: Sequence[tuple[str, float]]) -> dict[tuple[str, float], float | None]:
+    """``{(column, p): value}`` with pandas' linear interpolation; None for a column without values."""
     specs = list(dict.fromkeys((c, float(p)) for c, p in specs))
     if not specs:
         return {}
-    delta = 3.0 / accuracy
     cols = list(dict.fromkeys(c for c, _ in specs))
-    aggs = [F.count(F.col(_q(c))).alias(f"n{j}") for j, c in enumerate(cols)]
-    for k, (c, p) in enumerate(specs):
-        x = F.col(_q(c)).cast("double")
-        aggs.append(F.percentile_approx(x, [max(0.0, p - delta), min(1.0, p + delta)], accuracy).alias(f"b{k}"))
-    first = df.agg(*aggs).first()
-    n_of = {c: first[f"n{j}"] for j, c in enumerate(cols)}
-    brackets = {}
-    for k, (c, p) in enumerate(specs):
-        b = first[f"b{k}"]
-        if n_of[c] and b is not None:
-            brackets[k] = (float(b[0]), float(b[1]))
-    out: dict[tuple[str, float], float | None] = {s: None for s in specs}
-    # small columns: Spark's exact percentile holds at most DIRECT_MAX_ROWS values
-    direct = [k for k in brackets if n_of[specs[k][0]] <= DIRECT_MAX_ROWS]
-    if direct:
-        row = df.agg(*[F.percentile(F.col(_q(specs[k][0])).cast("double"), specs[k][1]).alias(f"d{k}")
-                       for k in direct]).first()
-        for k in direct:
-            out[specs[k]] = row[f"d{k}"]
-            del brackets[k]
-    if not brackets:
-        return out
-    checks = []
-    for k, (lo, hi) in brackets.items():
-        x = F.col(_q(specs[k][0])).cast("double")
-        checks += [F.count_if(x < F.lit(lo)).alias(f"below{k}"), F.count_if(x <= F.lit(hi)).alias(f"upto{k}")]
-    counts = df.agg(*checks).first()
-    fallback, todo = [], {}
-    for k, (lo, hi) in brackets.items():
-        c, p = specs[k]
-        n = n_of[c]
-        pos = p * (n - 1)
-        i = int(math.floor(pos))
-        frac = pos - i
-        need = i + (1 if frac > 0 else 0)
-        below, upto = counts[f"below{k}"], counts[f"upto{k}"]
-        if not (below <= i and need < upto):
-            fallback.append(k)
-        else:
-            todo[k] = (i - below, frac)
-    if todo:
-        # one pass for every bracket: in-bracket values tagged by bracket, ties collapsed
-        tagged = []
-        for k in todo:
-            lo, hi = brackets[k]
-            x = F.col(_q(specs[k][0])).cast("double")
-            tagged.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(k).alias("k"), x.alias("v"))))
-        runs = (df.select(F.explode(F.filter(F.array(*tagged), lambda e: e.isNotNull())).alias("e"))
-                .select("e.k", "e.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).collect())
-        by_k: dict[int, list] = {}
-        for r in runs:
-            by_k.setdefault(r["k"], []).append((r["v"], r["c"]))
-        for k, (r, frac) in todo.items():
-            out[specs[k]] = _interpolate(sorted(by_k.get(k, [])), r, frac)
-    if fallback:
-        row = df.agg(*[F.percentile(F.col(_q(specs[k][0])).cast("double"), specs[k][1]).alias(f"f{k}")
-                       for k in fallback]).first()
-        for k in fallback:
-            out[specs[k]] = row[f"f{k}"]
+    row = df.agg(*[F.count(F.col(_q(c))).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+    sizes = {c: row[f"n{j}"] for j, c in enumerate(cols)}
+    wanted = []
+    for c, p in specs:
+        if sizes[c]:
+            i, frac = _ranks(sizes[c], p)
+            wanted += [(c, i)] + ([(c, i + 1)] if frac > 0 else [])
+    at = order_statistics(df, wanted, sizes) if wanted else {}
+    out: dict[tuple[str, float], float | None] = {}
+    for c, p in specs:
+        out[(c, p)] = None
+        if sizes[c]:
+            i, frac = _ranks(sizes[c], p)
+            out[(c, p)] = at[(c, i)] + (frac * (at[(c, i + 1)] - at[(c, i)]) if frac > 0 else 0.0)
     return out
 
 
-def _interpolate(vals, r: int, frac: float) -> float:
-    """Order statistic at relative rank ``r`` (and ``r + 1``) in (value, count) runs."""
-    def at(rank):
-        seen = 0
-        for v, cnt in vals:
-            seen += cnt
-            if rank < seen:
-                return v
-        raise ValueError("rank outside bracket")
-    lo = at(r)
-    if frac == 0:
-        return lo
-    hi = at(r + 1)
-    return lo + frac * (hi - lo)
-
-
 def exact_percentile(df: DataFrame, col: str, p: float) -> float | None:
     return exact_percentiles(df, [(col, p)])[(col, float(p))]
 
 
+def _matched(values: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Values with the brackets of their group that hold them (groups match null-safe).
+    The planner broadcasts the brackets under its measured limit, else AQE splits a hot group."""
+    cond = None
+    for b in by:
+        c = values[b].eqNullSafe(state[f"_g_{b}"])
+        cond = c if cond is None else cond & c
+    return values.join(state, cond & (values["_x"] > F.coalesce(state["_lo"], F.lit(float("-inf"))))
+                       & (values["_x"] < F.coalesce(state["_hi"], F.lit(float("inf")))))
+
+
 def grouped_exact_percentiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
-                              names: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
-    """Per group: exact (interpolated) quantiles of ``col`` without a per-group value map.
-
-    Same three steps as :func:`exact_percentiles`, as DataFrame operations:
-    per-group ``percentile_approx`` brackets; per group and quantile the count below
-    the bracket and the in-bracket values as (value, count) runs; a window over each
-    (group, quantile) bracket -- a few values, not the group -- finds the order
-    statistics.  Groups whose bracket does not verify are recomputed with Spark's
-    exact ``percentile`` (only those groups).  Rows with a NULL group key are ignored
-    (callers filter them, as the box-plot statistics do).
+                              names: Sequence[str]) -> DataFrame:
+    """Per group: ``n`` (non-null values) and the exact interpolated quantiles of ``col`` as ``names``.
+
+    The brackets of all groups narrow together, as DataFrames.  Null keys are a group;
+    a group without values has NULL quantiles.
     """
-    by = list(by)
-    probs = [float(p) for p in probs]
-    delta = 3.0 / accuracy
-    base = df.select(*by, F.col(_q(col)).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    for b in by:
-        base = base.filter(F.col(_q(b)).isNotNull())
-    pcts = []
-    for p in probs:
-        pcts += [max(0.0, p - delta), min(1.0, p + delta)]
-    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_x", pcts, accuracy).alias("_b"))
-    # one row per (group, quantile k): bracket, target rank i and interpolation weight
-    per_k = stats.select(*by, "_n", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col("_b")[2 * k].alias("lo"), F.col("_b")[2 * k + 1].alias("hi"),
-                 F.floor(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("i"),
-                 (F.lit(p) * (F.col("_n") - 1) - F.floor(F.lit(p) * (F.col("_n") - 1))).alias("frac"))
-        for k, p in enumerate(probs)])).alias("q")).select(*by, "_n", "q.*")
-    # every value meets the brackets of its own group only; the bracket table has one row
-    # per (group, quantile) and is broadcast behind a row bound, so a hot group is not
-    # gathered into one join task
-    from stayflow.operators.relational import broadcast_if_small
-    tagged = base.join(broadcast_if_small(per_k, 1_000_000), by, "inner")
-    below = tagged.groupBy(*by, "k").agg(F.count_if(F.col("_x") < F.col("lo")).alias("below"),
-                                          F.count_if(F.col("_x") <= F.col("hi")).alias("upto"))
-    runs = (tagged.filter((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-            .groupBy(*by, "k", F.col("_x").alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy(*by, "k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = runs.withColumn("cum", F.sum("c").over(w))
-    info = per_k.join(below, by + ["k"], "inner").withColumn("r", F.col("i") - F.col("below"))
-    valid = (F.col("below") <= F.col("i")) & (F.col("i") + F.when(F.col("frac") > 0, 1).otherwise(0) < F.col("upto"))
-    picked = (runs.join(info.filter(valid), by + ["k"], "inner")
-              .groupBy(*by, "k").agg(F.min(F.when(F.col("cum") > F.col("r"), F.col("v"))).alias("v0"),
-                                     F.min(F.when(F.col("cum") > F.col("r") + 1, F.col("v"))).alias("v1"),
-                                     F.first("frac").alias("frac"), F.first("_n").alias("_n")))
-    value = F.when(F.col("frac") == 0, F.col("v0")).otherwise(F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0")))
-    exact = picked.select(*by, "k", "_n", value.alias("value"))
-    # groups with a bracket that did not verify: Spark's exact percentile on those groups only
-    bad = info.filter(~valid).select(*by).distinct()
-    redo = base.join(bad, by, "left_semi").groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.percentile("_x", p).alias(f"_p{k}") for k, p in enumerate(probs)])
-    redo = redo.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("value"))
-                                                    for k in range(len(probs))])).alias("e")).select(*by, "e.k", "_n",
-                                                                                                    "e.value")
-    long = exact.unionByName(redo)
-    return long.groupBy(*by).agg(F.first("_n").alias("n"),
-                                 *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(n) for k, n in enumerate(names)])
+    by, probs = list(by), [float(p) for p in probs]
+    values = df.select(*by, F.col(_q(col)).cast("double").alias("_x"))
+    sizes = values.groupBy(*by).agg(F.count("_x").alias("n"))
+    values = values.filter(F.col("_x").isNotNull())
+    wanted = []
+    for k, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        for j in (0, 1):
+            wanted.append(F.struct(F.lit(2 * k + j).alias("k"), (F.floor(pos) + j).cast("long").alias("r")))
+    groups = [f"_g_{b}" for b in by]
+    state = sizes.filter("n > 0").select(*[F.col(b).alias(g) for b, g in zip(by, groups, strict=True)], "n",
+                                         F.explode(F.array(*wanted)).alias("w"))
+    state = state.select(*groups, "w.k", F.least("w.r", F.col("n") - 1).alias("_r"), F.col("n").alias("_in"), F.lit(0).cast("long").alias("_below"),
+                         *[F.lit(None).cast("double").alias(c) for c in ("_lo", "_hi", "_v")])
+    state = materialize(state)
+    key = [*groups, "k"]
+    while (state.filter("_v IS NULL").agg(F.max("_in")).first()[0] or 0) > LISTED:
+        wide = state.filter(f"_v IS NULL AND _in > {LISTED}")
+        sketch = _matched(values, wide, by).groupBy(*key, "_r", "_in", "_below", "_lo", "_hi").agg(
+            F.percentile_approx("_x", [j / STEPS for j in range(STEPS + 1)], ACCURACY).alias("_s"))
+        step = F.floor(F.lit(STEPS) * (F.col("_r") - F.col("_below")) / F.col("_in"))
+        ends = sketch.withColumn("_a", F.element_at("_s", F.greatest(step, F.lit(1)).cast("int"))).withColumn(
+            "_b", F.element_at("_s", F.least(step + 3, F.lit(STEPS + 1)).cast("int"))).drop("_s")
+        ends = materialize(ends)
+        x = F.col("_x")
+        counted = _matched(values, ends, by).groupBy(*key, "_r", "_in", "_below", "_lo", "_hi", "_a", "_b").agg(
+            *[(F.col("_below") + F.count_if(c)).alias(name) for name, c in
+              (("_ba", x < F.col("_a")), ("_ua", x <= F.col("_a")), ("_bb", x < F.col("_b")), ("_ub", x <= F.col("_b")))])
+        r = F.col("_r")
+
+        def pick(first, a, mid, b, last, r=r):
+            return (F.when(r < F.col("_ba"), first).when(r < F.col("_ua"), a).when(r < F.col("_bb"), mid)
+                    .when(r < F.col("_ub"), b).otherwise(last))
+
+        null, c = F.lit(None).cast("double"), F.col
+        narrowed = counted.select(
+            *key, "_r", pick(c("_ba") - c("_below"), c("_in"), c("_bb") - c("_ua"), c("_in"), c("_below") + c("_in") - c("_ub")).alias("_in"),
+            pick(c("_below"), c("_below"), c("_ua"), c("_below"), c("_ub")).alias("_below"),
+            pick(c("_lo"), c("_lo"), c("_a"), c("_lo"), c("_b")).alias("_lo"), pick(c("_a"), c("_hi"), c("_b"), c("_hi"), c("_hi")).alias("_hi"),
+            pick(null, c("_a"), null, c("_b"), null).alias("_v"))
+        state = materialize(state.filter(f"_v IS NOT NULL OR _in <= {LISTED}").unionByName(narrowed))
+    # at most LISTED values per bracket are left
+    w = Window.partitionBy(*key).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = _matched(values, state.filter("_v IS NULL"), by).groupBy(*key, "_r", "_below", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    runs = runs.withColumn("_upto", F.col("_below") + F.sum("_c").over(w)).filter("_upto - _c <= _r AND _r < _upto")
+    stats = state.filter("_v IS NOT NULL").select(*key, "_v").unionByName(runs.select(*key, F.col("_x").alias("_v")))
+    wide = stats.groupBy(*groups).agg(*[F.max(F.when(F.col("k") == j, F.col("_v"))).alias(f"_v{j}") for j in range(2 * len(probs))])
+    cond = None
+    for b, g in zip(by, groups, strict=True):
+        e = sizes[b].eqNullSafe(wide[g])
+        cond = e if cond is None else cond & e
+    out = [*by, "n"]
+    for k, (p, name) in enumerate(zip(probs, names, strict=True)):
+        pos = F.lit(p) * (F.col("n") - 1)
+        frac, lo, hi = pos - F.floor(pos), F.col(f"_v{2 * k}"), F.col(f"_v{2 * k + 1}")
+        out.append(F.when(frac > 0, lo + frac * (hi - lo)).otherwise(lo).alias(name))
+    return sizes.join(wide, cond, "left").select(*out)

@@ -2,11 +2,11 @@
 
 Every operator is ``DataFrame(s) -> DataFrame`` with column names as arguments
 (defaulting to the clinical names).  Nothing here collects data to the driver.
-Broadcast policy: no unconditional ``broadcast`` hint on a data-derived side.
+Broadcast policy: no ``broadcast`` hint on a side that grows with the data.
 Dimension joins are left to the planner and AQE, which broadcast a side only when
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and fall back
-to a sort-merge join otherwise; :func:`broadcast_if_small` adds an explicit,
-row-count-checked hint where a caller wants one.
+its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
+split the partitions of hot keys.  Joins whose hot keys AQE cannot split are salted
+in proportion to the rows of those keys (:func:`salted`).
 """
 
 from __future__ import annotations
@@ -21,22 +21,6 @@ from stayflow.functions.timefn import hours_between
 
 # ------------------------------------------------------------------ helpers
 
-# Code / item dictionaries (ICD-9 codes, chart items) hold tens of thousands of rows;
-# joined to event or diagnosis rows they are broadcast behind this row bound, so a
-# hot code or item (a large share of all events) never piles up in one join task.
-DICTIONARY_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only when the side provably has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` (stops early on big inputs);
-    beyond the bound the frame is returned unhinted and the planner shuffles it.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _as_list(x) -> list:
     if x is None:
         return []
@@ -148,9 +132,8 @@ def join_patient(df: DataFrame, patients: DataFrame, key: str = "SUBJECT_ID",
 
 def join_code_dictionary(diagnoses: DataFrame, dictionary: DataFrame, key: str = "ICD9_CODE",
                          drop: Sequence[str] = ("SHORT_TITLE",)) -> DataFrame:
-    """Diagnoses left-joined to the code dictionary (broadcast behind a row bound); short
-    title dropped."""
-    return drop_columns(diagnoses.join(broadcast_if_small(dictionary, DICTIONARY_MAX_ROWS), key, "left"), drop)
+    """Diagnoses left-joined to the code dictionary; short title dropped."""
+    return drop_columns(diagnoses.join(dictionary, key, "left"), drop)
 
 
 def join_fanout_diagnoses(stays: DataFrame, diagnoses: DataFrame,
@@ -162,9 +145,9 @@ def join_fanout_diagnoses(stays: DataFrame, diagnoses: DataFrame,
 
 
 def join_item_dictionary(events: DataFrame, items: DataFrame, key: str = "ITEMID") -> DataFrame:
-    """Events left-joined to the item dictionary (broadcast behind a row bound: a few
-    items carry most chart events)."""
-    return events.join(broadcast_if_small(items, DICTIONARY_MAX_ROWS), key, "left")
+    """Events left-joined to the item dictionary (AQE splits the few items that carry
+    most chart events when the dictionary is too large to broadcast)."""
+    return events.join(items, key, "left")
 
 
 def join_inner_chain(stays: DataFrame, patients: DataFrame, admissions: DataFrame,
@@ -203,7 +186,7 @@ def join_feature_blocks(base: DataFrame, blocks: Sequence[DataFrame], key: str =
 
 
 def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str, start_col: str,
-                  window_hours: float, salt_buckets: int | None = None) -> DataFrame:
+                  window_hours: float, parts: int | None = None) -> DataFrame:
     """Events joined to every stay with the same ``key`` whose window
     ``[start, start + window_hours]`` (hour-exact, both ends inclusive) holds the event.
 
@@ -219,59 +202,78 @@ def interval_join(events: DataFrame, stays: DataFrame, key: str, time_col: str,
     end = F.unix_timestamp(F.col(start_col)) + F.lit(width)
     first = F.floor(F.unix_timestamp(F.col(start_col)) / F.lit(width))
     st = stays.withColumn("_bucket", F.explode(F.sequence(first, F.floor(end / F.lit(width)))))
-    # plus the deterministic salt of salted_join: a key whose events share one bucket is
-    # still spread over several tasks
-    joined = salted_join(ev, st, [key, "_bucket"], events.columns, salt_buckets).drop("_bucket")
+    # a key whose events share one bucket is still spread over several tasks
+    joined = salted_join(ev, st, [key, "_bucket"], events.columns, parts).drop("_bucket")
     t, s = F.col(time_col), F.col(start_col)
     return joined.filter((t >= s) & (t <= s + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(width))))
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_buckets: int = 8) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` for a right side with hot keys.
+# A key with more than 1 / HEAVY_PARTS of the rows is heavy; so at most HEAVY_PARTS keys are.
+HEAVY_PARTS = 1024
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str], parts: int | None = None) -> list[tuple]:
+    """(key values .., salts) of the heavy keys: into how many parts each is cut, so that a part
+    has about ``1 / parts`` of all rows.  At most ``parts`` entries, whatever the data."""
+    parts = HEAVY_PARTS if parts is None else parts
+    count = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = count.agg(F.sum("_n"), F.max("_n")).first()
+    if not total or most * parts <= total:
+        return []
+    return [(*r[:-1], -(-r["_n"] * parts // total)) for r in count.filter(F.col("_n") * parts > total).collect()]
+
+
+def salted(many: DataFrame, one: DataFrame, keys: Sequence[str], hash_cols: Sequence[str],
+           parts: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the columns to join them on: the keys, and ``_salt`` where keys are heavy.
+
+    Rows of a heavy key on the ``many`` side get a salt from a hash of their own columns
+    (a retried task rebuilds the same rows), and the ``one`` side repeats that key once per
+    salt.  All other keys have salt 0 on both sides, so nothing else is repeated.
+    """
+    keys = list(keys)
+    found = [h for h in heavy_keys(many, keys, parts) if None not in h]
+    if not found:
+        return many, one, keys
+    names = [f"_h{i}" for i in range(len(keys))]
+    fields = ", ".join([f"{n} {many.schema[k].dataType.simpleString()}" for n, k in zip(names, keys, strict=True)] + ["_salts int"])
+    heavy = F.broadcast(many.sparkSession.createDataFrame(found, fields))  # at most ``parts`` rows
+
+    def marked(df):
+        on = None
+        for n, k in zip(names, keys, strict=True):
+            c = df[k] == heavy[n]
+            on = c if on is None else on & c
+        return df.join(heavy, on, "left").drop(*names)
+
+    salts = F.coalesce("_salts", F.lit(1))
+    return (marked(many).withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), salts).cast("int")).drop("_salts"),
+            marked(one).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"), [*keys, "_salt"])
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` for a right side with heavy keys.
 
     Spark can neither broadcast the preserved side of a left join nor split skew on
-    its right side, so a key holding a third of the right rows would land in one
-    task.  The same result is built from two skew-safe parts:
-
-    * an inner join on (keys, salt): right rows carry a salt hashed from their own
-      columns (deterministic under retries), left rows are repeated once per salt
-      with ``explode(sequence)``, so a hot key spreads over ``salt_buckets`` tasks;
-    * left rows whose key has no right row (``left_anti`` against the distinct right
-      keys, a partially aggregated ``distinct``), padded with NULL right columns.
+    its right side, so the result is built from two parts: a salted inner join, and the
+    left rows whose key has no right row (``left_anti`` against the distinct right keys),
+    padded with NULL right columns.
     """
     keys = list(keys)
     rcols = [c for c in right.columns if c not in keys]
-    salted_r = right.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]),
-                                                F.lit(salt_buckets)).cast("int"))
-    salted_l = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    matched = salted_l.join(salted_r, keys + ["_salt"], "inner").drop("_salt")
+    r, l, on = salted(right, left, keys, right.columns, parts)
+    matched = l.join(r, on, "inner").drop("_salt")
     unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
     rtypes = {f.name: f.dataType for f in right.schema.fields}
     unmatched = unmatched.select("*", *[F.lit(None).cast(rtypes[c]).alias(c) for c in rcols])
     return matched.unionByName(unmatched.select(*matched.columns))
 
 
-# Events of one stay are spread over this many join tasks (see ``salted_join``).
-SALT_BUCKETS = 8
-
-
 def salted_join(events: DataFrame, stays: DataFrame, key: str | Sequence[str], hash_cols: Sequence[str],
-                buckets: int | None = None) -> DataFrame:
-    """Inner join of many events to one row per key, robust to a key holding a large
-    share of the events.
-
-    Each event gets a salt from a hash of its own columns (deterministic, so a retried
-    task rebuilds exactly the same rows); each key row is repeated once per salt with
-    ``explode(sequence(...))``; the join runs on (key, salt).  A hot key is thereby
-    split over ``buckets`` join tasks, and a following ``groupBy(key)`` gets its own
-    shuffle with partial aggregation in front of it, which collapses the hot key
-    before the final aggregate.  The key side grows by ``buckets`` rows per key
-    (one row per stay, small next to the event table).
-    """
-    buckets = SALT_BUCKETS if buckets is None else buckets
+                parts: int | None = None) -> DataFrame:
+    """Inner join of many events to few rows per key, robust to keys that hold a large share
+    of the events (:func:`salted`).  A following ``groupBy(key)`` aggregates partially in
+    the salted tasks before its own shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
-    if buckets <= 1:
-        return events.join(stays, keys, "inner")
-    ev = events.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.lit(buckets)).cast("int"))
-    st = stays.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return ev.join(st, keys + ["_salt"], "inner").drop("_salt")
+    ev, st, on = salted(events, stays, keys, hash_cols, parts)
+    return ev.join(st, on, "inner").drop("_salt")

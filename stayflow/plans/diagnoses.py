@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from stayflow.functions.codes import FLAG_COLUMNS, RANGE_LABELS, chapter_flag_columns, code_prefix_number
 from stayflow.functions.keywords import DIAGNOSIS_KEYWORDS, OTHER, flag_name, keyword_class
 from stayflow.operators.aggregates import sum_columns
-from stayflow.operators.relational import DICTIONARY_MAX_ROWS, broadcast_if_small
 
 DIAG_KEYS = ("SUBJECT_ID", "HADM_ID")
 
@@ -90,9 +89,7 @@ def diagnosis_keyword_category(diagnoses: DataFrame, dictionary: DataFrame, code
                                keep: Sequence[str] = ("SUBJECT_ID", "HADM_ID")) -> DataFrame:
     """Diagnoses joined (inner) to the dictionary with the first-match keyword class."""
     keep = [k for k in keep if k in diagnoses.columns]
-    # the code dictionary is broadcast behind a row bound: common codes never pile up in one task
-    d = broadcast_if_small(dictionary.select(code_col, title_col), DICTIONARY_MAX_ROWS)
-    return diagnoses.join(d, code_col, "inner").select(
+    return diagnoses.join(dictionary.select(code_col, title_col), code_col, "inner").select(
         *keep, title_col, keyword_class(F.col(title_col), keywords).alias("CATEGORY"))
 
 

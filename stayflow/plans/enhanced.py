@@ -169,13 +169,16 @@ def enh_marital(df: DataFrame, col: str = "MARITAL_STATUS") -> DataFrame:
     return df.select("*", *[_flag(F.col(col) == v).alias(n) for n, v in MARITAL.items()])
 
 
-def create_enhanced_features(df: DataFrame, age_col: str = "age_at_admission") -> DataFrame:
-    """All enhanced features in the reference's order."""
+def create_enhanced_features(df: DataFrame, age_col: str = "age_at_admission", density: bool = True) -> DataFrame:
+    """All enhanced features in the reference's order; ``density=False`` leaves out the
+    data-density flags, the only ones that need statistics of the whole table."""
     out = df
     if age_col in out.columns:
         out = enh_age(out, age_col)
     if _has_cols(out):
         out = enh_organ_system(enh_risk_score(enh_diagnosis_load(out)))
-    out = enh_data_density(enh_vital_flags(enh_vital_ranges(out)))
+    out = enh_vital_flags(enh_vital_ranges(out))
+    if density:
+        out = enh_data_density(out)
     out = enh_instability(enh_interactions(out, age_col))
     return enh_marital(out)

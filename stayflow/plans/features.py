@@ -12,7 +12,7 @@ from stayflow.plans.age import age_at_admission
 from stayflow.plans.diagnoses import DIAG_KEYS, diagnosis_keyword_features, icd9_chapter_flags
 from stayflow.plans.stays import base_stay_features
 from stayflow.plans.vitals import CLINICAL_VITALS, CREATININE_ITEMS, HEART_RATE_ITEMS, heart_rate_window, \
-    lab_window, vitals_first_window
+    lab_window, vital_statistics
 
 # Columns the notebook drops before modelling.  ADMISSION_TYPE,
 # FIRST_CAREUNIT and INSURANCE are wanted by the model step afterwards (defect D7),
@@ -41,8 +41,10 @@ def feature_table(stays: DataFrame, admissions: DataFrame, patients: DataFrame,
     notebook's drop list applied (minus the model inputs when ``keep_for_models``)."""
     base = stay_table(stays, admissions, patients, stay_admission_keys)
     flags = icd9_chapter_flags(base, diagnoses, diagnosis_keys)
-    v = vitals_first_window(events, event_stays if event_stays is not None else stays, vitals, window_hours)
-    out = age_at_admission(flags.join(v, "ICUSTAY_ID", "left"), cap_threshold=age_cap_threshold)
+    known = event_stays if event_stays is not None else stays
+    v = vital_statistics(events, known, vitals, window_hours)
+    joined = flags.join(v, "ICUSTAY_ID", "left").fillna(0, subset=[f"{n}_count" for n in vitals])
+    out = age_at_admission(joined, cap_threshold=age_cap_threshold)
     drop = [c for c in EXCLUDED_COLUMNS if not (keep_for_models and c in KEPT_FOR_MODELS)]
     return drop_columns(out, drop)
 

@@ -3,9 +3,8 @@ encoding, split and scaling.
 
 The reference moved the whole feature table into pandas for these steps; here
 each is a DataFrame transformation.  Global statistics (medians, modes,
-quantiles, means) are computed by **one** aggregate for all columns and read back
-as a handful of scalars, then applied with column expressions -- no per-column
-scan, no join, no driver-side data.
+quantiles, means) are computed for all columns together and read back as a handful of
+scalars, then applied with column expressions -- no per-column scan, no join.
 """
 
 from __future__ import annotations
@@ -89,39 +88,42 @@ class ColumnRoles:
     encode: list[str] = field(default_factory=list)
 
 
+# Names by which the model steps tell features apart.
+FLAG_NAMES = {False: {"prefixes": ("has_",), "suffixes": (), "grouped": ()},
+              True: {"prefixes": ("has_", "is_"), "suffixes": ("_abnormal", "_FLAG"), "grouped": ("group",)}}
+
+
 def column_roles(df: DataFrame, features: Sequence[str], enhanced: bool = False) -> ColumnRoles:
-    """Split features by type and name as the reference does (baseline or enhanced rules)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    roles = ColumnRoles()
-    for c in features:
-        is_str = isinstance(types[c], StringType)
-        if enhanced:
-            cat = (is_str or c.startswith("has_") or c.startswith("is_") or c.endswith("_abnormal")
-                   or c.endswith("_FLAG") or "group" in c)
-            binary = (c.startswith("has_") or c.startswith("is_") or c.endswith("_abnormal")
-                      or c.endswith("_FLAG"))
-        else:
-            cat = is_str or c.startswith("has_")
-            binary = c.startswith("has_")
-        if cat:
-            roles.categorical.append(c)
-            if not binary:
-                roles.encode.append(c)
-        else:
-            roles.numeric.append(c)
-            if any(v in c for v in VITAL_MARKERS):
-                roles.vital.append(c)
-    return roles
+    """Roles of the features: 0/1 flags by name, text and grouped columns to encode, the rest numeric."""
+    names = FLAG_NAMES[enhanced]
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    flags = {c for c in features if c.startswith(names["prefixes"]) or c.endswith(names["suffixes"] or ("\0",))}
+    encode = [c for c in features if c not in flags and (c in texts or any(g in c for g in names["grouped"]))]
+    numeric = [c for c in features if c not in flags and c not in encode]
+    return ColumnRoles(categorical=[c for c in features if c in flags or c in encode], numeric=numeric,
+                       vital=[c for c in numeric if any(v in c for v in VITAL_MARKERS)], encode=encode)
+
+
+def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Most frequent non-null value of each column, the smallest on ties: one shuffle on
+    (column, value) for the text columns and one for the others, so no task holds a column's values."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    out: dict[str, object] = dict.fromkeys(columns)
+    for cols, kind in (([c for c in columns if c in texts], "string"), ([c for c in columns if c not in texts], "double")):
+        if cols:
+            parts = ", ".join(f"{i}, CAST(`{c}` AS {kind})" for i, c in enumerate(cols))
+            count = (df.selectExpr(f"stack({len(cols)}, {parts}) AS (k, v)").filter("v IS NOT NULL")
+                     .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
+            for r in count.groupBy("k").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("v")).collect():
+                out[cols[r["k"]]] = r["v"]
+    return out
 
 
 def imputation_values(df: DataFrame, roles: ColumnRoles) -> dict:
-    """All fill values from one aggregate: mode for categorical columns, 0 for
-    ``*count*`` numeric columns, exact median for the other numeric columns.
-    Columns without missing values get no fill (as the reference)."""
-    aggs = []
-    for i, c in enumerate(roles.categorical):
-        aggs += [F.count_if(F.col(_q(c)).isNull()).alias(f"n__c{i}"),
-                 F.mode(F.col(_q(c)), deterministic=True).alias(f"v__c{i}")]
+    """Fill values: mode for categorical columns, 0 for ``*count*`` numeric columns, exact
+    median for the other numeric columns.  Columns without missing values get no fill (as
+    the reference); one aggregate finds them."""
+    aggs = [F.count_if(F.col(_q(c)).isNull()).alias(f"n__c{i}") for i, c in enumerate(roles.categorical)]
     for i, c in enumerate(roles.numeric):
         aggs.append(F.count_if(F.col(_q(c)).isNull()).alias(f"n__n{i}"))
     if not aggs:
@@ -130,10 +132,11 @@ def imputation_values(df: DataFrame, roles: ColumnRoles) -> dict:
     # medians only for the numeric columns that have gaps
     need = [c for i, c in enumerate(roles.numeric) if row[f"n__n{i}"] and "count" not in c]
     medians = exact_percentiles(df, [(c, 0.5) for c in need])
+    modes = column_modes(df, [c for i, c in enumerate(roles.categorical) if row[f"n__c{i}"]])
     fills = {}
     for i, c in enumerate(roles.categorical):
         if row[f"n__c{i}"]:
-            v = row[f"v__c{i}"]
+            v = modes[c]
             fills[c] = "Unknown" if v is None else v
     for i, c in enumerate(roles.numeric):
         if row[f"n__n{i}"]:
@@ -158,10 +161,14 @@ def apply_fills(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
 
 
 def impute_features(df: DataFrame, roles: ColumnRoles, numeric_as_double: bool = False) -> DataFrame:
-    """Fill missing values (one aggregate for all fill values).  With
-    ``numeric_as_double`` every non-count numeric feature leaves as double, whether
+    """Fill missing values.  With ``numeric_as_double`` every non-count numeric feature leaves as double, whether
     or not it had gaps (a stable schema for the model matrix)."""
-    out = apply_fills(df, imputation_values(df, roles))
+    return with_fills(df, roles, imputation_values(df, roles), numeric_as_double)
+
+
+def with_fills(df: DataFrame, roles: ColumnRoles, fills: Mapping[str, object], numeric_as_double: bool = False) -> DataFrame:
+    """:func:`impute_features` with fill values known before (from the training rows)."""
+    out = apply_fills(df, fills)
     if numeric_as_double:
         to_double = {c for c in roles.numeric if "count" not in c}
         out = out.select(*[F.col(_q(c)).cast("double").alias(c) if c in to_double else F.col(_q(c))
@@ -169,23 +176,10 @@ def impute_features(df: DataFrame, roles: ColumnRoles, numeric_as_double: bool =
     return out
 
 
-MAX_LEVELS = 10_000
-
-
-def category_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
-    """Sorted distinct non-null levels per categorical column.
-
-    Only the levels reach the driver, and their number is checked first
-    (``limit(max_levels + 1)``): a column with more levels than one-hot encoding can
-    sensibly widen into is an error, never silently truncated."""
-    levels = {}
-    for c in columns:
-        distinct = df.select(c).where(F.col(c).isNotNull()).distinct()
-        rows = distinct.orderBy(c).limit(max_levels + 1).collect()
-        if len(rows) > max_levels:
-            raise ValueError(f"column {c} has more than {max_levels} levels; not one-hot encodable")
-        levels[c] = [r[0] for r in rows]
-    return levels
+def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct non-null levels per categorical column.  They become columns, whose
+    names the driver holds in any case, so any number of levels is taken."""
+    return {c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()] for c in columns}
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False,
@@ -201,29 +195,51 @@ def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False,
     return df.select(*keep, *dummies)
 
 
-# Knuth's multiplicative hash: reproducible in any SQL engine, unlike a seeded RNG.
+# Knuth's multiplicative hash: reproducible in any SQL engine, unlike a seeded RNG.  The key
+# is reduced first, so no key overflows a 64-bit product.
 SPLIT_MULTIPLIER = 2654435761
 SPLIT_MODULUS = 4294967296
+KEY_MODULUS = 2147483648
 
 
 def split_bucket(key_col: str, buckets: int = 100):
-    return F.pmod(F.pmod(F.col(key_col).cast("long") * F.lit(SPLIT_MULTIPLIER), F.lit(SPLIT_MODULUS)),
-                  F.lit(buckets))
+    reduced = F.pmod(F.col(key_col).cast("long"), F.lit(KEY_MODULUS))
+    return F.pmod(F.pmod(reduced * F.lit(SPLIT_MULTIPLIER), F.lit(SPLIT_MODULUS)), F.lit(buckets))
 
 
-def train_test_split(df: DataFrame, key: str = "ICUSTAY_ID", test_pct: int = 20) -> tuple[DataFrame, DataFrame]:
-    """80/20 split by a hash of the key (stable across runs, engines and partitionings)."""
-    b = split_bucket(key)
-    return df.filter(b >= test_pct), df.filter(b < test_pct)
+def bucket_sql(key: str, buckets: int) -> str:
+    """The same number in SQL (for keys of 0 and more)."""
+    return f"((({key} % {KEY_MODULUS}) * {SPLIT_MULTIPLIER}) % {SPLIT_MODULUS}) % {buckets}"
 
 
 def with_split(df: DataFrame, key: str = "ICUSTAY_ID", test_pct: int = 20, out: str = "split") -> DataFrame:
+    """80/20 split by a hash of the key (stable across runs, engines and partitionings)."""
     return df.withColumn(out, F.when(split_bucket(key) < test_pct, "test").otherwise("train"))
 
 
 def with_fold(df: DataFrame, key: str = "ICUSTAY_ID", k: int = 5, out: str = "fold") -> DataFrame:
-    return df.withColumn(out, F.pmod(F.pmod(F.col(key).cast("long") * F.lit(SPLIT_MULTIPLIER),
-                                            F.lit(SPLIT_MODULUS)), F.lit(k)).cast("int"))
+    return df.withColumn(out, split_bucket(key, k).cast("int"))
+
+
+@dataclass
+class Preparation:
+    """Fill values and levels learned on training rows, to be applied to any rows."""
+    roles: ColumnRoles
+    fills: dict
+    levels: dict[str, list]
+    drop_first: bool = False
+
+    @staticmethod
+    def fit(train: DataFrame, features: Sequence[str], enhanced: bool = False) -> Preparation:
+        roles = column_roles(train, features, enhanced)
+        fills = imputation_values(train, roles)
+        return Preparation(roles, fills, category_levels(with_fills(train, roles, fills), roles.encode), drop_first=enhanced)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Filled and encoded rows; a level that training did not have encodes as all zeros.
+        A gap in a column that had none in training is filled with 0."""
+        out = one_hot(with_fills(df, self.roles, self.fills, numeric_as_double=True), self.roles.encode, self.drop_first, self.levels)
+        return out.fillna(0, subset=self.roles.numeric)
 
 
 def scaling_stats(df: DataFrame, columns: Sequence[str], robust: bool = False) -> dict[str, tuple[float, float]]:

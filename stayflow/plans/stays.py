@@ -11,12 +11,10 @@ from stayflow.functions.timefn import years_by_days
 from stayflow.operators.quantiles import exact_percentiles
 from stayflow.operators.relational import clip_floor
 
+# The key and time columns whose nulls the profile counts.
 KEY_COLUMNS = ("SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "INTIME", "OUTTIME", "ADMITTIME", "DISCHTIME")
-
-
-def _distinct_with_null(col: str):
-    # ``select(c).distinct().count()`` counts NULL as one value
-    return F.count_distinct(col) + F.max(F.col(col).isNull().cast("int"))
+# What stay_admission_profile reads.
+PROFILE_COLUMNS = (*KEY_COLUMNS, "DOB", "HOSPITAL_EXPIRE_FLAG", "ADMISSION_TYPE")
 
 
 def multi_stay_stats(stays: DataFrame, patient_col: str = "SUBJECT_ID", admission_col: str = "HADM_ID",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.timefn import hours_between, plus_hours
-from stayflow.operators.relational import SALT_BUCKETS, interval_join, salted_join  # noqa: F401
+from stayflow.operators.relational import interval_join, salted_join
 
 # Vital signs and their item ids in the reference notebook.
 CLINICAL_VITALS: dict[str, list[int]] = {"heart_rate": [211], "respiratory_rate": [618], "spo2": [646]}
@@ -77,13 +77,11 @@ def _stat_columns(name: str, is_item: Column, value: Column, hours: Column, full
     return cols
 
 
-def vitals_first_window(events: DataFrame, stays: DataFrame, vitals: Mapping[str, Sequence] = CLINICAL_VITALS,
-                        window_hours: float = 24, full: bool = False, stay_col: str = "ICUSTAY_ID",
-                        item_col: str = "ITEMID", time_col: str = "CHARTTIME", value_col: str = "VALUENUM",
-                        intime_col: str = "INTIME") -> DataFrame:
-    """Per stay and vital: avg, min, max, sample stddev, count (+ median, first/last hour,
-    range and coefficient of variation when ``full``).  Every stay is kept; counts of
-    stays without measurements are 0, the other statistics NULL."""
+def vital_statistics(events: DataFrame, stays: DataFrame, vitals: Mapping[str, Sequence] = CLINICAL_VITALS,
+                     window_hours: float = 24, full: bool = False, stay_col: str = "ICUSTAY_ID",
+                     item_col: str = "ITEMID", time_col: str = "CHARTTIME", value_col: str = "VALUENUM",
+                     intime_col: str = "INTIME") -> DataFrame:
+    """Statistics of the first window, one row per stay that has measurements."""
     all_items = sorted({i for items in vitals.values() for i in _items(items)}, key=str)
     win = window_events(events, stays, all_items, window_hours, stay_col, item_col, time_col, value_col,
                         intime_col)
@@ -91,7 +89,18 @@ def vitals_first_window(events: DataFrame, stays: DataFrame, vitals: Mapping[str
     for name, items in vitals.items():
         aggs += _stat_columns(name, F.col(item_col).isin(_items(items)), F.col(value_col),
                               F.col("hours_from_intime"), full)
-    per_stay = win.groupBy(stay_col).agg(*aggs)
+    return win.groupBy(stay_col).agg(*aggs)
+
+
+def vitals_first_window(events: DataFrame, stays: DataFrame, vitals: Mapping[str, Sequence] = CLINICAL_VITALS,
+                        window_hours: float = 24, full: bool = False, stay_col: str = "ICUSTAY_ID",
+                        item_col: str = "ITEMID", time_col: str = "CHARTTIME", value_col: str = "VALUENUM",
+                        intime_col: str = "INTIME") -> DataFrame:
+    """Per stay and vital: avg, min, max, sample stddev, count (+ median, first/last hour,
+    range and coefficient of variation when ``full``).  Every stay is kept; counts of
+    stays without measurements are 0, the other statistics NULL."""
+    per_stay = vital_statistics(events, stays, vitals, window_hours, full, stay_col, item_col, time_col, value_col,
+                                intime_col)
     out = stays.select(stay_col).join(per_stay, stay_col, "left")
     out = out.fillna(0, subset=[f"{n}_count" for n in vitals])
     if full:
@@ -153,9 +162,8 @@ def interval_window_stats(events: DataFrame, base: DataFrame, stays: DataFrame,
         cond = cond & (F.col(value_col) < hi)
     ev = events.filter(cond).select(F.col(join_key).alias("_k"), F.col(time_col).alias("_t"),
                                     F.col(value_col).cast("double").alias("_v"))
-    st = (base.select(stay_col).join(stays.select(stay_col, join_key, intime_col) if join_key != stay_col
-                                     else stays.select(stay_col, intime_col), stay_col, "inner"))
-    st = st.select(stay_col, F.col(join_key).alias("_k"), F.col(intime_col).alias("_in"))
+    # stays outside ``base`` fall out in the last join: no join of the base before it
+    st = stays.select(stay_col, F.col(join_key).alias("_k"), F.col(intime_col).alias("_in"))
     if join_key == stay_col:
         # one stay per key: a (salted) equi-join plus the window filter
         joined = salted_join(ev, st, "_k", ["_t", "_v"]).filter(

@@ -55,15 +55,17 @@ def load_csv_sampled_infer(spark: SparkSession, path: str, sampling_ratio: float
 
 
 def typed_event_scan(spark: SparkSession, path: str, base_schema: StructType,
-                     overrides: Mapping[str, str] | None = None, fmt: str = "csv") -> DataFrame:
-    """Read with per-column type overrides on top of a declared schema."""
+                     overrides: Mapping[str, str] | None = None, fmt: str = "csv",
+                     timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]") -> DataFrame:
+    """Read with per-column type overrides on top of a declared schema; a malformed cell fails
+    the read instead of turning NULL."""
     overrides = {k.upper(): v for k, v in (overrides or {}).items()}
     fields = []
     for f in base_schema.fields:
         t = overrides.get(f.name.upper())
         fields.append(f"`{f.name}` {t if t else f.dataType.simpleString()}")
     schema = StructType.fromDDL(", ".join(fields))
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("timestampFormat", timestamp_format)
     return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
@@ -76,14 +78,14 @@ def sql_view_scan(spark: SparkSession, views: Mapping[str, DataFrame], sql: str)
 
 def load_manifest(tables: Mapping[str, DataFrame], total: str | None = "TOTAL") -> DataFrame:
     """(table, rows) for each table from one count per table, combined in one result,
-    plus a ``total`` row (the seconds per table are timing, kept out of the result)."""
+    plus a ``total`` row from the same counts (the seconds per table are timing, kept out of the result)."""
     out = None
     for name, df in tables.items():
         row = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         out = row if out is None else out.unionByName(row)
     if total:
-        out = out.unionByName(out.agg(F.sum("rows").cast("long").alias("rows")).select(
-            F.lit(total).alias("table"), "rows"))
+        out = out.rollup("table").agg(F.sum("rows").alias("rows")).select(
+            F.coalesce("table", F.lit(total)).alias("table"), "rows")
     return out
 
 
@@ -102,7 +104,9 @@ def save_features(df: DataFrame, output_path: str, sample_rows: int | None = 100
     if sample_rows:
         sample_path = f"{output_path}_sample"
         keys = [k for k in order if k in df.columns]
-        sample = (df.orderBy(*keys) if keys else df).limit(sample_rows)
+        # from the written output, so the input is computed once
+        back = read_csv_back(df.sparkSession, output_path, df.schema) if fmt == "csv" else df.sparkSession.read.format(fmt).load(output_path)
+        sample = (back.orderBy(*keys) if keys else back).limit(sample_rows)
         sample.write.mode("overwrite").option("header", True).csv(sample_path)
         paths["sample"] = sample_path
     return paths
@@ -121,13 +125,8 @@ def parquet_sink(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
-def sample_sink(df: DataFrame, path: str, n: int = 1000, order: Sequence[str] = ()) -> str:
-    (df.orderBy(*order) if order else df).limit(n).write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
 def read_csv_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 # ------------------------------------------------------------------ range layout

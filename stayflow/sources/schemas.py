@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, ShortType, StringType, StructType, TimestampType
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,14 @@ class TableSpec:
     notes: str = field(default="", compare=False)
 
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        """Needs no session: the declared types are all simple."""
+        kinds = {"INT": IntegerType(), "BIGINT": LongType(), "SMALLINT": ShortType(), "STRING": StringType(),
+                 "DOUBLE": DoubleType(), "TIMESTAMP": TimestampType()}
+        out = StructType()
+        for column in self.ddl.split(", "):
+            name, kind, *rest = column.split(" ")
+            out.add(name, kinds[kind], nullable=not rest)
+        return out
 
     def _fields(self) -> list[tuple[str, str, bool]]:
         # (name, type, nullable) read from the DDL text (no session needed)
@@ -48,17 +55,18 @@ def _fk(cols, parent, parent_cols=None):
 
 
 # Column names, types and nullability of the MIMIC-III tables as declared
-# in the reference's PostgreSQL DDL (names upper-cased as in the CSV headers).
+# in the reference's PostgreSQL DDL (names upper-cased as in the CSV headers); row ids are
+# BIGINT, as event tables can pass 2 ** 31 rows.
 TABLES: dict[str, TableSpec] = {
     "PATIENTS": TableSpec(
         "PATIENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, GENDER STRING NOT NULL, DOB TIMESTAMP NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, GENDER STRING NOT NULL, DOB TIMESTAMP NOT NULL, "
         "DOD TIMESTAMP, DOD_HOSP TIMESTAMP, DOD_SSN TIMESTAMP, EXPIRE_FLAG STRING NOT NULL",
         ("SUBJECT_ID",),
     ),
     "ADMISSIONS": TableSpec(
         "ADMISSIONS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, ADMITTIME TIMESTAMP NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, ADMITTIME TIMESTAMP NOT NULL, "
         "DISCHTIME TIMESTAMP, DEATHTIME TIMESTAMP, ADMISSION_TYPE STRING NOT NULL, "
         "ADMISSION_LOCATION STRING NOT NULL, DISCHARGE_LOCATION STRING, INSURANCE STRING NOT NULL, "
         "LANGUAGE STRING, RELIGION STRING, MARITAL_STATUS STRING, ETHNICITY STRING NOT NULL, "
@@ -69,7 +77,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "ICUSTAYS": TableSpec(
         "ICUSTAYS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, ICUSTAY_ID INT NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, ICUSTAY_ID INT NOT NULL, "
         "DBSOURCE STRING NOT NULL, FIRST_CAREUNIT STRING NOT NULL, LAST_CAREUNIT STRING NOT NULL, "
         "FIRST_WARDID SMALLINT NOT NULL, LAST_WARDID SMALLINT NOT NULL, INTIME TIMESTAMP NOT NULL, "
         "OUTTIME TIMESTAMP, LOS DOUBLE",
@@ -78,36 +86,36 @@ TABLES: dict[str, TableSpec] = {
     ),
     "D_ITEMS": TableSpec(
         "D_ITEMS",
-        "ROW_ID INT NOT NULL, ITEMID INT NOT NULL, LABEL STRING NOT NULL, ABBREVIATION STRING, "
+        "ROW_ID BIGINT NOT NULL, ITEMID INT NOT NULL, LABEL STRING NOT NULL, ABBREVIATION STRING, "
         "DBSOURCE STRING NOT NULL, LINKSTO STRING, CATEGORY STRING, UNITNAME STRING, PARAM_TYPE STRING, "
         "CONCEPTID INT",
         ("ITEMID",),
     ),
     "D_LABITEMS": TableSpec(
         "D_LABITEMS",
-        "ROW_ID INT NOT NULL, ITEMID INT NOT NULL, LABEL STRING NOT NULL, FLUID STRING NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, ITEMID INT NOT NULL, LABEL STRING NOT NULL, FLUID STRING NOT NULL, "
         "CATEGORY STRING NOT NULL, LOINC_CODE STRING",
         ("ITEMID",),
     ),
     "CAREGIVERS": TableSpec(
         "CAREGIVERS",
-        "ROW_ID INT NOT NULL, CGID INT NOT NULL, LABEL STRING, DESCRIPTION STRING",
+        "ROW_ID BIGINT NOT NULL, CGID INT NOT NULL, LABEL STRING, DESCRIPTION STRING",
         ("CGID",),
     ),
     "D_ICD_DIAGNOSES": TableSpec(
         "D_ICD_DIAGNOSES",
-        "ROW_ID INT NOT NULL, ICD9_CODE STRING NOT NULL, SHORT_TITLE STRING NOT NULL, LONG_TITLE STRING NOT NULL",
+        "ROW_ID BIGINT NOT NULL, ICD9_CODE STRING NOT NULL, SHORT_TITLE STRING NOT NULL, LONG_TITLE STRING NOT NULL",
         ("ICD9_CODE",),
     ),
     "DIAGNOSES_ICD": TableSpec(
         "DIAGNOSES_ICD",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, SEQ_NUM INT, ICD9_CODE STRING",
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, SEQ_NUM INT, ICD9_CODE STRING",
         (),
         (_fk("SUBJECT_ID", "PATIENTS"), _fk("HADM_ID", "ADMISSIONS"), _fk("ICD9_CODE", "D_ICD_DIAGNOSES")),
     ),
     "CALLOUT": TableSpec(
         "CALLOUT",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, SUBMIT_WARDID INT, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT NOT NULL, SUBMIT_WARDID INT, "
         "SUBMIT_CAREUNIT STRING, CURR_WARDID INT, CURR_CAREUNIT STRING, CALLOUT_WARDID INT, "
         "CALLOUT_SERVICE STRING, REQUEST_TELE SMALLINT, REQUEST_RESP SMALLINT, REQUEST_CDIFF SMALLINT, "
         "REQUEST_MRSA SMALLINT, REQUEST_VRE SMALLINT, CALLOUT_STATUS STRING, CALLOUT_OUTCOME STRING, "
@@ -119,7 +127,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "CHARTEVENTS": TableSpec(
         "CHARTEVENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, ITEMID INT NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, ITEMID INT NOT NULL, "
         "CHARTTIME TIMESTAMP NOT NULL, STORETIME TIMESTAMP, CGID INT, VALUE STRING, VALUENUM DOUBLE, "
         "VALUEUOM STRING, WARNING SMALLINT, ERROR SMALLINT, RESULTSTATUS STRING, STOPPED STRING",
         (),
@@ -129,7 +137,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "LABEVENTS": TableSpec(
         "LABEVENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ITEMID INT NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ITEMID INT NOT NULL, "
         "CHARTTIME TIMESTAMP NOT NULL, VALUE STRING, VALUENUM DOUBLE, VALUEUOM STRING, FLAG STRING",
         (),
         (_fk("SUBJECT_ID", "PATIENTS"), _fk("HADM_ID", "ADMISSIONS"), _fk("ITEMID", "D_LABITEMS")),
@@ -137,7 +145,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "INPUTEVENTS_CV": TableSpec(
         "INPUTEVENTS_CV",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, CHARTTIME TIMESTAMP NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, CHARTTIME TIMESTAMP NOT NULL, "
         "ITEMID INT NOT NULL, AMOUNT DOUBLE, AMOUNTUOM STRING, RATE DOUBLE, RATEUOM STRING, "
         "STORETIME TIMESTAMP, CGID INT, ORDERID INT, LINKORDERID INT, STOPPED STRING, NEWBOTTLE INT, "
         "ORIGINALAMOUNT DOUBLE, ORIGINALAMOUNTUOM STRING, ORIGINALROUTE STRING, ORIGINALRATE DOUBLE, "
@@ -148,7 +156,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "INPUTEVENTS_MV": TableSpec(
         "INPUTEVENTS_MV",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, STARTTIME TIMESTAMP NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, STARTTIME TIMESTAMP NOT NULL, "
         "ENDTIME TIMESTAMP NOT NULL, ITEMID INT NOT NULL, AMOUNT DOUBLE, AMOUNTUOM STRING, RATE DOUBLE, "
         "RATEUOM STRING, STORETIME TIMESTAMP, CGID BIGINT, ORDERID INT, LINKORDERID INT, "
         "ORDERCATEGORYNAME STRING, SECONDARYORDERCATEGORYNAME STRING, ORDERCOMPONENTTYPEDESCRIPTION STRING, "
@@ -161,7 +169,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "OUTPUTEVENTS": TableSpec(
         "OUTPUTEVENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, CHARTTIME TIMESTAMP NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, CHARTTIME TIMESTAMP NOT NULL, "
         "ITEMID INT NOT NULL, VALUE DOUBLE, VALUEUOM STRING, STORETIME TIMESTAMP, CGID BIGINT, STOPPED STRING, "
         "NEWBOTTLE INT, ISERROR SMALLINT",
         (),
@@ -170,7 +178,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "DATETIMEEVENTS": TableSpec(
         "DATETIMEEVENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, ITEMID INT NOT NULL, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, ICUSTAY_ID INT, ITEMID INT NOT NULL, "
         "CHARTTIME TIMESTAMP NOT NULL, STORETIME TIMESTAMP, CGID INT, VALUE TIMESTAMP, VALUEUOM STRING, "
         "WARNING SMALLINT, ERROR SMALLINT, RESULTSTATUS STRING, STOPPED STRING",
         (),
@@ -179,7 +187,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "MICROBIOLOGYEVENTS": TableSpec(
         "MICROBIOLOGYEVENTS",
-        "ROW_ID INT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, CHARTDATE TIMESTAMP, CHARTTIME TIMESTAMP, "
+        "ROW_ID BIGINT NOT NULL, SUBJECT_ID INT NOT NULL, HADM_ID INT, CHARTDATE TIMESTAMP, CHARTTIME TIMESTAMP, "
         "SPEC_ITEMID INT, SPEC_TYPE_DESC STRING, ORG_ITEMID INT, ORG_NAME STRING, ISOLATE_NUM SMALLINT, "
         "AB_ITEMID INT, AB_NAME STRING, DILUTION_TEXT STRING, DILUTION_COMPARISON STRING, "
         "DILUTION_VALUE DOUBLE, INTERPRETATION STRING",

@@ -261,6 +261,20 @@ ROLE_SQL: dict[str, str] = {
 }
 
 
+# Columns of the role views that stand for declared tables.
+ROLE_COLUMNS: dict[str, list[str]] = {
+    "PATIENTS": ["SUBJECT_ID", "GENDER", "DOB", "EXPIRE_FLAG"],
+    "ADMISSIONS": ["SUBJECT_ID", "HADM_ID", "ADMITTIME", "DISCHTIME", "ADMISSION_TYPE", "INSURANCE", "MARITAL_STATUS",
+                   "HOSPITAL_EXPIRE_FLAG"],
+    "ICUSTAYS": ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "DBSOURCE", "FIRST_CAREUNIT", "LAST_CAREUNIT", "INTIME", "OUTTIME", "LOS"],
+    "DIAGNOSES_ICD": ["HADM_ID", "SEQ_NUM", "ICD9_CODE"],
+    "D_ICD_DIAGNOSES": ["ICD9_CODE", "SHORT_TITLE", "LONG_TITLE"],
+    "D_ITEMS": ["ITEMID", "LABEL", "DBSOURCE"],
+    "LABEVENTS": ["HADM_ID", "ITEMID", "CHARTTIME", "VALUENUM"],
+    "CHARTEVENTS": ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "ITEMID", "CHARTTIME", "VALUENUM"],
+}
+
+
 def with_roles(sql: str) -> str:
     """Prefix ``sql`` with the role views it mentions (as CTEs)."""
     used = [name for name in ROLE_SQL if name in sql]

@@ -77,7 +77,7 @@ def test_bucketed_interval_join_equals_naive(spark):
 def test_salted_left_join_equals_left_join(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, l string")
     right = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 7), (2, 7), (None, 9)], "k int, r int")
-    fast = R.salted_left_join(left, right, ["k"], salt_buckets=4)
+    fast = R.salted_left_join(left, right, ["k"], parts=4)
     plain = left.join(right, ["k"], "left")
     def key(r):
         return tuple((v is None, v if v is not None else 0) for v in r)

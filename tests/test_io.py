@@ -49,18 +49,3 @@ def test_quality_checks(spark):
     assert Q.pk_violations(child, ["HADM_ID", "SEQ_NUM"]).collect()[0]["count"] == 2
     nn = {r.column: r.null_count for r in Q.not_null_violations(child, ["HADM_ID", "SEQ_NUM"]).collect()}
     assert nn == {"HADM_ID": 1, "SEQ_NUM": 0}
-
-
-def test_broadcast_only_within_bound(spark):
-    from stayflow.operators.relational import broadcast_if_small
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(broadcast_if_small(small, 100), "k")
-        plain = small.join(broadcast_if_small(big, 100), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert hinted.count() == 10 and plain.count() == 10
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
