@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.llm.common import staged
+
 #: Exponent of the default target weights: a source weighs its characters to this power.
 TEMPERATURE = 0.5
 #: Target size over available size.
@@ -79,11 +81,12 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     The draw depends on seed, id and a hash of the text alone: repeated rows get equal
     counts, and any partitioning gives the same result.  Null ids and texts draw as empty
     ones (a null text adds no size to its source but is drawn at its rate).  The join to
-    the rates is left to the planner: it broadcasts them only under Spark's own measured
+    the rates is left to the planner: it broadcasts them only under Spark's own
     size limit, else AQE splits a hot source.
     """
     cols = [F.col(f"`{c}`") for c in docs.columns if c not in {"_copy", "_rate", "_key", "_src", "_chars", "_count"}]
-    rates = source_rates(docs, weights, epochs, temperature, source_col, text_col).select("_src", "_rate")
+    # written first, so the planner knows its size when it plans the join
+    rates = staged(source_rates(docs, weights, epochs, temperature, source_col, text_col).select("_src", "_rate"), "mix-rates")
     ident = [F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
              F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))]
     out = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col("_src"))).withColumn(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import words
+from stayflow.llm.common import staged, words
 from stayflow.llm.vec import Spans, Words, expand, pieces
 
 SEED = 5
@@ -173,5 +173,6 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, coverage: float =
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` (same columns) without contaminated documents.  Documents without an id stay
     unless a row without an id is contaminated."""
-    bad = contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct()
+    # written first, so the planner knows its size when it plans the join
+    bad = staged(contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
