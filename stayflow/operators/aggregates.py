@@ -82,15 +82,6 @@ def source_distribution(events: DataFrame, items: DataFrame, stay_col: str = "IC
 
 # ------------------------------------------------------------------ per-group statistics
 
-def flag_max(df: DataFrame, key: str, flags: Mapping[str, Column], count_col: str | None = None,
-             count_alias: str = "total") -> DataFrame:
-    """``max`` of 0/1 flag expressions per key, plus ``count(count_col)``."""
-    aggs = [F.max(expr).alias(name) for name, expr in flags.items()]
-    if count_col is not None:
-        aggs.append(F.count(count_col).alias(count_alias))
-    return df.groupBy(key).agg(*aggs)
-
-
 def conditional_agg(df: DataFrame, key: str, category_col: str, categories: Sequence[str],
                     prefix: str = "HAS_", distinct_alias: str = "DISEASE_COUNT") -> DataFrame:
     """``MAX(CASE WHEN cat = c THEN 1 ELSE 0 END)`` per category + ``COUNT(DISTINCT cat)``."""

@@ -46,7 +46,8 @@ def stay_admission_profile(joined: DataFrame, key_columns: Sequence[str] = KEY_C
     """Profile of the stays x admissions x patients table as (metric, value) rows, from
     one aggregate over the full table (the reference profiled a 50,000-row sample):
     row count, null count per key column, ICU and hospital LOS (days) summary,
-    median age (< ``max_age``), mortality rate (%)."""
+    median age (< ``max_age``), mortality rate (%); mean ICU LOS by admission type and by
+    mortality, and the shares of the three most frequent admission types."""
     secs = lambda a, b: (F.unix_timestamp(a) - F.unix_timestamp(b)).cast("double")
     cols = set(joined.columns)
     aggs = [F.count(F.lit(1)).cast("double").alias("total_records")]
@@ -76,7 +77,18 @@ def stay_admission_profile(joined: DataFrame, key_columns: Sequence[str] = KEY_C
         one = one.select("*", *[F.lit(q[(m, 0.5)]).cast("double").alias(m) for m in medians])
     names = one.columns
     expr = ", ".join(f"'{n}', CAST(`{n}` AS DOUBLE)" for n in names)
-    return one.selectExpr(f"stack({len(names)}, {expr}) AS (metric, value)")
+    out = one.selectExpr(f"stack({len(names)}, {expr}) AS (metric, value)")
+    if "ADMISSION_TYPE" in cols:
+        kind, total = F.col("ADMISSION_TYPE"), joined.select(F.count(F.lit(1))).scalar()
+        per_type = joined.filter(kind.isNotNull()).groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
+        top = per_type.orderBy(F.desc("n"), kind).limit(3)
+        out = out.unionByName(top.select(F.concat(F.lit("top type share_pct "), kind).alias("metric"), (F.col("n") * 100.0 / total).alias("value")))
+    if {"INTIME", "OUTTIME"} <= cols:
+        for c, label in (("ADMISSION_TYPE", "type"), (flag_col, "died")):
+            if c in cols:
+                out = out.unionByName(joined.filter(F.col(c).isNotNull()).groupBy(c).agg(F.avg(icu).alias("value")).select(
+                    F.concat(F.lit(f"icu_los_days_mean {label} "), F.col(c).cast("string")).alias("metric"), "value"))
+    return out
 
 
 def base_stay_features(stays: DataFrame, patients: DataFrame, admissions: DataFrame, window_hours: float = 24,

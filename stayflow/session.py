@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -80,8 +81,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, in the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayflow-{spark.sparkContext.applicationId}"
+
+
 def materialize(df):
-    """Cut lineage with a reliable checkpoint into ``spark.checkpoint.dir`` (the shared
-    folder on a cluster) when several actions will read the same expensive plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as Parquet in the shared scratch folder and read back: cuts the lineage
+    where several actions read one expensive plan, and keeps column pruning."""
+    path = f"{scratch_root(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, when no frame that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -172,7 +172,3 @@ def read_range_layout(spark: SparkSession, path: str, bucket_col: str = "bucket"
     if buckets is not None:
         df = df.filter(F.col(bucket_col).isin(list(buckets)))
     return df
-
-
-def declared_columns(table: str) -> list[str]:
-    return table_spec(table).columns()
