@@ -9,6 +9,7 @@ dictionary, and the language with the smallest total wins; a narrow margin is re
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,14 @@ MARGIN = 0.02
 UNDETERMINED = "und"
 
 
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def folded(text: str) -> bytes:
+    """Letters in lower case with single spaces: what dictionaries and texts are compressed as."""
+    return _NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
+
+
 def learn_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS,
                        dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """One dictionary per language value.
@@ -48,7 +57,7 @@ def learn_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str =
     for r in rows:
         d = out.setdefault(r["_lang"], bytearray())
         if len(d) < dict_bytes:
-            d += r["_text"].encode()[: dict_bytes - len(d)] + b"\n"
+            d += folded(r["_text"])[: dict_bytes - len(d)] + b"\n"
     return {k: bytes(v[:dict_bytes]) for k, v in sorted(out.items())}
 
 
@@ -72,7 +81,7 @@ class Classifier:
         """(language, score, relative margin); ``und`` without a letter or a learned language."""
         if text is None or not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, 0.0
-        sizes = self.sizes(text.encode("utf-8", "replace"))
+        sizes = self.sizes(folded(text))
         order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
         if len(order) == 1:
             return self.langs[0], 1.0, 1.0
