@@ -278,7 +278,9 @@ def _train(shared_vocabulary, shared_net):
                 step += 1
                 m += 0.1 * (flat - m)
                 s += 0.01 * (flat * flat - s)
-                x = x - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
+                # the last windows hold a few long texts only: they count by their tokens
+                share = float(mask.sum()) / (TRAIN_LANES * TRAIN_WINDOW)
+                x = x - RATE * share * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
                 net = net.from_flat(x)
                 seen += int(mask.sum())
         if seen:
