@@ -84,7 +84,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     the rates is left to the planner: it broadcasts them only under Spark's own
     size limit, else AQE splits a hot source.
     """
-    cols = [F.col(f"`{c}`") for c in docs.columns if c not in {"_copy", "_rate", "_key", "_src", "_chars", "_count"}]
+    docs = docs.drop("_copy", "_rate", "_key", "_src", "_chars", "_count")  # added ones replace these
+    cols = [F.col(f"`{c}`") for c in docs.columns]
     # written first, so the planner knows its size when it plans the join
     rates = staged(source_rates(docs, weights, epochs, temperature, source_col, text_col).select("_src", "_rate"), "mix-rates")
     ident = [F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),

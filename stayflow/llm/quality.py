@@ -166,9 +166,11 @@ def _underscored(sql: str) -> str:
     return sql
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that the rules reject (same columns)."""
-    return quality_rules(docs, **options).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def kept_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that the rules reject (same columns, whatever their names)."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    out = quality_rules(docs.toDF(*names), text_col=names[docs.columns.index(text_col)], **options).filter("_kept")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 
 
 def oracle_sql(rules: Sequence[Rule] = RULES, iterations: int = ITERATIONS, source: str = "documents") -> tuple[str, str]:

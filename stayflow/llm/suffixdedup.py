@@ -239,13 +239,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, tex
     # make_valid_utf8 puts U+FFFD for broken bytes; a text of its own U+FFFD keeps them if nothing was cut
     valid = F.make_valid_utf8(F.col("kept").cast("string"))
     out = out.filter("n_removed < n_bytes OR n_bytes = 0").withColumn(
-        "_new", F.when(F.col("n_removed") > 0, F.translate(valid, "\ufffd", "")).otherwise(valid))
+        "kept_text", F.when(F.col("n_removed") > 0, F.translate(valid, "\ufffd", "")).otherwise(valid))
     cols = []
     for c in docs.columns:
         if c == text_col:
-            cols.append(F.when(F.col("___null"), F.lit(None)).otherwise(F.col("_new")).alias(c))
+            cols.append(F.when(F.col("___null"), F.lit(None)).otherwise(F.col("kept_text")).alias(c))
         elif c == "n_chars":
-            cols.append(F.when(F.col("n_removed") > 0, F.length("_new")).otherwise(F.col("_n_chars"))
+            cols.append(F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("_n_chars"))
                         .cast(docs.schema["n_chars"].dataType).alias(c))
         else:
             cols.append(F.col(f"`{c}`" if c == "doc_id" else f"`_{c}`").alias(c))

@@ -175,4 +175,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     unless a row without an id is contaminated."""
     # written first, so the planner knows its size when it plans the join
     bad = staged(contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")

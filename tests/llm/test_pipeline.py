@@ -118,11 +118,15 @@ def test_against_plain_python(spark, tmp_path):
 def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("_id", F.lit("x")).withColumn("_text", F.lit(1))
+    clash = {c: F.lit("x") for c in ("_id", "_text", "_kept", "_bad", "_new", "_rate", "ranges", "new")}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumns(clash)
+    some = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog and runs away from it", "en", None, 65)], DOCS).withColumns(clash)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns
         assert out.collect() == []
+        assert stage(spark, some, str(tmp_path)).collect() == some.collect()
+    assert corpus_pipeline.STAGES[-1][1](spark, some, str(tmp_path)).count() >= 0
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
