@@ -88,15 +88,21 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scal
                  l2: float = L2, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights on the scaled features and the intercept (weighted loss, Adam on the full sample)."""
     k = len(scale)
-    at = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    size = np.array([len(r) for r in rows], np.int64)
+    blocks = range(0, len(rows), 256)  # work space for a few rows at a time
     w, b = np.zeros(k), 0.0
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     total = max(weight.sum(), 1e-9)
     for t in range(1, steps + 1):
-        z = np.bincount(doc, (w * scale)[at], len(rows)) + b
-        e = weight * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y) / total
-        g = np.concatenate([np.bincount(at, e[doc], k) * scale + l2 * w / k, [e.sum()]])
+        ws, slope, bias = w * scale, np.zeros(k), 0.0
+        for lo in blocks:
+            own = slice(lo, lo + 256)
+            at, n = np.concatenate(rows[own]), size[own]
+            z = np.bincount(np.repeat(np.arange(len(n)), n), ws[at], len(n)) + b
+            e = weight[own] * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y[own]) / total
+            slope += np.bincount(at, np.repeat(e, n), k)
+            bias += e.sum()
+        g = np.concatenate([slope * scale + l2 * w / k, [bias]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
         w, b = w - step[:k], b - step[k]
@@ -150,7 +156,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
         bound = own.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
         picked = own.filter(F.col("_h") <= bound).dropDuplicates(["_h"])
         parts.append(picked.select("_t", "_y").mapInArrow(features, "x binary, y int").orderBy("x").toPandas())
-    xs = [np.frombuffer(x, np.int32).astype(np.int64) for part in parts for x in part["x"]]
+    xs = [np.frombuffer(x, np.int32) for part in parts for x in part["x"]]
     ys = np.concatenate([part["y"].to_numpy() for part in parts]).astype(float)
     share = np.array([size[int(label)] / len(parts[int(label)]) for label in ys])
     w, b = fit_logistic(xs, ys, share, ratio[chosen])
