@@ -4,8 +4,8 @@ Counts of every token of every training document come from one shuffle.  The net
 predicts the VOCAB most frequent tokens (class by class) and, as one further class, the
 rest; a token of the rest gets its smoothed share of the rest's counts, so a text's
 probability is that of the whole text.  Training is truncated backpropagation in numpy
-inside tasks, on a fixed share of the training documents (so it grows with the input);
-after each round the tasks' weights are averaged by Spark.  Scoring carries the state
+inside tasks, once over every training document; each round takes its share of them, and
+after it the tasks' weights are averaged by Spark.  Scoring carries the state
 across windows through whole documents.
 """
 
@@ -30,8 +30,8 @@ CLASS = 32
 #: Words whose counts are looked up in memory (their broadcast is bounded by this); others are joined.
 FREQUENT = 1 << 16
 EMBED, HIDDEN = 16, 24
-#: Rounds of training, and the slices of the training documents of which each round takes one.
-ROUNDS, SLICES = 3, 24
+#: Rounds of training; each takes its hash slice of the training documents, together they take all.
+ROUNDS = 3
 TRAIN_LANES, TRAIN_WINDOW = 32, 16
 SCORE_LANES, SCORE_WINDOW = 512, 32
 #: Bytes of text that are scored together.
@@ -305,13 +305,13 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       pa.array([(total / weight).tobytes()], pa.binary())], names=["block", "salt", "weight", "x"])
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, slices: int = SLICES) -> Net:
-    """Rounds of local training and averaging; a round takes the documents of one of ``slices`` hash slices."""
+def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Net:
+    """Rounds of local training and averaging; every document is in exactly one round, by its hash."""
     spark, net = docs.sparkSession, Net.start(v)
     shared = spark.sparkContext.broadcast(v)
     schema = "block int, salt int, weight double, x binary"
     for r in range(rounds):
-        part = docs.filter(F.pmod(F.xxhash64("_id", "_tie", F.lit(SEED)), F.lit(slices)) == r).select("_text")
+        part = docs.filter(F.pmod(F.xxhash64("_id", "_tie", F.lit(SEED)), F.lit(rounds)) == r).select("_text")
         found = part.mapInArrow(_train(shared, spark.sparkContext.broadcast(net.p)), schema)
         for keys in (("block", "salt"), ("block",)):
             found = found.groupBy(*keys).applyInArrow(_average, schema)

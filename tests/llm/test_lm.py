@@ -1,5 +1,6 @@
 import math
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stayflow.llm import lm
+from stayflow.llm.common import keyed
 
 SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("score", StringType())])
 
@@ -86,3 +88,25 @@ def test_counts_and_base_score(spark, monkeypatch):
     empty = lm.score(df.limit(3), train.limit(0)).collect()
     assert len(empty) == 3 and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in empty)
     assert lm.score(df.limit(0), train).collect() == []
+
+
+def test_every_training_document_is_learned_once(spark, monkeypatch, tmp_path):
+    inner = lm._train
+
+    def watched(shared_vocabulary, shared_net):
+        run = inner(shared_vocabulary, shared_net)
+
+        def watch(batches):
+            def seen():
+                for b in batches:
+                    (tmp_path / uuid.uuid4().hex).write_text("\n".join(b.column(0).to_pylist()))
+                    yield b
+            yield from run(seen())
+
+        return watch
+
+    monkeypatch.setattr(lm, "_train", watched)
+    texts = [f"q{i} the of q{i}" for i in range(120)]
+    docs = keyed(spark.createDataFrame([(i if i else None, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(3), "doc_id", "text")
+    lm.train(docs, vocabulary())
+    assert sorted(t for p in tmp_path.iterdir() for t in p.read_text().split("\n")) == sorted(texts)
