@@ -268,6 +268,18 @@ def linear_regression_all(spark, d):
     return _coefficients(spark, d, "linear")
 
 
+@query("ridge_regression_all")
+def ridge_regression_all(spark, d):
+    """Ridge, alpha 1.0, on all scaled features."""
+    return _coefficients(spark, d, "ridge", alpha=1.0)
+
+
+@query("lasso_regression_all")
+def lasso_regression_all(spark, d):
+    """Lasso, alpha 0.1, on all scaled features."""
+    return _coefficients(spark, d, "lasso", alpha=0.1)
+
+
 @query("elastic_net_all")
 def elastic_net_all(spark, d):
     return _coefficients(spark, d, "elastic_net", alpha=0.1, l1_ratio=0.5)

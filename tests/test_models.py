@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from stayflow.catalog import mlq
 from stayflow.plans import mlprep as P
 from stayflow.plans import models as M
 
@@ -92,3 +94,22 @@ def test_compare_pipelines(spark):
     r = M.compare_pipelines(base, enh).first()
     assert r.baseline_best_model == "RF" and r.enhanced_best_model == "GB"
     assert r.improvement_pct == pytest.approx(10.0)
+
+
+def test_ridge_and_lasso_on_all_features(spark):
+    sf = "/root/testdata/sf0.001"
+    train, _, feats = mlq._data(spark, sf)
+    rows = train.select("LOS", *feats).toPandas().astype(float)
+    x, y = rows[feats].to_numpy(), rows["LOS"].to_numpy()
+    sd = x.std(0)
+    z, yc = (x - x.mean(0)) / np.where(sd > 0, sd, 1), y - y.mean()
+    out = {kind: {r["feature"]: r["coefficient"] for r in E.queries()[f"{kind}_regression_all"](spark, sf).collect()} for kind in ("ridge", "lasso")}
+    for got in out.values():
+        assert sorted(got) == sorted([*feats, "(intercept)"])
+        assert got["(intercept)"] == pytest.approx(y.mean(), rel=1e-6)
+    ridge, lasso = (np.array([out[k][f] for f in feats]) for k in ("ridge", "lasso"))
+    # the objectives' conditions for a minimum
+    assert np.abs(z.T @ (yc - z @ ridge) - ridge).max() < 1e-3 * np.abs(z.T @ yc).max()
+    slope = z.T @ (yc - z @ lasso) / len(y)
+    assert np.abs(slope).max() < 0.1 * 1.05
+    assert np.allclose(slope[lasso != 0], 0.1 * np.sign(lasso[lasso != 0]), atol=5e-3)
