@@ -48,16 +48,29 @@ def csv_scan(spark, d):
     return io.load_csv_table(spark, folder, "icustays")
 
 
+def _sampled_infer(spark, d):
+    """Customers written as CSV and read with inferred types; a value that does not fit them fails the read."""
+    folder = io.scratch_path(spark, "csv_infer")
+    tm.read(spark, d, "customer").write.mode("overwrite").option("header", True).csv(folder)
+    return io.load_csv_sampled_infer(spark, folder, 0.1, "FAILFAST")
+
+
 @query("csv_scan_sampled_infer", sql="""
 SELECT * FROM (VALUES ('c_custkey', 'int'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
                       ('c_mktsegment', 'string')) t("column", inferred), (SELECT count(*) AS rows FROM customer)""")
 def csv_scan_sampled_infer(spark, d):
-    """Column types that a 10 % sample of the CSV rows gives, and the rows read with them."""
-    folder = io.scratch_path(spark, "csv_infer")
-    tm.read(spark, d, "customer").write.mode("overwrite").option("header", True).csv(folder)
-    df = io.load_csv_sampled_infer(spark, folder, 0.1)
+    """Column types that a 10 % sample of the CSV rows gives, and the rows read with them; every value is parsed."""
+    df = _sampled_infer(spark, d)
     types = ", ".join(f"'{c}', '{t}'" for c, t in df.dtypes)
-    return df.agg(F.count(F.lit(1)).alias("rows")).selectExpr(f"stack({len(df.columns)}, {types}) AS (column, inferred)", "rows")
+    # a count of rows alone would leave the columns unread
+    rows = F.greatest(F.count(F.lit(1)), *[F.count(c) for c in df.columns])
+    return df.agg(rows.alias("rows")).selectExpr(f"stack({len(df.columns)}, {types}) AS (column, inferred)", "rows")
+
+
+@query("csv_sampled_infer_rows", dbl="c_acctbal", sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_sampled_infer_rows(spark, d):
+    """Every CSV row, read with the types that a 10 % sample gives."""
+    return _sampled_infer(spark, d)
 
 
 @query("typed_event_scan", dbl="VALUENUM", sql="""

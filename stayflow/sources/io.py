@@ -49,9 +49,11 @@ def load_csv_table(spark: SparkSession, csv_dir: str, table_name: str, schema: S
     return df
 
 
-def load_csv_sampled_infer(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> DataFrame:
-    """Schema inference on a sample of the file (kept as an option; the default is declared)."""
-    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling_ratio)
+def load_csv_sampled_infer(spark: SparkSession, path: str, sampling_ratio: float = 0.1, mode: str = "PERMISSIVE") -> DataFrame:
+    """Schema inference on a sample of the file (kept as an option; the default is declared).
+    With ``mode`` FAILFAST a value outside the sample that does not fit fails the read instead
+    of turning NULL."""
+    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling_ratio, mode=mode)
 
 
 def typed_event_scan(spark: SparkSession, path: str, base_schema: StructType,

@@ -2,8 +2,12 @@
 
 import datetime as dt
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stayflow.catalog import sourcesq
 from stayflow.operators import quality as Q
 from stayflow.sources import io
 from stayflow.sources.schemas import TABLES, table_spec
@@ -49,3 +53,13 @@ def test_quality_checks(spark):
     assert Q.pk_violations(child, ["HADM_ID", "SEQ_NUM"]).collect()[0]["count"] == 2
     nn = {r.column: r.null_count for r in Q.not_null_violations(child, ["HADM_ID", "SEQ_NUM"]).collect()}
     assert nn == {"HADM_ID": 1, "SEQ_NUM": 0}
+
+
+def test_sampled_inference_reads_every_value(spark, monkeypatch):
+    rows = spark.range(2000, numPartitions=1).select("id", F.when(F.col("id") == 1234, "x").otherwise(F.col("id").cast("string")).alias("v"))
+    monkeypatch.setattr(sourcesq.tm, "read", lambda *_: rows.filter("id <> 1234"))
+    assert [tuple(r) for r in sourcesq.csv_scan_sampled_infer(spark, "").collect()] == [("id", "int", 1999), ("v", "int", 1999)]
+    assert sourcesq.csv_sampled_infer_rows(spark, "").agg(F.count("v"), F.sum("v")).first()[:] == (1999, sum(range(2000)) - 1234)
+    monkeypatch.setattr(sourcesq.tm, "read", lambda *_: rows)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        sourcesq.csv_scan_sampled_infer(spark, "").collect()
