@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Every learned language has a raw-content zstandard dictionary, made from a bounded,
-hash-ordered sample of its training documents.  A text is cut into segments (so the
+Every learned language has a raw-content zstandard dictionary, made from equal shares of a
+bounded, hash-ordered sample of its training documents.  A text is cut into segments (so the
 dictionary counts throughout a long text), each segment is compressed with every
 dictionary, and the language with the smallest total wins; a narrow margin is rejected.
 """
@@ -18,9 +18,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayflow.llm.common import staged
+
 #: Training documents per language and bytes of their text that make its dictionary.
 SAMPLE_DOCS = 400
 DICT_BYTES = 1 << 17
+#: Bytes of each place that a text longer than its share gives.
+EXCERPT = 96
 SEGMENT = 4096
 LEVEL = 3
 #: Relative margin under which a prediction is rejected.
@@ -36,28 +40,66 @@ def folded(text: str) -> bytes:
     return _NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
+def level_share(sizes: list[int], total: int) -> int:
+    """The largest equal share of ``total`` bytes; what short texts leave goes to the longer ones."""
+    for j, size in enumerate(sorted(sizes)):
+        share = total // (len(sizes) - j)
+        if size > share:
+            return share
+        total -= size
+    return max(sizes, default=0)
+
+
+def excerpt(data: bytes, share: int, seed: int) -> bytes:
+    """``share`` bytes from hash-chosen places all over ``data``, in its order; all of it if it fits."""
+    if len(data) <= share:
+        return data
+    places = -(-len(data) // EXCERPT)
+    # one more than needed: the last place may be short
+    chosen = np.random.default_rng(seed % (1 << 64)).choice(places, min(places, share // EXCERPT + 2), replace=False)
+    return b"".join(data[i * EXCERPT:(i + 1) * EXCERPT] for i in sorted(chosen.tolist()))[:share]
+
+
+def _folded_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        data = [folded(t) for t in b.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) + 1 for x in data], pa.int64()), pa.array(data, pa.binary())],
+                                         names=["_lang", "_n", "_h", "_size", "_data"])
+
+
+def _excerpts(shares: dict[str, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang, h, data = (b.column(i).to_pylist() for i in (0, 2, 4))
+            parts = [excerpt(x, shares[k] - 1, seed) for k, seed, x in zip(lang, h, data, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(parts, pa.binary())], names=["_lang", "_n", "_part"])
+
+    return run
+
+
 def learn_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS,
                        dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """One dictionary per language value.
 
     The sample of a language is the ``sample_docs`` training texts with the smallest
     hashes; Spark limits each group before its shuffle, so a hot language never meets
-    in one task.  At most languages * dict_bytes reach the driver.  Null languages and
-    texts without a letter teach nothing.
+    in one task.  Whole texts are folded, and each gives an equal share of the dictionary
+    from hash-chosen places all over it; what short texts leave goes to the longer ones.
+    At most languages * dict_bytes reach the driver, and the sampled texts' sizes.  Null
+    languages and texts without a letter teach nothing.
     """
     t, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     w = Window.partitionBy("_lang").orderBy("_h", "_text")
-    pieces = -(-dict_bytes // sample_docs)
     rows = (train.filter(lang.isNotNull() & t.rlike(r"\p{L}")).select(lang.alias("_lang"), F.xxhash64(t).alias("_h"), t.alias("_text"))
-            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= sample_docs)
-            # an equal share of the dictionary for each sampled text; short ones give what they have
-            .select("_lang", "_n", F.substring("_text", 1, 4 * pieces).alias("_text"))
-            .orderBy("_lang", "_n").toLocalIterator())
+            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= sample_docs).select("_lang", "_n", "_h", "_text"))
+    sample = staged(rows.mapInArrow(_folded_texts, "_lang string, _n int, _h long, _size long, _data binary"), "langid")
+    sizes: dict[str, list[int]] = {}
+    for r in sample.select("_lang", "_size").toLocalIterator():
+        sizes.setdefault(r["_lang"], []).append(r["_size"])
+    shares = {k: max(1, level_share(v, dict_bytes)) for k, v in sizes.items()}
     out: dict[str, bytearray] = {}
-    for r in rows:
-        d = out.setdefault(r["_lang"], bytearray())
-        if len(d) < dict_bytes:
-            d += folded(r["_text"])[: dict_bytes - len(d)] + b"\n"
+    for r in sample.mapInArrow(_excerpts(shares), "_lang string, _n int, _part binary").orderBy("_lang", "_n").toLocalIterator():
+        out.setdefault(r["_lang"], bytearray()).extend(r["_part"] + b"\n")
     return {k: bytes(v[:dict_bytes]) for k, v in sorted(out.items())}
 
 

@@ -116,6 +116,18 @@ def test_languages(spark):
     assert langid.identify(df.limit(0), {}).collect() == []
 
 
+def test_dictionary_has_a_share_of_every_sampled_text(spark):
+    word = lambda i: "q" + "abcdefghij"[i // 10] + "klmnopqrst"[i % 10] + "z"
+    rows = [(i, "common header " * 200 + f"{word(i)} " * 1200, "aa") for i in range(40)] + [(900 + i, word(50 + i), "aa") for i in range(9)]
+    found = langid.learn_dictionaries(frame(spark, rows), sample_docs=60, dict_bytes=12000)["aa"]
+    assert 11500 <= len(found) <= 12000
+    assert sum(word(i).encode() in found for i in range(40)) >= 36
+    assert all(word(50 + i).encode() in found for i in range(9))
+    assert langid.level_share([5, 1, 100, 100], 46) == 20 and langid.level_share([3, 4], 100) == 4
+    data = bytes(range(256)) * 40
+    assert len(langid.excerpt(data, 300, -5)) == 300 and langid.excerpt(data[:300], 300, 7) == data[:300]
+
+
 def test_toxicity(spark):
     rnd = random.Random(6)
     word = lambda: "".join(rnd.choice("abcdefghijklmno") for _ in range(rnd.randint(2, 8)))
