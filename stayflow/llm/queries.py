@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import jaccard, langid, lm, mixing, quality, suffixdedup, superkmer, tiling, toxicity, urlfilter
-from stayflow.llm.common import fold, maybe_listed, prepare, read
+from stayflow.llm import (alignment, jaccard, langid, lm, manifest, mixing, quadratic, quality, suffixdedup, superkmer, tiling,
+                          toxicity, urlfilter)
+from stayflow.llm.common import fold, maybe_listed, prepare, read, staged
 
 #: A page with less html than this is thin; op7 lists the URLs of thin pages.
 THIN_HTML = 4000
@@ -101,6 +102,31 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.dedup_bytes(read(spark, sf_dir, "documents")).drop("kept")
 
 
+#: Vocabulary files of the two tokenizers that op11 aligns.
+TOKENIZER_A, TOKENIZER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, path_a: str = TOKENIZER_A, path_b: str = TOKENIZER_B) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, for every document."""
+    return alignment.align_documents(read(spark, sf_dir, "documents"), alignment.Tokenizers.read(path_a, path_b))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows outside fold 0 of 5."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    rows = staged(quadratic.with_statistics(docs), "statistics")
+    known = labels.filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    out = quadratic.score(rows, quadratic.train(rows.join(known, "doc_id")))
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash trees of every language and their proofs, checked against a tampered copy."""
+    out = manifest.manifest(read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 0)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 _REGISTERED = {
     "op1_quality_rules": (op1_quality_rules, op1_sql),
     "op2_substring_dedup": (op2_substring_dedup, None),
@@ -112,6 +138,9 @@ _REGISTERED = {
     "op8_benchmark_decontamination": (op8_benchmark_decontamination, None),
     "op9_language_id": (op9_language_id, None),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
+    "op11_cross_tokenizer_alignment": (op11_cross_tokenizer_alignment, None),
+    "op12_quality_classifier": (op12_quality_classifier, None),
+    "op13_merkle_manifest": (op13_merkle_manifest, manifest.oracle_sql),
 }
 
 
