@@ -15,8 +15,10 @@ from stayflow.catalog.features import FEATURE_SQL, _feature_table
 from stayflow.functions.codes import FLAG_COLUMNS
 from stayflow.operators.quantiles import exact_percentile
 from stayflow.plans import enhanced as X
+from stayflow.plans import linear
 from stayflow.plans import mlprep as P
 from stayflow.plans import models as M
+from stayflow.plans.trees import HELD_OUT
 from stayflow.session import materialize
 from stayflow.sources import testmap as tm
 
@@ -214,11 +216,11 @@ def _with_held(res, test):
 def _coefficients(spark, d, kind, **kw):
     """Coefficients on the scaled features, with the one-feature fit of the same kind beside them."""
     train, _, feats = _data(spark, d)
-    n, s = M._label_stats(train, "LOS")
-    z = M.assemble(P.apply_scaling(train, P.scaling_stats(train, feats)), feats)
-    model = M.make_estimator({"kind": kind, **kw}, "LOS", "features", n, s).fit(z)
-    rows = [(f, float(c)) for f, c in zip(feats, model.coefficients.toArray(), strict=True)]
-    return spark.createDataFrame([*rows, ("(intercept)", float(model.intercept))], "feature string, coefficient double")
+    stats = P.scaling_stats(train, feats)
+    sums = linear.products(train.withColumn("fold", F.lit(0)), feats, stats, "ICUSTAY_ID", "fold", "LOS")
+    weights, intercept = linear.solve(linear.learned_from(sums, HELD_OUT), {"kind": kind, **kw})
+    rows = [*zip(feats, map(float, weights), strict=True), ("(intercept)", intercept)]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
 def _one_coefficient(spark, d, kind, **kw):
@@ -370,7 +372,7 @@ def rank_models(spark, d):
 def feature_importance(spark, d):
     """Top 20 importances of the enhanced forest, with rank, family and whether an engineered feature made the top 10."""
     _, fitted, feats = _holdout(spark, d, _only("Random Forest", M.ENHANCED_MODELS), enhanced=True)
-    top = M.feature_family(M.feature_importance(spark, fitted["Random Forest"], feats, 20))
+    top = M.feature_family(M.feature_importance(fitted["Random Forest"], feats, 20))
     ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("importance"), "feature")))  # twenty rows
     return ranked.withColumn("new_in_top_10", (F.col("rank") <= 10) & ~F.col("feature").isin(BASELINE_FEATURES))
 
@@ -385,7 +387,7 @@ SELECT 'Linear Regression' AS model, avg(rmse) AS cv_rmse_mean, stddev_pop(rmse)
 def kfold_cv(spark, d):
     """5-fold CV of the one-feature line on the training rows, checked in SQL."""
     df = materialize(_one_feature(spark, d).filter("split = 'train'"))
-    return M.kfold_cv(df, _only("Linear Regression", M.BASELINE_MODELS), ["x"], "LOS", "fold", 5)
+    return M.kfold_cv(df.drop("split"), _only("Linear Regression", M.BASELINE_MODELS), ["x"], "LOS", "fold", 5)
 
 
 def _folds(spark, d, names, enhanced: bool = False):
@@ -437,7 +439,7 @@ def enhanced_feature_family(spark, d):
 
 @query("los_enhanced_models")
 def los_enhanced_models(spark, d):
-    """Enhanced features -> split -> IQR clean -> impute -> encode (drop first) -> robust scaling -> 7 models."""
+    """Enhanced features -> split -> IQR clean -> impute -> encode (drop first) -> robust scaling -> 8 models."""
     return M.rank_models(_holdout(spark, d, M.ENHANCED_MODELS, enhanced=True)[0])
 
 

@@ -1,17 +1,13 @@
-"""Length-of-stay models with ``pyspark.ml`` (distributed training, no pandas hand-over).
-
-* Linear family: sklearn's objectives mapped onto Spark's ``LinearRegression``.
-  Spark scales the L2 term by the label's standard deviation, so with sklearn's
-  per-sample L1 weight l1 and L2 weight l2 the equivalent is
-  ``regParam = l1 + l2 * stddev_pop(y)``, ``elasticNetParam = l1 / regParam``,
-  ``standardization=False``.
-* Trees: ``RandomForestRegressor`` / ``GBTRegressor`` with the reference's sizes;
-  depth is set explicitly (sklearn forests are unbounded, Spark stops at 30) and is the
-  same at every data size.  Spark has no ``min_samples_split``; the enhanced forest's 5 is
-  left out (its two instances per leaf stay).
-* Metrics are one aggregate over (label, prediction).  Splits and folds come from
-  a hash of the stay key, so they are reproducible in SQL and independent of the
-  partitioning.
+"""Length-of-stay models: linear family, forests, extra trees and boosting on shared preparations.
+
+* Linear family: :mod:`stayflow.plans.linear` (products of all columns by fold, one pass).
+  :func:`make_estimator` maps the same objectives onto ``pyspark.ml``, which scales the L2
+  term by the label's standard deviation.
+* Trees: :mod:`stayflow.plans.trees` (one binned matrix for all models and folds, the
+  published settings in full: growth to the end, ``min_split``, random thresholds).
+* Every model gives per-row predictions of the rows that it did not learn from, as one table;
+  metrics are aggregates of that table.  Splits and folds come from a hash of the stay
+  key, so they are reproducible in SQL and independent of the partitioning.
 """
 
 from __future__ import annotations
@@ -20,12 +16,13 @@ from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.plans.mlprep import Preparation, apply_scaling, scaling_stats
+from stayflow.plans import linear, trees
+from stayflow.plans.mlprep import Preparation, scaling_stats
 from stayflow.session import materialize
 
 FEATURES = "features"
@@ -33,8 +30,7 @@ FEATURES = "features"
 # Model settings of the baseline and enhanced model sets.
 BASELINE_MODELS = {
     "Linear Regression": {"kind": "linear"},
-    # sklearn grows these trees to the end; 15 levels is the depth of the enhanced forest
-    "Random Forest": {"kind": "random_forest", "num_trees": 100, "max_depth": 15},
+    "Random Forest": {"kind": "forest", "num_trees": 100, "bootstrap": True},
     "Gradient Boosting": {"kind": "gbt", "max_iter": 100, "max_depth": 3, "step_size": 0.1},
 }
 ENHANCED_MODELS = {
@@ -42,22 +38,17 @@ ENHANCED_MODELS = {
     "Ridge": {"kind": "ridge", "alpha": 1.0},
     "Lasso": {"kind": "lasso", "alpha": 0.1},
     "Elastic Net": {"kind": "elastic_net", "alpha": 0.1, "l1_ratio": 0.5},
-    "Random Forest": {"kind": "random_forest", "num_trees": 300, "max_depth": 15, "min_instances": 2,
-                      "subset": "sqrt"},
+    "Random Forest": {"kind": "forest", "num_trees": 300, "max_depth": 15, "min_split": 5, "min_leaf": 2, "subset": "sqrt", "bootstrap": True},
+    "Extra Trees": {"kind": "forest", "num_trees": 300, "max_depth": 15, "min_split": 5, "min_leaf": 2, "subset": "sqrt", "random_split": True},
     "Gradient Boosting": {"kind": "gbt", "max_iter": 200, "step_size": 0.1, "max_depth": 6, "subsample": 0.8,
                           "subset": "sqrt"},
     "Gradient Boosting (Enhanced)": {"kind": "gbt", "max_iter": 300, "step_size": 0.05, "max_depth": 8,
                                  "subsample": 0.7, "subset": "sqrt"},
 }
-SEED = 42
 #: Models that are fitted at a time.
 PARALLELISM = 4
-METRICS = "model string, rmse double, mae double, r2 double, mape double"
-# Execution settings only (the fitted model does not depend on them): a larger node
-# batch per pass over the data and cached node ids keep deep trees from re-scanning
-# the training set once per handful of nodes; node-id caches are cut with reliable
-# checkpoints into spark.checkpoint.dir every 10 iterations.
-TREE_EXECUTION = {"maxMemoryInMB": 512, "cacheNodeIds": True, "checkpointInterval": 10}
+KEY, FOLD = "ICUSTAY_ID", "fold"
+PREDICTIONS = "model string, fit int, row long, y double, prediction double"
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES) -> DataFrame:
@@ -87,29 +78,21 @@ def make_estimator(spec: Mapping, label: str, features_col: str = FEATURES, n: i
         reg, en = linear_params(kind, n or 1, label_std or 1.0, spec.get("alpha", 1.0), spec.get("l1_ratio", 0.5))
         return LinearRegression(featuresCol=features_col, labelCol=label, regParam=reg, elasticNetParam=en,
                                 standardization=False, maxIter=200, tol=1e-9)
-    if kind == "random_forest":
-        return RandomForestRegressor(featuresCol=features_col, labelCol=label, numTrees=spec.get("num_trees", 100),
-                                     maxDepth=spec.get("max_depth", 30),
-                                     minInstancesPerNode=spec.get("min_instances", 1),
-                                     featureSubsetStrategy=spec.get("subset", "all"), seed=SEED,
-                                     **TREE_EXECUTION)
-    if kind == "gbt":
-        return GBTRegressor(featuresCol=features_col, labelCol=label, maxIter=spec.get("max_iter", 100),
-                            stepSize=spec.get("step_size", 0.1), maxDepth=spec.get("max_depth", 3),
-                            subsamplingRate=spec.get("subsample", 1.0),
-                            featureSubsetStrategy=spec.get("subset", "all"), seed=SEED, **TREE_EXECUTION)
     raise ValueError(kind)
 
 
-def regression_metrics(pred: DataFrame, label: str = "LOS", prediction: str = "prediction") -> DataFrame:
-    """One row: rmse, mae, r2 (1 - SSE / SST), mape (%)."""
+def _metrics(label: str = "LOS", prediction: str = "prediction") -> list:
+    """rmse, mae, r2 (1 - SSE / SST), mape (%) as aggregates."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     e = y - p
-    return pred.agg(
-        F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),
-        (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
-    )
+    return [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+            (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),
+            (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape")]
+
+
+def regression_metrics(pred: DataFrame, label: str = "LOS", prediction: str = "prediction") -> DataFrame:
+    """One row: rmse, mae, r2, mape."""
+    return pred.agg(*_metrics(label, prediction))
 
 
 def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:
@@ -120,38 +103,64 @@ def _label_stats(df: DataFrame, label: str) -> tuple[int, float]:
 LINEAR_KINDS = ("linear", "ridge", "lasso", "elastic_net")
 
 
-def fit_evaluate(train: DataFrame, test: DataFrame, models: Mapping[str, Mapping], features: Sequence[str],
-                 label: str = "LOS", robust: bool = False, parallelism: int = PARALLELISM) -> tuple[DataFrame, dict]:
-    """Fit each model on ``train``, score ``test``; returns (metrics per model, fitted models).
+def growth(spec: Mapping, features: int) -> trees.Growth:
+    return trees.Growth(spec.get("max_depth"), spec.get("min_split", 2), spec.get("min_leaf", 1), trees.subset(spec.get("subset", "all"), features),
+                        spec.get("bootstrap", False), spec.get("subsample", 1.0), spec.get("random_split", False))
 
-    Linear models see scaled features (statistics of the training rows: mean and
-    population std, or median and quartile range when ``robust``), trees the raw ones.
-    Training runs on the partitions that ``train`` has; models are independent, so
-    several are fitted at a time.
-    """
-    n, s = _label_stats(train, label)
-    stats = scaling_stats(train, features, robust) if any(m["kind"] in LINEAR_KINDS for m in models.values()) else {}
-    zcols = [f"{c}__z" for c in features if c in stats]
 
-    def vectors(df):
-        out = assemble(apply_scaling(df, stats, suffix="__z"), features, "raw_features")
-        if zcols:
-            out = assemble(out, zcols, "scaled_features")
-        return out.select(label, "raw_features", *(["scaled_features"] if zcols else []))
+def fit_predict(rows: DataFrame, models: Mapping[str, Mapping], features: Sequence[str], fits: Sequence[int], label: str = "LOS",
+                robust: bool = False, key: str = KEY, fold: str = FOLD, parallelism: int = PARALLELISM,
+                finish_rows: int = trees.FINISH_ROWS) -> tuple[DataFrame, dict]:
+    """Fits every model once for each of ``fits``; returns (predictions, forests).
 
-    tr, te = materialize(vectors(train)), materialize(vectors(test))
+    Fit ``f`` learns from the rows whose fold is neither ``f`` nor ``trees.HELD_OUT``.  Linear models see
+    features scaled by statistics of all training rows (mean and population std, or median and
+    quartile range when ``robust``), trees their bins; both are read by all fits.  Predictions
+    (model, fit, row, y, prediction) are written once; forests are (subtrees, tops) by name.
+    """
+    train = rows.filter(F.col(fold) != trees.HELD_OUT)
+    lines = {name: m for name, m in models.items() if m["kind"] in LINEAR_KINDS}
+    out, forests = [], {}
+    if lines:
+        stats = scaling_stats(train, features, robust)
+        stats = {c: (center or 0.0, scale) for c, (center, scale) in stats.items()}
+        sums = linear.products(rows, features, stats, key, fold, label)
+        solved = {(name, f): linear.solve(linear.learned_from(sums, f), m) for name, m in lines.items() for f in fits}
+        out.append(linear.predictions(rows, features, stats, solved, key, fold, label))
+    rest = {name: m for name, m in models.items() if name not in lines}
+    if rest:
+        values = trees.feature_values(train, features)
+        matrix = trees.binned(rows, values, features, key, fold, label)
+
+        def one(item):
+            name, m = item
+            g = growth(m, len(features))
+            if m["kind"] == "forest":
+                forests[name] = trees.fit_forest(matrix, fits, values, m["num_trees"], g, finish_rows)
+                pred = trees.forest_predictions(forests[name][0], matrix)
+            else:
+                pred, _ = trees.fit_boosting(matrix, fits, values, m["max_iter"], m["step_size"], g, finish_rows)
+            return pred.select(F.lit(name).alias("model"), "fit", "row", "y", "prediction")
+
+        with ThreadPool(max(1, min(parallelism, len(rest)))) as pool:
+            out += pool.map(inheritable_thread_target(rows.sparkSession)(one), list(rest.items()))
+    both = out[0]
+    for pred in out[1:]:
+        both = both.unionAll(pred)
+    return materialize(both), forests
+
+
+def held_out(train: DataFrame, test: DataFrame, fold: str = FOLD) -> DataFrame:
+    """Training and hold-out rows as one table for :func:`fit_predict` with the fit ``trees.HELD_OUT``."""
+    return train.withColumn(fold, F.lit(0)).unionByName(test.withColumn(fold, F.lit(trees.HELD_OUT)))
 
-    def one(item):
-        name, spec = item
-        column = "scaled_features" if spec["kind"] in LINEAR_KINDS else "raw_features"
-        m = make_estimator(spec, label, column, n, s).fit(tr)
-        metrics = regression_metrics(m.transform(te), label).first()  # one row
-        return name, m, (name, *metrics)
 
-    with ThreadPool(max(1, min(parallelism, len(models)))) as pool:
-        done = pool.map(inheritable_thread_target(train.sparkSession)(one), list(models.items()))
-    rows = train.sparkSession.createDataFrame([r for _, _, r in done], METRICS)
-    return rows, {name: m for name, m, _ in done}
+def fit_evaluate(train: DataFrame, test: DataFrame, models: Mapping[str, Mapping], features: Sequence[str],
+                 label: str = "LOS", robust: bool = False, parallelism: int = PARALLELISM, key: str = KEY) -> tuple[DataFrame, dict]:
+    """Fit each model on ``train``, score ``test``; returns (metrics per model, forests)."""
+    rows = held_out(train, test).select(key, label, FOLD, *features)
+    pred, forests = fit_predict(rows, models, features, [trees.HELD_OUT], label, robust, key, parallelism=parallelism)
+    return pred.groupBy("model").agg(*_metrics("y")), forests
 
 
 def rank_models(results: DataFrame, by: str = "rmse") -> DataFrame:
@@ -159,18 +168,17 @@ def rank_models(results: DataFrame, by: str = "rmse") -> DataFrame:
 
 
 def kfold_cv(df: DataFrame, models: Mapping[str, Mapping], features: Sequence[str], label: str = "LOS",
-             fold_col: str = "fold", k: int = 5, enhanced: bool = False) -> DataFrame:
+             fold_col: str = "fold", k: int = 5, enhanced: bool = False, key: str = KEY) -> DataFrame:
     """k-fold CV over a key-hash fold column: mean and population std of RMSE, MAE, R² per model.
 
-    Fill values, levels and scaling are learned again on the training rows of every fold.
+    Fill values, levels, scaling and bins are learned once on all rows, as in the published
+    evaluation; all folds then come from the same passes.
     """
-    per_fold = None
-    for i in range(k):
-        train, test = df.filter(F.col(fold_col) != i), df.filter(F.col(fold_col) == i)
-        prep = Preparation.fit(train, features, enhanced)
-        train, test = (prep.apply(x.select(label, *features)) for x in (train, test))
-        met, _ = fit_evaluate(train, test, models, [c for c in train.columns if c != label], label, robust=enhanced)
-        per_fold = met if per_fold is None else per_fold.unionByName(met)
+    prep = Preparation.fit(df, features, enhanced)
+    rows = materialize(prep.apply(df.select(key, label, fold_col, *features)))
+    names = [c for c in rows.columns if c not in (key, label, fold_col)]
+    pred, _ = fit_predict(rows, models, names, range(k), label, enhanced, key, fold_col)
+    per_fold = pred.groupBy("model", "fit").agg(*_metrics("y"))
     return (per_fold.groupBy("model").agg(
         F.avg("rmse").alias("cv_rmse_mean"), F.stddev_pop("rmse").alias("cv_rmse_std"),
         F.avg("mae").alias("cv_mae_mean"), F.stddev_pop("mae").alias("cv_mae_std"),
@@ -178,10 +186,13 @@ def kfold_cv(df: DataFrame, models: Mapping[str, Mapping], features: Sequence[st
         .orderBy("cv_rmse_mean", "model"))
 
 
-def feature_importance(spark: SparkSession, model, feature_names: Sequence[str], top: int | None = 15) -> DataFrame:
-    """(feature, importance) of a tree model, most important first (names from the assembler)."""
-    imp = model.featureImportances.toArray().tolist()
-    df = spark.createDataFrame(list(zip(feature_names, [float(x) for x in imp])), "feature string, importance double")
+def feature_importance(forest: tuple, feature_names: Sequence[str], top: int | None = 15) -> DataFrame:
+    """(feature, importance) of a fitted forest, most important first, aggregated from its node table; features
+    that no tree splits on have 0."""
+    grown, tops = forest
+    names = grown.sparkSession.createDataFrame(list(enumerate(feature_names)), "at int, name string")
+    found = trees.importances(trees.node_table(grown, tops)).select(F.col("feature").alias("at"), "importance")
+    df = names.join(found, "at", "left").select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
     df = df.orderBy(F.col("importance").desc(), F.col("feature"))
     return df.limit(top) if top else df
 

@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from stayflow.catalog import mlq
 from stayflow.plans import mlprep as P
 from stayflow.plans import models as M
+from stayflow.plans.trees import HELD_OUT, NODE
 
 
 def _data(spark, n=300, seed=7):
@@ -79,11 +80,19 @@ def test_impute_and_one_hot(spark):
 
 def test_feature_importance_sums_to_one(spark):
     df, _, _ = _data(spark)
-    m = M.make_estimator({"kind": "random_forest", "num_trees": 5, "max_depth": 4}, "LOS", "features").fit(
-        M.assemble(df, ["a", "b", "c"]))
-    imp = M.feature_importance(spark, m, ["a", "b", "c"], top=None).collect()
+    rows = P.with_fold(df, k=5)
+    _, forests = M.fit_predict(rows, {"f": {"kind": "forest", "num_trees": 5, "max_depth": 4, "bootstrap": True}}, ["a", "b", "c"], [HELD_OUT])
+    imp = M.feature_importance(forests["f"], ["a", "b", "c"], top=None).collect()
     assert sum(r.importance for r in imp) == pytest.approx(1.0)
     assert imp[0].feature == "a"
+    grown, tops = forests["f"]
+    plain = np.zeros(3)
+    for r in grown.collect():
+        n = np.frombuffer(bytes(r["nodes"]), NODE)
+        own = np.bincount(n["feature"][n["feature"] >= 0], weights=n["gain"][n["feature"] >= 0], minlength=3)
+        plain += own / own.sum()
+    assert not tops
+    assert {r.feature: r.importance for r in imp} == pytest.approx(dict(zip("abc", plain / plain.sum())), abs=1e-9)
 
 
 def test_compare_pipelines(spark):
