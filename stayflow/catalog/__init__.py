@@ -77,5 +77,6 @@ def load_all() -> dict[str, Entry]:
         mlq,
         relationalq,
         sourcesq,
+        treeq,
     )
     return REGISTRY

@@ -184,9 +184,9 @@ def _data(spark, d, enhanced: bool = False):
     prepared rows once, however many models read them.
     """
     raw, feats = _raw(spark, d, enhanced)
-    train, test = (raw.filter(F.col("split") == s) for s in ("train", "test"))
-    prep = P.Preparation.fit(train, feats, enhanced)
-    train, test = (materialize(prep.apply(x.select("ICUSTAY_ID", "LOS", *feats))) for x in (train, test))
+    prep = P.Preparation.fit(raw.filter("split = 'train'"), feats, enhanced)
+    rows = materialize(prep.apply(raw.select("ICUSTAY_ID", "LOS", "split", *feats)))
+    train, test = (rows.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     return train, test, [c for c in train.columns if c not in ("ICUSTAY_ID", "LOS")]
 
 
@@ -216,9 +216,8 @@ def _with_held(res, test):
 def _coefficients(spark, d, kind, **kw):
     """Coefficients on the scaled features, with the one-feature fit of the same kind beside them."""
     train, _, feats = _data(spark, d)
-    stats = P.scaling_stats(train, feats)
-    sums = linear.products(train.withColumn("fold", F.lit(0)), feats, stats, "ICUSTAY_ID", "fold", "LOS")
-    weights, intercept = linear.solve(linear.learned_from(sums, HELD_OUT), {"kind": kind, **kw})
+    total = linear.learned_from(linear.products(train.withColumn("fold", F.lit(0)), feats, "ICUSTAY_ID", "fold", "LOS"), HELD_OUT)
+    weights, intercept = linear.solve(linear.scaled(total, linear.standard_scales(total)), {"kind": kind, **kw})
     rows = [*zip(feats, map(float, weights), strict=True), ("(intercept)", intercept)]
     return spark.createDataFrame(rows, "feature string, coefficient double")
 

@@ -1,24 +1,30 @@
 """Linear models from sufficient statistics.
 
-One pass over the scaled rows gives, for every fold, the sums of products of all columns
-(features, label and a constant), in blocks that Spark adds up.  What a fit learns from is the
-sum over the other folds, so all folds, models and penalties come from the same pass; the
-solutions need only matrices of the number of features.  Objectives are the published
-ones: least squares (of least norm where columns depend on each other), ridge, and lasso and
-elastic net by coordinate descent.
+One pass over the rows gives, for every fold, the row count, the means and the centred
+products of all columns (features and label), in blocks that Spark merges by the rule for
+pairs of samples, so no digits are lost to large means.  What a fit learns from is the
+merger of the other folds, so all folds, models, scalings and penalties come from the same
+pass; the solutions need only matrices of the number of features.  Objectives are the
+published ones: least squares (of least norm where columns depend on each other), ridge, and
+lasso and elastic net by coordinate descent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import sys
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.plans.trees import HELD_OUT
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this library
+
 #: Rows of the product matrix that are summed together.
 BLOCK = 8
 #: Share of the largest eigenvalue under which a direction counts as dependent.
@@ -26,56 +32,96 @@ DEPENDENT = 1e-11
 SWEEPS, TOLERANCE = 20_000, 1e-11
 
 
-def _scaled(df: DataFrame, features: Sequence[str], key: str, fold: str, label: str) -> DataFrame:
+class Products(NamedTuple):
+    """Rows, means and centred products of the features and, last, the label."""
+    n: float
+    mean: np.ndarray
+    centred: np.ndarray
+
+
+def merged(parts: Iterable[Products], rows: slice = slice(None)) -> Products:
+    """Products of several samples together; ``centred`` may hold only some rows of the matrix."""
+    total = None
+    for part in parts:
+        if total is None or not total.n:
+            total = part
+        elif part.n:
+            n, step = total.n + part.n, part.mean - total.mean
+            total = Products(n, total.mean + step * (part.n / n),
+                             total.centred + part.centred + np.outer(step[rows], step) * (total.n * part.n / n))
+    return total
+
+
+def _numeric(df: DataFrame, features: Sequence[str], key: str, fold: str, label: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("row"), F.col(fold).cast("int").alias("fold"), F.col(label).cast("double").alias("y"),
                      *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(features)])
 
 
-def _matrix(b: pa.RecordBatch, stats: Sequence[tuple[float, float]]) -> np.ndarray:
-    x = np.stack([b.column(3 + i).to_numpy(zero_copy_only=False) for i in range(len(stats))], 1) if stats else np.empty((b.num_rows, 0))
-    return (x - np.array([c for c, _ in stats])) / np.array([s or 1.0 for _, s in stats]) if stats else x
+def _features(b: pa.RecordBatch) -> np.ndarray:
+    cols = [c.to_numpy(zero_copy_only=False) for c in b.columns[3:]]
+    return np.stack(cols, 1) if cols else np.empty((b.num_rows, 0))
 
 
-def products(df: DataFrame, features: Sequence[str], stats: Mapping[str, tuple[float, float]], key: str, fold: str, label: str) -> dict[int, np.ndarray]:
-    """Sums of products of (1, scaled features, label) by fold, from one pass."""
-    size, scale = len(features) + 2, [stats[c] for c in features]
+def products(df: DataFrame, features: Sequence[str], key: str, fold: str, label: str) -> dict[int, Products]:
+    """Products of features and label by fold, from one pass."""
+    size = len(features) + 1
     blocks = (size + BLOCK - 1) // BLOCK
+    kind = "fold int, block int, n double, mean binary, sums binary"
+    names = [c.split()[0] for c in kind.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        held: dict[int, Products] = {}
         for b in batches:
             folds, y = (b.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
-            v = np.column_stack([np.ones(b.num_rows), _matrix(b, scale), y])
+            v = np.column_stack([_features(b), y])
             for f in np.unique(folds):
                 own = v[folds == f]
-                sums[int(f)] = sums.get(int(f), 0.0) + own.T @ own
-        for f, m in sums.items():
-            yield pa.record_batch([pa.array([f] * blocks, pa.int32()), pa.array(range(blocks), pa.int32()),
-                                   pa.array([m[k * BLOCK:(k + 1) * BLOCK].tobytes() for k in range(blocks)], pa.binary())], ["fold", "block", "sums"])
+                mean = own.mean(0)
+                own = Products(float(len(own)), mean, (own - mean).T @ (own - mean))
+                held[int(f)] = merged([held[int(f)], own]) if int(f) in held else own
+        for f, (n, mean, centred) in held.items():
+            yield pa.record_batch([pa.array([f] * blocks, pa.int32()), pa.array(range(blocks), pa.int32()), pa.array([n] * blocks),
+                                   pa.array([mean.tobytes()] * blocks, pa.binary()),
+                                   pa.array([centred[k * BLOCK:(k + 1) * BLOCK].tobytes() for k in range(blocks)], pa.binary())], names)
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v) for v in table["sums"].to_pylist())
-        return pa.table([table["fold"][:1], table["block"][:1], pa.array([total.tobytes()], pa.binary())], names=["fold", "block", "sums"])
-
-    kind = "fold int, block int, sums binary"
-    out: dict[int, np.ndarray] = {}
-    for r in _scaled(df, features, key, fold, label).mapInArrow(count, kind).groupBy("fold", "block").applyInArrow(add, kind).collect():
+        at = slice(table["block"][0].as_py() * BLOCK, (table["block"][0].as_py() + 1) * BLOCK)
+        cols = zip(*(table[c].to_pylist() for c in ("n", "mean", "sums")), strict=True)
+        total = merged((Products(n, np.frombuffer(mean), np.frombuffer(sums).reshape(-1, size)) for n, mean, sums in cols), at)
+        return pa.table([table["fold"][:1], table["block"][:1], pa.array([total.n]), pa.array([total.mean.tobytes()], pa.binary()),
+                         pa.array([total.centred.tobytes()], pa.binary())], names=names)
+
+    out: dict[int, Products] = {}
+    for r in _numeric(df, features, key, fold, label).mapInArrow(count, kind).groupBy("fold", "block").applyInArrow(add, kind).collect():
         part = np.frombuffer(bytes(r["sums"])).reshape(-1, size)
-        out.setdefault(r["fold"], np.zeros((size, size)))[r["block"] * BLOCK:r["block"] * BLOCK + len(part)] = part
+        if r["fold"] not in out:
+            out[r["fold"]] = Products(r["n"], np.frombuffer(bytes(r["mean"])), np.zeros((size, size)))
+        out[r["fold"]].centred[r["block"] * BLOCK:r["block"] * BLOCK + len(part)] = part
     return out
 
 
-def learned_from(sums: Mapping[int, np.ndarray], fit: int) -> np.ndarray:
-    """Products over the rows that a fit learns from."""
-    return sum(m for f, m in sums.items() if f not in (fit, HELD_OUT))
+def learned_from(sums: Mapping[int, Products], fit: int) -> Products:
+    """Products of the rows that a fit learns from."""
+    return merged(m for f, m in sorted(sums.items()) if f not in (fit, HELD_OUT))
 
 
-def solve(m: np.ndarray, spec: Mapping) -> tuple[np.ndarray, float]:
+def standard_scales(total: Products) -> np.ndarray:
+    """Mean and population standard deviation of every feature, by column; a constant's scale is 1."""
+    spread = np.sqrt(np.maximum(np.diag(total.centred)[:-1] / total.n, 0.0))
+    level = np.maximum(np.abs(total.mean[:-1]), 1e-300)
+    return np.stack([total.mean[:-1], np.where(spread > 1e-12 * level, spread, 1.0)])
+
+
+def scaled(total: Products, scales: np.ndarray) -> Products:
+    """Products of features less a centre and divided by a scale."""
+    by = np.append(scales[1], 1.0)
+    return Products(total.n, (total.mean - np.append(scales[0], 0.0)) / by, total.centred / np.outer(by, by))
+
+
+def solve(total: Products, spec: Mapping) -> tuple[np.ndarray, float]:
     """(coefficients, intercept) of one model from the products of its training rows."""
-    n, kind = m[0, 0], spec["kind"]
-    mean = m[0] / n
-    centred = m - n * np.outer(mean, mean)
-    xx, xy = centred[1:-1, 1:-1], centred[1:-1, -1]
+    n, mean, centred = total
+    kind, xx, xy = spec["kind"], centred[:-1, :-1], centred[:-1, -1]
     if kind == "linear":
         values, vectors = np.linalg.eigh(xx)
         keep = values > DEPENDENT * max(values.max(initial=0.0), 1e-300)
@@ -85,7 +131,7 @@ def solve(m: np.ndarray, spec: Mapping) -> tuple[np.ndarray, float]:
     else:
         share = 1.0 if kind == "lasso" else spec["l1_ratio"]
         w = descended(xx / n, xy / n, spec["alpha"] * share, spec["alpha"] * (1 - share))
-    return w, float(mean[-1] - mean[1:-1] @ w)
+    return w, float(mean[-1] - mean[:-1] @ w)
 
 
 def descended(xx: np.ndarray, xy: np.ndarray, l1: float, l2: float) -> np.ndarray:
@@ -108,18 +154,16 @@ def descended(xx: np.ndarray, xy: np.ndarray, l1: float, l2: float) -> np.ndarra
     return w
 
 
-def predictions(df: DataFrame, features: Sequence[str], stats: Mapping[str, tuple[float, float]], solved: Mapping[tuple[str, int], tuple],
+def predictions(df: DataFrame, features: Sequence[str], scales: np.ndarray, solved: Mapping[tuple[str, int], tuple],
                 key: str, fold: str, label: str) -> DataFrame:
     """(model, fit, row, y, prediction) of the rows of every fit's fold."""
-    scale = [stats[c] for c in features]
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, folds, y = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            x = _matrix(b, scale)
+            x = (_features(b) - scales[0]) / scales[1]
             for (name, fit), (w, intercept) in solved.items():
                 use = np.flatnonzero(folds == fit)
                 yield pa.record_batch([pa.array([name] * len(use), pa.string()), pa.array(np.full(len(use), fit, np.int32)), pa.array(rows[use]),
                                        pa.array(y[use]), pa.array(x[use] @ w + intercept)], ["model", "fit", "row", "y", "prediction"])
 
-    return _scaled(df, features, key, fold, label).mapInArrow(task, "model string, fit int, row long, y double, prediction double")
+    return _numeric(df, features, key, fold, label).mapInArrow(task, "model string, fit int, row long, y double, prediction double")

@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from stayflow.operators.quantiles import exact_percentiles
+from stayflow.session import materialize
 
 VITAL_MARKERS = ("heart_rate", "respiratory_rate", "spo2")
 # Feature groups of the baseline model step.
@@ -176,10 +177,66 @@ def with_fills(df: DataFrame, roles: ColumnRoles, fills: Mapping[str, object], n
     return out
 
 
-def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Sorted distinct non-null levels per categorical column.  They become columns, whose
-    names the driver holds in any case, so any number of levels is taken."""
-    return {c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()] for c in columns}
+#: Distinct levels that a column may have as columns of its own; beyond, :func:`one_hot_sparse`.
+WIDE_LEVELS = 10_000
+
+
+def level_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(k, level, place): the distinct non-null levels of every column (by its number), as text for text
+    columns, numbered from 0 in order.  Ranges of levels are numbered in their own tasks from the ranges'
+    counts, so no task holds a column's levels."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    parts = ", ".join(f"{i}, CAST(`{c}` AS string), {'CAST(NULL AS double)' if c in texts else f'CAST(`{c}` AS double)'}" for i, c in enumerate(columns))
+    levels = (df.selectExpr(f"stack({len(columns)}, {parts}) AS (k, level, number)").filter("level IS NOT NULL").distinct()
+              .repartitionByRange("k", "number", "level").sortWithinPartitions("k", "number", "level"))
+    levels = materialize(levels.withColumn("at", F.monotonically_increasing_id())).withColumn("range", F.shiftright("at", 33))
+    sizes = levels.groupBy("k", "range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.partitionBy("k").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return levels.join(sizes, ["k", "range"]).select("k", "level", (F.col("at") - F.col("first") + F.col("before")).alias("place"))
+
+
+def category_levels(df: DataFrame, columns: Sequence[str], limit: int = WIDE_LEVELS) -> dict[str, list]:
+    """Sorted distinct non-null levels per categorical column, from one job.
+
+    They become columns, so a column may have ``limit`` of them at most; one with more raises and
+    is for :func:`one_hot_sparse`.
+    """
+    if not columns:
+        return {}
+    kinds = dict(df.dtypes)
+    parts = ", ".join(f"{i}, CAST(`{c}` AS string)" for i, c in enumerate(columns))
+    rows = df.selectExpr(f"stack({len(columns)}, {parts}) AS (k, level)").filter("level IS NOT NULL").distinct().limit(
+        limit * len(columns) + 1).collect()
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        out[columns[r["k"]]].append(r["level"])
+    for c, levels in out.items():
+        if len(levels) > limit or len(rows) > limit * len(columns):
+            raise ValueError(f"{c} has more than {limit} levels; use one_hot_sparse")
+        if kinds[c] != "string":
+            levels[:] = [float(v) if kinds[c] in ("double", "float") else int(v) if kinds[c] in ("int", "bigint", "smallint", "tinyint") else v for v in levels]
+        levels.sort()
+    return out
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str], key: str, drop_first: bool = False) -> DataFrame:
+    """``key`` and ``indices``: the places of a row's levels among the dummy columns of all ``columns``, ascending.
+
+    The levels stay a table (:func:`level_table`) and are joined, so any number of them is taken.
+    A null has no place; with ``drop_first`` neither has a column's first level.
+    """
+    levels = level_table(df, columns)
+    first = 1 if drop_first else 0
+    sizes = levels.groupBy("k").agg(F.max("place").alias("last")).collect()  # one row for each column
+    width = {r["k"]: r["last"] + 1 - first for r in sizes}
+    offset = {k: sum(width.get(j, 0) for j in range(k)) for k in range(len(columns))}
+    starts = F.element_at(F.create_map(*[F.lit(v) for k in range(len(columns)) for v in (k, int(offset[k]) - first)]), F.col("k"))
+    parts = ", ".join(f"{i}, CAST(`{c}` AS string)" for i, c in enumerate(columns))
+    long = df.selectExpr(f"`{key}`", f"stack({len(columns)}, {parts}) AS (k, level)").filter("level IS NOT NULL")
+    at = long.join(levels.filter(F.col("place") >= first), ["k", "level"]).select(key, (F.col("place") + starts).alias("at"))
+    grouped = at.groupBy(key).agg(F.sort_array(F.collect_list("at")).alias("indices"))
+    return df.select(key).join(grouped, key, "left").select(key, F.coalesce("indices", F.array().cast("array<bigint>")).alias("indices"))
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False,

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark import inheritable_thread_target
@@ -122,11 +123,14 @@ def fit_predict(rows: DataFrame, models: Mapping[str, Mapping], features: Sequen
     lines = {name: m for name, m in models.items() if m["kind"] in LINEAR_KINDS}
     out, forests = [], {}
     if lines:
-        stats = scaling_stats(train, features, robust)
-        stats = {c: (center or 0.0, scale) for c, (center, scale) in stats.items()}
-        sums = linear.products(rows, features, stats, key, fold, label)
-        solved = {(name, f): linear.solve(linear.learned_from(sums, f), m) for name, m in lines.items() for f in fits}
-        out.append(linear.predictions(rows, features, stats, solved, key, fold, label))
+        sums = linear.products(rows, features, key, fold, label)
+        if robust:
+            stats = scaling_stats(train, features, robust)
+            scales = np.array([[stats[c][0] or 0.0 for c in features], [stats[c][1] or 1.0 for c in features]])
+        else:
+            scales = linear.standard_scales(linear.learned_from(sums, trees.HELD_OUT))
+        solved = {(name, f): linear.solve(linear.scaled(linear.learned_from(sums, f), scales), m) for name, m in lines.items() for f in fits}
+        out.append(linear.predictions(rows, features, scales, solved, key, fold, label))
     rest = {name: m for name, m in models.items() if name not in lines}
     if rest:
         values = trees.feature_values(train, features)

@@ -15,16 +15,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.session import materialize
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this library
+
 #: Fold of rows that no fit learns from, and fit that predicts them.
 HELD_OUT = -1
 #: Values of a feature that splits can lie between.
@@ -342,6 +346,11 @@ class _Top:
         self.nodes = np.concatenate([t, two])
 
 
+def _plain(tops: Mapping) -> dict:
+    """Node tables and paths as arrays and lists, which tasks read without this module."""
+    return {key: (top.nodes, top.paths) for key, top in tops.items()}
+
+
 def _columns(b: pa.RecordBatch, p: int) -> tuple:
     """(row, fold, y, codes, predictions so far) of a batch of the matrix."""
     rows, fold, y = (c.to_numpy(zero_copy_only=False) for c in b.columns[:3])
@@ -364,7 +373,7 @@ DECIDED = "k int, gain double, feature long, code long, rows long, weight long,
 def _look(matrix: DataFrame, tops: dict, later, values, g: Growth, look: list) -> dict:
     """One pass over the rows: the best split of every node in ``look`` ((tree, fit, node)), by one aggregate."""
     p = len(values)
-    sent = matrix.sparkSession.sparkContext.broadcast((tops, look, values))
+    sent = matrix.sparkSession.sparkContext.broadcast((_plain(tops), look, values))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops, look, _ = sent.value
@@ -377,10 +386,11 @@ def _look(matrix: DataFrame, tops: dict, later, values, g: Growth, look: list) -
             rows, fold, y, x, sofar = _columns(b, p)
             for (tree, fit), own in trees.items():
                 w = np.where((fold == fit) | (fold == HELD_OUT), 0, weights(rows, tree, g))
-                slot = np.full(len(tops[tree, fit].nodes), -1)
+                nodes = tops[tree, fit][0]
+                slot = np.full(len(nodes), -1)
                 slot[[n for _, n in own]] = np.arange(len(own))
                 use = np.flatnonzero(w > 0)
-                at = slot[descend(tops[tree, fit].nodes, x[use])]
+                at = slot[descend(nodes, x[use])]
                 use, at = use[at >= 0], at[at >= 0]
                 t = integer(labels(y, x, fit, sofar, later)[use])
                 w = w[use]
@@ -406,7 +416,7 @@ def _look(matrix: DataFrame, tops: dict, later, values, g: Growth, look: list) -
             own = feat[0][j]
             return j, code, c[0][own, code], c[1][own, code], c[2][own, code]
 
-        paths = np.array([tops[tree, fit].paths[node]], np.uint64)
+        paths = np.array([tops[tree, fit][1][node]], np.uint64)
         gain, feature, code = level_splits(gather, paths, totals, np.array([sum(table["squares"].to_pylist())]), p, values, g)
         left = c[:, max(feature[0], 0), :code[0] + 1].sum(1)
         figures = [gain[0], feature[0], code[0], *(t[0] for t in totals), *left]
@@ -450,11 +460,11 @@ def grow(matrix: DataFrame, trees: Sequence[int], fits: Sequence[int], values: S
     _grow_tops(matrix, tops, later, values, g, finish_rows)
     whole = [f for f in fits if train_rows[f] <= finish_rows]
     single = [f for f in fits if not share or train_rows[f] > finish_rows]
-    sent = matrix.sparkSession.sparkContext.broadcast((tops, values))
+    sent = matrix.sparkSession.sparkContext.broadcast((_plain(tops), values))
     trees = list(trees)
 
-    def large(top: _Top) -> np.ndarray:
-        return (top.nodes["feature"] < 0) & (top.nodes["rows"] > finish_rows)
+    def large(nodes: np.ndarray) -> np.ndarray:
+        return (nodes["feature"] < 0) & (nodes["rows"] > finish_rows)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops, _ = sent.value
@@ -469,8 +479,8 @@ def grow(matrix: DataFrame, trees: Sequence[int], fits: Sequence[int], values: S
                     use = np.flatnonzero(((w > 0) & (fold != f) & (fold != HELD_OUT)) | (predict & (fold == f)))
                     at = np.zeros(len(use), np.int64)
                     if (t, f) in tops:
-                        at = descend(tops[t, f].nodes, x[use])
-                        keep = ~large(tops[t, f])[at]
+                        at = descend(tops[t, f][0], x[use])
+                        keep = ~large(tops[t, f][0])[at]
                         use, at = use[keep], at[keep]
                     units += [(t, f, int(n), use[at == n]) for n in np.unique(at)]
             for lo in range(0, len(units), 32):
@@ -490,7 +500,7 @@ def grow(matrix: DataFrame, trees: Sequence[int], fits: Sequence[int], values: S
         for fit in whole if unit == -2 else [unit]:
             use = np.flatnonzero((seen > 0) & (fold != fit) & (fold != HELD_OUT))
             top = tops.get((tree, fit))
-            path, depth = (top.paths[root], int(top.nodes["depth"][root])) if top else (root_path(tree), 0)
+            path, depth = (top[1][root], int(top[0]["depth"][root])) if top else (root_path(tree), 0)
             own = grown(x[use], t[use], seen[use], path, depth, values, g)
             ask = np.flatnonzero(fold == fit) if predict else use[:0]
             out.append((tree, fit, root, own.tobytes(), rows[ask].tobytes(), own["value"][descend(own, x[ask])].tobytes()))
@@ -500,17 +510,17 @@ def grow(matrix: DataFrame, trees: Sequence[int], fits: Sequence[int], values: S
         tops, _ = sent.value
         for b in batches:
             rows, fold, _, x, _ = _columns(b, p)
-            for (t, f), top in tops.items():
+            for (t, f), (nodes, _) in tops.items():
                 use = np.flatnonzero(fold == f)
-                at = descend(top.nodes, x[use])
-                use, at = use[large(top)[at]], at[large(top)[at]]
+                at = descend(nodes, x[use])
+                use, at = use[large(nodes)[at]], at[large(nodes)[at]]
                 if len(use):
                     yield pa.record_batch([pa.array([v], k) for v, k in zip(
-                        (t, f, -1, b"", rows[use].tobytes(), top.nodes["value"][at].tobytes()), _GROWN_TYPES, strict=True)], _GROWN_NAMES)
+                        (t, f, -1, b"", rows[use].tobytes(), nodes["value"][at].tobytes()), _GROWN_TYPES, strict=True)], _GROWN_NAMES)
 
     units = matrix.mapInArrow(deal, "tree int, unit int, root int, rows binary, folds binary, ys binary, xs binary")
     out = units.groupBy("tree", "unit", "root").applyInArrow(finish, GROWN)
-    if predict and any(large(top).any() for top in tops.values()):
+    if predict and any(large(top.nodes).any() for top in tops.values()):
         out = out.unionAll(matrix.mapInArrow(in_place, GROWN))
     return out, tops
 

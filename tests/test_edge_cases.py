@@ -73,3 +73,23 @@ def test_only_heavy_keys_are_salted_in_proportion(spark):
     assert ev.filter("k = 0").select("_salt").distinct().count() == 200
     out = R.salted_join(events, stays, "k", ["k", "v"], 600)
     assert out.count() == 9000 - 2999 + 2999 and out.filter("s <> 2 * k").count() == 0
+
+
+def test_one_hot_of_many_levels(spark):
+    df = spark.range(5000).select(F.col("id").alias("key"), F.when(F.col("id") % 10 != 3, F.concat(F.lit("v"), F.col("id") % 4001)).alias("a"),
+                                  (F.col("id") % 3).alias("b")).repartition(5)
+    rows = df.collect()
+    places = {("a", v): k for k, v in enumerate(sorted({r["a"] for r in rows if r["a"] is not None}))}
+    width = len(places)
+    places |= {("b", v): width + k for k, v in enumerate(sorted({r["b"] for r in rows}))}
+    want = {r["key"]: sorted(places[c, r[c]] for c in "ab" if r[c] is not None) for r in rows}
+    got = {r["key"]: r["indices"] for r in P.one_hot_sparse(df, ["a", "b"], "key").collect()}
+    assert got == want
+    fewer = {r["key"]: r["indices"] for r in P.one_hot_sparse(df, ["b", "a"], "key", drop_first=True).collect()}
+    for r in rows:
+        own = [r["b"] - 1] if r["b"] else []
+        own += [places["a", r["a"]] + 1] if r["a"] is not None and places["a", r["a"]] else []
+        assert fewer[r["key"]] == own
+    with pytest.raises(ValueError, match="more than 100 levels"):
+        P.category_levels(df, ["a", "b"], limit=100)
+    assert P.category_levels(df, ["b"]) == {"b": [0, 1, 2]}

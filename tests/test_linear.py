@@ -30,12 +30,20 @@ def scaled(x, train):
 
 def test_products_of_every_fold(table):
     df, x, y, fold = table
-    stats = P.scaling_stats(df.filter("fold >= 0"), NAMES)
-    sums = L.products(df, NAMES, stats, "ICUSTAY_ID", "fold", "LOS")
-    v = np.column_stack([np.ones(500), scaled(x, fold >= 0), y])
+    sums = L.products(df, NAMES, "ICUSTAY_ID", "fold", "LOS")
+    v = np.column_stack([x, y])
     assert sorted(sums) == [-1, 0, 1, 2, 3]
     for f, m in sums.items():
-        np.testing.assert_allclose(m, v[fold == f].T @ v[fold == f], atol=1e-7)
+        own = v[fold == f]
+        assert m.n == len(own)
+        np.testing.assert_allclose(m.mean, own.mean(0))
+        np.testing.assert_allclose(m.centred, (own - own.mean(0)).T @ (own - own.mean(0)), rtol=1e-9, atol=1e-6)
+    total = L.learned_from(sums, 2)
+    own = v[(fold != 2) & (fold >= 0)]
+    np.testing.assert_allclose(total.centred, (own - own.mean(0)).T @ (own - own.mean(0)), rtol=1e-9, atol=1e-6)
+    scales = L.standard_scales(L.learned_from(sums, HELD_OUT))
+    want = P.scaling_stats(df.filter("fold >= 0"), NAMES)
+    np.testing.assert_allclose(scales.T, [want[c] for c in NAMES], rtol=1e-9)
 
 
 def test_least_squares_of_least_norm(table):
@@ -57,8 +65,8 @@ def test_minima_of_the_penalised_objectives(table, spec):
     _, x, y, fold = table
     z = scaled(x, fold >= 0)[fold >= 0]
     t = y[fold >= 0]
-    v = np.column_stack([np.ones(len(t)), z, t])
-    w, intercept = L.solve(v.T @ v, spec)
+    v = np.column_stack([z, t])
+    w, intercept = L.solve(L.Products(len(t), v.mean(0), (v - v.mean(0)).T @ (v - v.mean(0))), spec)
     n, slope = len(t), z.T @ (t - z @ w - intercept)
     if spec["kind"] == "ridge":
         np.testing.assert_allclose(slope, spec["alpha"] * w, atol=1e-7)
