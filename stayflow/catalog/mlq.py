@@ -101,8 +101,9 @@ def impute_features(spark, d):
     return _imputed(spark, d)
 
 
-# The order-priority and market-segment domains of the test tables.
+# The order-priority, order-status and market-segment domains of the test tables.
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATUSES = ["F", "O", "P"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -263,13 +264,43 @@ def elastic_net(spark, d):
     return _one_coefficient(spark, d, "elastic_net", alpha=0.1, l1_ratio=0.5)
 
 
+def _ridge_sql(alpha: float) -> str:
+    """Normal equations of ridge on all scaled features, solved by elimination: means, fills and levels of the
+    training rows, one matrix of sums of products, a pivot in each step."""
+    exprs = {}
+    for c in BASELINE_FEATURES:
+        if c in (*P.BASELINE_ADMIN, "GENDER"):
+            mode = f'(SELECT "{c}" FROM tr WHERE "{c}" IS NOT NULL GROUP BY "{c}" ORDER BY count(*) DESC, "{c}" LIMIT 1)'
+            levels = SEGMENTS if c == "GENDER" else STATUSES if c == "INSURANCE" else PRIORITIES
+            exprs |= {f"{c}_{v}": f"CASE WHEN coalesce(\"{c}\", {mode}) = '{v}' THEN 1.0 ELSE 0.0 END" for v in levels}
+        elif c.startswith("has_"):
+            exprs[c] = f'coalesce("{c}", (SELECT "{c}" FROM tr WHERE "{c}" IS NOT NULL GROUP BY "{c}" ORDER BY count(*) DESC, "{c}" LIMIT 1))'
+        else:
+            exprs[c] = f'coalesce("{c}", {"0" if "count" in c else f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM tr)"})'
+    p = len(exprs)
+    rows = ", ".join("[" + ", ".join([f"sum(z{min(i, j)} * z{max(i, j)})" + (f" + {alpha}" if i == j else "") for j in range(p)] + [f"sum(z{i} * y)"]) + "]"
+                     for i in range(p))
+    return f"""SELECT * FROM (WITH RECURSIVE tr AS MATERIALIZED (SELECT * FROM ({_CLEAN_SQL}) WHERE {_SPLIT} >= 20),
+x AS MATERIALIZED (SELECT CAST(LOS AS DOUBLE) AS LOS, {', '.join(f'CAST({e} AS DOUBLE) AS x{i}' for i, e in enumerate(exprs.values()))} FROM tr),
+s AS (SELECT avg(LOS) AS m, {', '.join(f'avg(x{i}) AS a{i}, stddev_pop(x{i}) AS s{i}' for i in range(p))} FROM x),
+z AS MATERIALIZED (SELECT LOS - m AS y, {', '.join(f'(x{i} - a{i}) / CASE WHEN s{i} > 1e-12 * abs(a{i}) THEN s{i} ELSE 1 END AS z{i}' for i in range(p))} FROM x, s),
+el(k, m) AS (
+  SELECT 0, [{rows}] FROM z
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / top[k + 1])
+                                               ELSE list_transform(r, lambda v, j: v - r[k + 1] * top[j] / top[k + 1]) END)
+  FROM (SELECT k, m, m[k + 1] AS top FROM el) WHERE k < {p})
+SELECT feature, m[i][{p + 1}] AS coefficient FROM el, (VALUES {', '.join(f"({i + 1}, '{c}')" for i, c in enumerate(exprs))}) names(i, feature) WHERE k = {p}
+UNION ALL SELECT '(intercept)', m FROM s)"""
+
+
 @query("linear_regression_all")
 def linear_regression_all(spark, d):
     """Ordinary least squares on all scaled features."""
     return _coefficients(spark, d, "linear")
 
 
-@query("ridge_regression_all")
+@query("ridge_regression_all", dbl="coefficient", sql=_ridge_sql(1.0))
 def ridge_regression_all(spark, d):
     """Ridge, alpha 1.0, on all scaled features."""
     return _coefficients(spark, d, "ridge", alpha=1.0)

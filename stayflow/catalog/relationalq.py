@@ -461,7 +461,7 @@ def distinct_rows(spark, d):
     return O.distinct_rows(tm.icustays(spark, d), ["SUBJECT_ID", "FIRST_CAREUNIT"])
 
 
-_SAMPLE_ROWS = 20000
+_SAMPLE_ROWS = 50_000
 
 
 @query("sample_fraction", sql=f"""
@@ -470,7 +470,7 @@ SELECT l_orderkey, l_linenumber FROM lineitem, n
 WHERE ('0x' || substr(md5('42|' || l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR), 1, 15))::BIGINT
       < CASE WHEN total <= {_SAMPLE_ROWS} THEN {1 << 60}::HUGEINT ELSE {_SAMPLE_ROWS << 60}::HUGEINT // total END""")
 def sample_fraction(spark, d):
-    """Bernoulli sample by a hash of the line's key, fraction min(1, 20,000 / n), seed 42."""
+    """Bernoulli sample by a hash of the line's key, fraction min(1, 50,000 / n), seed 42."""
     out = O.sample_fraction(tm.read(spark, d, "lineitem"), _SAMPLE_ROWS, 42, key=["l_orderkey", "l_linenumber"])
     return out.select("l_orderkey", "l_linenumber")
 
