@@ -125,6 +125,14 @@ def load_manifest(spark, d):
     return io.load_manifest({t: tm.read(spark, d, t) for t in _TABLES})
 
 
+@query("load_manifest_footers", sql=f"""
+WITH m AS ({_MANIFEST_SQL})
+SELECT "table", rows FROM m UNION ALL SELECT 'TOTAL', CAST(sum(rows) AS BIGINT) FROM m""")
+def load_manifest_footers(spark, d):
+    """The same from the files' footers."""
+    return io.footer_manifest(spark, {t: tm.path(d, t) for t in _TABLES})
+
+
 def _base(spark, d):
     return base_stay_features(tm.icustays(spark, d), tm.patients(spark, d), tm.admissions(spark, d), 24,
                               emergency_pattern="%urgent%")

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,12 +92,36 @@ def load_manifest(tables: Mapping[str, DataFrame], total: str | None = "TOTAL")
     return out
 
 
+#: Settings under which a count over Parquet files is answered from their footers.
+FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+@contextmanager
+def footer_settings(spark: SparkSession) -> Iterator[None]:
+    """Parquet is read by the source that pushes aggregates down; earlier settings come back."""
+    before = {k: spark.conf.get(k, None) for k in FOOTER_CONF}
+    try:
+        for k, v in FOOTER_CONF.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def footer_manifest(spark: SparkSession, paths: Mapping[str, str], total: str | None = "TOTAL") -> DataFrame:
+    """:func:`load_manifest` of Parquet files, from the row counts in their footers: no row is read."""
+    with footer_settings(spark):
+        rows = load_manifest({name: spark.read.parquet(path) for name, path in paths.items()}, total).collect()  # a row for each table
+    return spark.createDataFrame(rows, "table string, rows long")
+
+
 # ------------------------------------------------------------------ sinks
 
 def save_features(df: DataFrame, output_path: str, sample_rows: int | None = 1000,
-                  order: Sequence[str] = ("ICUSTAY_ID",), fmt: str = "csv") -> dict[str, str]:
-    """Write the full table (CSV with header, overwrite) and a first-``n``-rows sample
-    next to it (ordered by key so the sample is stable)."""
+                  order: Sequence[str] = ("ICUSTAY_ID",), fmt: str = "csv", sample_to: str | None = None) -> dict[str, str]:
+    """Write the full table (CSV with header, overwrite) and its first ``sample_rows`` rows to
+    ``sample_to`` (ordered by key so the sample is stable)."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(output_path)
@@ -104,7 +129,7 @@ def save_features(df: DataFrame, output_path: str, sample_rows: int | None = 100
         writer.format(fmt).save(output_path)
     paths = {"full": output_path}
     if sample_rows:
-        sample_path = f"{output_path}_sample"
+        sample_path = sample_to or f"{output_path.rstrip('/')}.first_rows"
         keys = [k for k in order if k in df.columns]
         # from the written output, so the input is computed once
         back = read_csv_back(df.sparkSession, output_path, df.schema) if fmt == "csv" else df.sparkSession.read.format(fmt).load(output_path)
@@ -174,3 +199,16 @@ def read_range_layout(spark: SparkSession, path: str, bucket_col: str = "bucket"
     if buckets is not None:
         df = df.filter(F.col(bucket_col).isin(list(buckets)))
     return df
+
+
+# ------------------------------------------------------------------ co-located layout
+
+def bucketed_layout(df: DataFrame, key: str, buckets: int, path: str) -> DataFrame:
+    """``df`` written to ``path`` in ``buckets`` files by a hash of ``key``, each sorted by it, and read back as a table.
+
+    Tables of one key and number of buckets are joined and grouped by the key without an
+    exchange.  Rows are dealt by the same hash first, so every bucket is one file.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name)

@@ -51,8 +51,12 @@ TEST_KEYWORDS = [
 ]
 
 
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def icd9_code_of(key: Column) -> Column:

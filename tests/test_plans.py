@@ -3,17 +3,19 @@
 import pytest
 
 import __spark_entry__ as E
-from stayflow.catalog import load_all
+from stayflow.catalog import features, load_all
 from stayflow.plans import diagnoses as D
 from stayflow.plans import vitals as V
+from stayflow.sources import io
 from stayflow.sources import testmap as tm
 
 SF = "/root/testdata/sf0.001"
 # Fits of whole model sets take minutes to plan; their data come from the queries checked here.
 MODEL_QUERIES = {n for n in load_all() if n.startswith("kfold_") or n.endswith(("_models", "_all"))} | {
-    "random_forest", "gradient_boosting", "feature_importance", "compare_model_sets", "enhanced_feature_family"}
+    "random_forest", "gradient_boosting", "feature_importance", "compare_model_sets", "enhanced_feature_family",
+    "regression_tree_nodes", "extra_tree_nodes", "tree_importance", "boosted_stumps", "rank_fitted_models", "compare_fitted_models"}
 FILE_QUERIES = {"csv_scan", "csv_scan_sampled_infer", "typed_event_scan", "csv_sink", "sample_sink",
-                "parquet_sink", "range_partitioned_layout"}
+                "parquet_sink", "range_partitioned_layout", "load_manifest_footers", "vitals_first_window_colocated"}
 
 
 def _plan(df) -> str:
@@ -60,3 +62,24 @@ def test_assemblies_do_not_repeat_their_inputs(spark):
     table = _scans(q["feature_table"](spark, SF))
     assert table <= 8, table
     assert _scans(q["load_manifest"](spark, SF)) == 14
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events, stays = features._bucketed(spark, SF.replace("0.001", "0.01"))  # enough rows that no stay is heavy
+        text = _plan(V.vitals_first_window(events, stays, tm.TEST_ORDER_VITALS))
+        assert text.count("SortMergeJoin") == 2 and "HashAggregate" in text
+        assert "Exchange" not in text
+        plain = _plan(V.vitals_first_window(tm.order_events(spark, SF), tm.icustays(spark, SF), tm.TEST_ORDER_VITALS))
+        assert "Exchange" in plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_counts_come_from_footers(spark):
+    with io.footer_settings(spark):
+        df = io.load_manifest({"lineitem": spark.read.parquet(f"{SF}/lineitem.parquet")}, None)
+        assert "PushedAggregation: [COUNT(*)]" in _formatted(df)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList", "parquet")
