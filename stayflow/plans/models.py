@@ -49,7 +49,6 @@ ENHANCED_MODELS = {
 #: Models that are fitted at a time.
 PARALLELISM = 4
 KEY, FOLD = "ICUSTAY_ID", "fold"
-PREDICTIONS = "model string, fit int, row long, y double, prediction double"
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES) -> DataFrame:
