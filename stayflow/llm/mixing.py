@@ -33,7 +33,8 @@ def poisson_count(u: Column, rate: Column) -> Column:
     """Smallest n with u < P(X <= n), X Poisson with mean ``rate``.
 
     Terms are summed as exponents, so large means do not underflow; the sum runs to
-    ten deviations above the mean, beyond what 52 bits can tell from 1.
+    ten deviations above the mean, beyond what 52 bits can tell from 1.  ``u`` is read at
+    every step: give a column of a frame below, not the expression that computes it.
     """
     top = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
     start = F.struct((-rate).alias("lp"), F.exp(-rate).alias("cdf"), (u >= F.exp(-rate)).cast("int").alias("n"))
@@ -82,19 +83,34 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     counts, and any partitioning gives the same result.  Null ids and texts draw as empty
     ones (a null text adds no size to its source but is drawn at its rate).  The join to
     the rates is left to the planner: it broadcasts them only under Spark's own
-    size limit, else AQE splits a hot source.
+    size limit, else AQE splits a hot source.  Other columns of ``docs`` may have any name;
+    ``_copy``, ``_rate`` and ``_key`` of its own are replaced.  An empty table gives an empty result.
     """
-    docs = docs.drop("_copy", "_rate", "_key", "_src", "_chars", "_count")  # added ones replace these
-    cols = [F.col(f"`{c}`") for c in docs.columns]
+    docs = docs.drop("_copy", "_rate", "_key")  # added ones replace these
+    # inside, the columns of docs have names of their own, so none can clash with those made here
+    given, names = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    own = dict(zip(given, names, strict=True))
+    id_col, source_col, text_col = own[id_col], own[source_col], own[text_col]
+    docs = docs.toDF(*names)
     # written first, so the planner knows its size when it plans the join
     rates = staged(source_rates(docs, weights, epochs, temperature, source_col, text_col).select("_src", "_rate"), "mix-rates")
-    ident = [F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
-             F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))]
-    out = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col("_src"))).withColumn(
-        "_count", poisson_count(uniform(*ident), F.col("_rate"))).filter("_count > 0")
-    out = out.select(*cols, "_rate", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_count").cast("long"))).alias("_copy"))
-    out = out.withColumn("_key", F.md5(F.concat_ws("|", *ident, F.col("_copy").cast("string"))))
-    return out.orderBy("_key", "_copy") if shuffle else out
+    out = docs.join(rates, F.col(source_col).eqNullSafe(F.col("_src")))
+    # every text is hashed once; the draw and the keys are made of that hash
+    out = out.withColumn("_hash", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    ident = [F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("_hash")]
+    out = out.withColumn("_draw", uniform(*ident))
+    # an array of the length of the count: rows that draw 0 leave at the explode, without a filter that repeats the draw
+    copies = F.array_repeat(F.lit(1), poisson_count(F.col("_draw"), F.col("_rate")).cast("int"))
+    out = out.select(*names, "_rate", "_hash", F.posexplode(copies).alias("_at", "_one"))
+    out = out.select(*names, "_rate", (F.col("_at") + 1).cast("long").alias("_copy"), "_hash")
+    out = out.withColumn("_key", F.md5(F.concat_ws("|", *ident, F.col("_copy").cast("string")))).select(
+        *[F.col(n).alias(c) for n, c in zip(names, given, strict=True)], "_rate", "_copy", "_key")
+    if not shuffle:
+        return out
+    # keys are uniform hashes, so equal ranges of their leading digits are equal parts and need no sample
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * F.lit(parts)
+    return out.repartitionById(parts, F.shiftright(part, 32).cast("int")).sortWithinPartitions("_key", "_copy")
 
 
 def oracle_sql(source: str = "documents", epochs: float = EPOCHS, temperature: float = TEMPERATURE, seed: str = SEED) -> str:

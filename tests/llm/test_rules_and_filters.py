@@ -66,6 +66,20 @@ def test_estimation_separates_junk_and_keeps_clean(spark):
     assert quality.quality_rules(df.limit(0)).collect() == []
 
 
+def test_mixing_keeps_other_columns_and_orders_globally(spark):
+    names = ["_src", "_chars", "_count", "_hash", "_draw", "_at", "_one", "c0", "c1"]
+    rows = [(i, f"some text number {i}", "ab"[i % 2], *[f"{n}{i}" for n in names]) for i in range(300)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    out = mixing.mix_sources(df, epochs=1.5)
+    got = out.collect()
+    assert out.columns == [*df.columns, "_rate", "_copy", "_key"]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)
+    assert [r._key for r in got] == sorted(r._key for r in got)
+    assert {r._copy for r in got if r.doc_id == got[0].doc_id} == set(range(1, 1 + sum(r.doc_id == got[0].doc_id for r in got)))
+    plan = out._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
 def test_mixing_reaches_its_rates_and_repeats(spark):
     rows = [(i, "t" * (1 + i % 7), "en", None if i % 3 == 0 else "a" if i % 3 == 1 else "b") for i in range(3000)]
     rows += [(9000, None, "en", "a"), (9000, None, "en", "a"), (None, "tt", "en", "b")]
