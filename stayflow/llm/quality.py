@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from stayflow.llm.common import SEPARATORS, staged, words
 
 WINDOW = 5
+#: Distinct words are counted in blocks of so many words, so their share does not fall with a text's length.
+BLOCK = 200
 ITERATIONS = 12
 SYMBOLS = "#*$%&|<>"
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_upper", "n_exclaim")
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_block_distinct", "line_chars",
+         "n_dup_chars", "n_upper", "n_exclaim")
 
 
 @dataclass(frozen=True)
@@ -35,17 +38,18 @@ class Rule:
         return f"CASE WHEN {self.bad} THEN -1 WHEN {self.good} THEN 1 ELSE 0 END"
 
 
-#: Six rules speak only against a document, each about one kind of junk; the last speaks for plain prose.
+#: All rules but the last speak only against a document, each about one kind of junk; the last speaks for plain
+#: prose.  Each is a share of the text, so clean texts of any length are judged alike.
 RULES = (
     Rule("word_length", "1 = 0", "word_chars > 20 * n_words"),
     Rule("symbols", "1 = 0", "100 * n_symbols > 10 * n_words"),
-    Rule("dup_lines", "1 = 0", "n_dup_lines >= 3"),
+    Rule("dup_lines", "1 = 0", "100 * n_dup_chars > 45 * line_chars"),
     Rule("repeats", "1 = 0", "100 * n_repeat_words > 20 * n_words"),
-    Rule("vocabulary", "1 = 0", "100 * n_distinct < 10 * n_words"),
+    Rule("vocabulary", "1 = 0", "100 * n_block_distinct < 10 * n_words"),
     Rule("upper_case", "1 = 0", "100 * n_upper > 50 * word_chars"),
     Rule("exclaim", "1 = 0", "100 * n_exclaim > 10 * n_words"),
-    Rule("prose", "word_chars BETWEEN 2 * n_words AND 12 * n_words AND 100 * n_symbols <= 2 * n_words AND n_dup_lines < 3 "
-         "AND 100 * n_repeat_words <= 20 * n_words AND 100 * n_distinct >= 20 * n_words AND 100 * n_upper <= 20 * word_chars "
+    Rule("prose", "word_chars BETWEEN 2 * n_words AND 12 * n_words AND 100 * n_symbols <= 2 * n_words AND 100 * n_dup_chars <= 45 * line_chars "
+         "AND 100 * n_repeat_words <= 20 * n_words AND 100 * n_block_distinct >= 20 * n_words AND 100 * n_upper <= 20 * word_chars "
          "AND 100 * n_exclaim <= 2 * n_words", "1 = 0"),
 )
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
@@ -59,7 +63,9 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     A word is repeated if one of the 5-word windows that cover it occurs twice or more
     in the text.  Windows are compared by 64-bit hash; texts whose windows are all
-    distinct (most) never sort them.
+    distinct (most) never sort them.  ``n_block_distinct`` sums the distinct words of each
+    BLOCK words; ``line_chars`` and ``n_dup_chars`` are the characters of lines with a word,
+    and of those that repeat an earlier one.
     """
     t = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(SEPARATORS)) != "")
@@ -87,7 +93,10 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         count_of(SYMBOLS).cast("long").alias("_n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("_n_dup_lines"),
         covered.cast("long").alias("_n_repeat_words"),
-        F.size(F.array_distinct("_w")).cast("long").alias("_n_distinct"),
+        F.expr(f"CASE WHEN _n_words > 0 THEN aggregate(sequence(0, cast((_n_words - 1) div {BLOCK} AS int)), 0L, "
+               f"(s, i) -> s + size(array_distinct(slice(_w, i * {BLOCK} + 1, {BLOCK})))) ELSE 0L END").alias("_n_block_distinct"),
+        F.length(F.array_join(lines, "")).cast("long").alias("_line_chars"),
+        (F.length(F.array_join(lines, "")) - F.length(F.array_join(F.array_distinct(lines), ""))).cast("long").alias("_n_dup_chars"),
         (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long").alias("_n_upper"),
         count_of("!").cast("long").alias("_n_exclaim"))
 
@@ -141,23 +150,19 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule]
     keep their names; added ones start with an underscore and replace a column so named.
     """
     added = [f"_{s}" for s in STATS]
-    kept_cols = [c for c in (keep if keep is not None else docs.columns)
-                 if c not in {*added, "_w", "_win", "_srt", "_at", "_base_failed", "_p_good", "_kept"}]
-    cols = list(dict.fromkeys([*kept_cols, text_col]))
-    df = text_stats(docs.select(*[F.col(f"`{c}`") for c in cols]), text_col)
-    votes = df.select(*[F.col(f"`{c}`") for c in kept_cols], *added, *[
-        F.expr(_underscored(r.vote())).cast("int").alias(f"v{j}_") for j, r in enumerate(rules)])
+    kept_cols = [c for c in (keep if keep is not None else docs.columns) if c not in {*added, "_base_failed", "_p_good", "_kept"}]
+    # inside, the columns of docs have names of their own, so none can clash with those made here
+    own = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*kept_cols, text_col]))}
+    df = text_stats(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), own[text_col])
+    votes = df.select(*[own[c] for c in kept_cols], *added, *[
+        F.expr(_underscored(r.vote())).cast("int").alias(f"v{j}") for j, r in enumerate(rules)])
     votes = staged(votes, "quality")  # read twice: for the pattern counts and for the verdicts
-    names = [f"v{j}" for j in range(len(rules))]
-    patterns = votes.groupBy(*[F.col(f"{v}_").alias(v) for v in names]).agg(F.count(F.lit(1)).alias("n"))
+    patterns = votes.groupBy(*[f"v{j}" for j in range(len(rules))]).agg(F.count(F.lit(1)).alias("n"))
     p = estimate(patterns.coalesce(1).checkpoint(), rules, iterations)
-    q = posterior_sql(rules, literals(p))
-    for v in names:
-        q = q.replace(f"CASE {v} ", f"CASE {v}_ ")
     return (votes.withColumn("_base_failed", F.expr(_underscored(BASE_FAILED)))
-            .withColumn("_p_good", F.round(F.expr(q), 6))
+            .withColumn("_p_good", F.round(F.expr(posterior_sql(rules, literals(p))), 6))
             .withColumn("_kept", ~F.col("_base_failed") & (F.col("_p_good") >= threshold))
-            .drop(*[f"{v}_" for v in names]))
+            .select(*[F.col(own[c]).alias(c) for c in kept_cols], *added, "_base_failed", "_p_good", "_kept"))
 
 
 def _underscored(sql: str) -> str:
@@ -183,16 +188,19 @@ def oracle_sql(rules: Sequence[Rule] = RULES, iterations: int = ITERATIONS, sour
     k = range(len(rules))
     ctes = [
         f"src AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM {source})",
-        f"tok AS MATERIALIZED (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '{sep}+'), lambda x: x <> '') AS w FROM src)",
+        f"tok AS MATERIALIZED (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '{sep}+'), lambda x: x <> '') AS w, "
+        "list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM src)",
         f"win AS (SELECT rid, i, w[i:i + {WINDOW - 1}] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM tok))",
         "rep AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, g) > 1)",
         f"cov AS (SELECT rid, count(DISTINCT i + d) AS c FROM rep, range({WINDOW}) AS r(d) GROUP BY rid)",
         "stats AS MATERIALIZED (SELECT rid, doc_id, len(w)::BIGINT AS n_words, "
         f"length(regexp_replace(t, '{sep}+', '', 'g'))::BIGINT AS word_chars, "
         "length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, "
-        f"(len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - "
-        f"len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))))::BIGINT AS n_dup_lines, "
-        "coalesce(c, 0)::BIGINT AS n_repeat_words, len(list_distinct(w))::BIGINT AS n_distinct, "
+        "(len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, "
+        "coalesce(c, 0)::BIGINT AS n_repeat_words, "
+        f"coalesce(list_sum(list_transform(range(0, len(w), {BLOCK}), lambda i: len(list_distinct(w[i + 1:i + {BLOCK}])))), 0)::BIGINT "
+        "AS n_block_distinct, length(array_to_string(l, ''))::BIGINT AS line_chars, "
+        "(length(array_to_string(l, '')) - length(array_to_string(list_distinct(l), '')))::BIGINT AS n_dup_chars, "
         "(length(t) - length(regexp_replace(t, '\\p{Lu}+', '', 'g')))::BIGINT AS n_upper, "
         "(length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclaim "
         "FROM tok LEFT JOIN cov USING (rid))",

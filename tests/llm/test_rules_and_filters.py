@@ -80,6 +80,42 @@ def test_mixing_keeps_other_columns_and_orders_globally(spark):
     assert "rangepartitioning" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
+def test_rules_judge_clean_texts_of_any_length_alike(spark):
+    rnd = random.Random(5)
+    vocabulary = sorted({"".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9))) for _ in range(30000)})
+    weight = [1 / (k + 20) ** 0.8 for k in range(len(vocabulary))]
+
+    def clean(n):  # lines of prose, and every fourth line is one of a few short replies
+        w, lines = rnd.choices(vocabulary, weight, k=n), []
+        for i in range(0, n, 40):
+            lines.append(" ".join(w[i:i + 40]))
+            if i % 160 == 0:
+                lines.append(rnd.choice(["Yes.", "No.", "I see.", "Well."]))
+        return "\n".join(lines)
+
+    rows = [(i, clean(100 + i)) for i in range(100)] + [(1000, clean(3500)), (1001, clean(20000)), (1002, clean(500000))]
+    rows += [(2000 + i, "\n".join(f"buy {v}" for v in rnd.choices("abc", k=40))) for i in range(6)]
+    rows += [(3000, " ".join(rnd.choices(vocabulary[:8], k=20000)))]
+    got = {r["doc_id"]: r for r in quality.quality_rules(frame(spark, rows)).collect()}
+    assert got[1002]["_n_dup_lines"] > 3000 and not got[1002]["_base_failed"]
+    assert {i for i, r in got.items() if not r["_kept"]} == {*range(2000, 2006), 3000}
+
+
+def test_rules_leave_columns_of_any_name(spark):
+    names = ["v0", "v0_", "_w", "_win", "_srt", "_at", "c0", "n", "q"]
+    df = spark.createDataFrame([(1, "a b c d e f g h i j k l", *names)], ["doc_id", "text", *names])
+    out = quality.quality_rules(df)
+    assert out.columns[:len(df.columns)] == df.columns
+    assert out.select(*df.columns).collect() == df.collect()
+
+
+def test_blocks_of_words(spark):
+    texts = ["", "a " * 200, "a " * 201, "a b " * 150 + "c", "x\ny\nx\n \nlong line\nlong line"]
+    got = {r["text"]: r for r in quality.text_stats(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[t]["_n_block_distinct"] for t in texts] == [0, 1, 2, 5, 4]
+    assert (got[texts[4]]["_line_chars"], got[texts[4]]["_n_dup_chars"]) == (21, 10)
+
+
 def test_mixing_reaches_its_rates_and_repeats(spark):
     rows = [(i, "t" * (1 + i % 7), "en", None if i % 3 == 0 else "a" if i % 3 == 1 else "b") for i in range(3000)]
     rows += [(9000, None, "en", "a"), (9000, None, "en", "a"), (None, "tt", "en", "b")]
