@@ -19,7 +19,7 @@ from bisect import bisect_left
 
 import numpy as np
 
-from stayflow.llm.vec import Spans, expand, mix
+from stayflow.llm.vec import _BYTES, PIECE, SECOND, Spans, expand, mix, runs_of
 
 #: Queue entries kept in memory, and bytes above which an array goes to a file.
 QUEUE_MEMORY = 4 << 20
@@ -276,6 +276,30 @@ def suffix_array(t: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     return sa, lcp
 
 
+def _window_hashes(raw: np.ndarray, begin: np.ndarray, size: np.ndarray, windows: np.ndarray, window: int) -> np.ndarray:
+    """Hash of every window of every string; string i is ``raw[begin[i]:begin[i] + size[i]]``."""
+    out, done = array(int(windows.sum()), np.uint64), 0
+    end, lo = begin + size, 0
+    while lo < len(size):  # strings of about PIECE bytes at once
+        hi = max(lo + 1, int(np.searchsorted(end, begin[lo] + PIECE, "right")))
+        rolled = Spans(_BYTES[raw[begin[lo]:end[hi - 1]]], SECOND).rolling(window)
+        some = rolled[expand(begin[lo:hi] - begin[lo], windows[lo:hi])]
+        out[done:done + len(some)] = some
+        done, lo = done + len(some), hi
+    return out
+
+
+def recurring(hashes: np.ndarray) -> np.ndarray:
+    """Whether each value is there twice or more."""
+    ordered = array(len(hashes), hashes.dtype)
+    ordered[:] = hashes
+    ordered.sort()
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(hashes), bool)
+    return twice[np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)] == hashes
+
+
 class Shard:
     """Strings of a shard, spooled to an unlinked file, with the place of each."""
 
@@ -290,22 +314,34 @@ class Shard:
 
     def repeated(self, window: int) -> tuple[np.ndarray, ...]:
         """(flags, string of each window, window number, key, tie, start): a flag says that the
-        window, of ``window`` bytes, equals one that starts earlier by (key, tie, start, number)."""
+        window, of ``window`` bytes, equals one that starts earlier by (key, tie, start, number).
+
+        Windows whose 64-bit hash no other window of the shard has are left out: they equal
+        none.  The suffix order decides about all others.
+        """
         size = np.concatenate(self.size)
         windows, key, tie, start = (np.concatenate([c[i] for c in self.cols]).astype(np.int64) for i in range(4))
+        self.file.flush()
+        raw = np.memmap(self.file, np.uint8, "r") if size.sum() else np.empty(0, np.uint8)
+        begin = np.cumsum(size) - size
+        # only the stretches of windows that may have an equal one are sorted
+        of, offset = np.repeat(np.arange(len(size)), windows), expand(np.zeros(len(size), np.int64), windows)
+        i, windows = runs_of(recurring(_window_hashes(raw, begin, size, windows, window)), of, offset)
+        of, offset = of[i], offset[i]
+        begin, key, tie, start = begin[of] + offset, key[of], tie[of], start[of] + offset
+        size = windows + window - 1
+        if not len(size):
+            none = np.empty(0, np.int64)
+            return none.astype(bool), none, none, key, tie, start
         t = array(int(size.sum()) + len(size) + 1, np.uint16)
         first = np.cumsum(size + 1) - size - 1
-        self.file.flush()
-        raw = np.memmap(self.file, np.uint8, "r") if len(t) > len(size) + 1 else np.empty(0, np.uint8)
-        done = 0
         for lo in range(0, len(size), 4096):  # symbols are bytes + 2; 1 ends a string, the closing 0 stays
             part, a = size[lo:lo + 4096], first[lo]
             x = np.ones(int(part.sum()) + len(part), np.uint16)
             inside = np.ones(len(x), bool)
             inside[np.cumsum(part + 1) - 1] = False
-            x[inside] = raw[done:done + int(part.sum())].astype(np.uint16) + 2
+            x[inside] = raw[expand(begin[lo:lo + 4096], part)].astype(np.uint16) + 2
             t[a:a + len(x)] = x
-            done += int(part.sum())
         sa, lcp = suffix_array(t, window)
         place = np.lexsort((start, tie, key))
         rank = np.empty(len(size), np.int64)
