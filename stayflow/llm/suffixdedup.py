@@ -8,7 +8,7 @@ text around minimisers that occur once never needs sorting:
    minimiser's bucket.  A run equal to an earlier run is removed whole.
 2. Runs that share a minimiser but differ, and runs that hold it twice, are contested:
    their bytes are fetched from the documents and gathered in shards by minimiser.
-3. Each shard is a text of its own: external induced sorting (:mod:`~stayflow.llm.induced`)
+3. Each shard is a text of its own, without the windows whose hash is unique in it: external induced sorting (:mod:`~stayflow.llm.induced`)
    gives its suffix array with common-prefix values; neighbours with a common prefix of
    at least ``window`` bytes are equal windows, and all but the earliest are removed.
 
@@ -190,8 +190,9 @@ def removed_ranges(k: DataFrame, window: int = WINDOW, seed: int = SEED) -> Data
     found = staged(found, "suffix-runs")  # read by both branches
     contested = found.filter("shard IS NOT NULL").groupBy("_id", "_tie").agg(
         F.collect_list(F.struct("start", "n", "shard")).alias("ranges"))
-    # the documents are dealt by key as in the last join, which reuses that exchange
-    strings = k.join(contested, ["_id", "_tie"]).select("_id", "_tie", "_text", "ranges", "doc_id").mapInArrow(
+    # the documents are dealt by key with all their columns, as in the last join, which reuses that exchange
+    others = [c for c in k.columns if c not in ("_id", "_tie", "_text")]
+    strings = k.join(contested, ["_id", "_tie"]).select("_id", "_tie", "_text", "ranges", *others).mapInArrow(
         _fetch(window), "shard int, _id long, _tie long, start int, n int, bytes binary")
     ranked = strings.groupBy("shard").applyInArrow(_sorted_shard(window), RANGE)
     return found.filter("shard IS NULL").drop("shard").unionByName(ranked)
@@ -208,7 +209,7 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, id_col:
     rows equal in both are one document and get the same result.  An empty table gives
     an empty result.
     """
-    k = keyed(docs, id_col, text_col)
+    k = keyed(docs, id_col, text_col, keep)
     ranges = removed_ranges(k, window, seed).groupBy("_id", "_tie").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,9 +222,8 @@ def dedup_bytes(docs: DataFrame, window: int = WINDOW, seed: int = SEED, id_col:
                 pa.array([hashlib.sha256(g[3]).hexdigest() for g in got], pa.string()), *b.columns[3:]],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", *[f"_{c}" for c in keep]])
 
-    whole = keyed(docs, id_col, text_col, keep) if keep else k
     types = dict(docs.dtypes)
-    return whole.join(ranges, ["_id", "_tie"], "left").select(
+    return k.join(ranges, ["_id", "_tie"], "left").select(
         "doc_id", "_text", "ranges", *[F.col(f"`_keep_{c}`") for c in keep]).mapInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
         + "".join(f", `_{c}` {types[c]}" for c in keep))
