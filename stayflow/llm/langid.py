@@ -22,6 +22,7 @@ from stayflow.llm.common import staged
 
 #: Training documents per language and bytes of their text that make its dictionary.
 SAMPLE_DOCS = 400
+SALTS = 64
 DICT_BYTES = 1 << 17
 #: Bytes of each place that a text longer than its share gives.
 EXCERPT = 96
@@ -81,17 +82,22 @@ def learn_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str =
                        dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """One dictionary per language value.
 
-    The sample of a language is the ``sample_docs`` training texts with the smallest
-    hashes; Spark limits each group before its shuffle, so a hot language never meets
-    in one task.  Whole texts are folded, and each gives an equal share of the dictionary
+    The sample of a language is the ``sample_docs`` distinct training texts with the smallest
+    hashes.  They are chosen by hashes alone: distinct ones are dealt by language and salt,
+    then at most SALTS * sample_docs of a language meet; the texts of the chosen ones are
+    combined before their shuffle, so neither a hot language nor a hot text fills a task.
+    Whole texts are folded, and each gives an equal share of the dictionary
     from hash-chosen places all over it; what short texts leave goes to the longer ones.
     At most languages * dict_bytes reach the driver, and the sampled texts' sizes.  Null
-    languages and texts without a letter teach nothing.
+    languages and texts without a letter teach nothing; a repeated text counts once.
     """
     t, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
-    w = Window.partitionBy("_lang").orderBy("_h", "_text")
-    rows = (train.filter(lang.isNotNull() & t.rlike(r"\p{L}")).select(lang.alias("_lang"), F.xxhash64(t).alias("_h"), t.alias("_text"))
-            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= sample_docs).select("_lang", "_n", "_h", "_text"))
+    rows = train.filter(lang.isNotNull() & t.rlike(r"\p{L}")).select(lang.alias("_lang"), F.xxhash64(t).alias("_h"), t.alias("_text"))
+    least = rows.select("_lang", "_h").distinct()
+    for group in (["_lang", F.pmod("_h", F.lit(SALTS))], ["_lang"]):
+        least = least.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy("_h"))).filter(F.col("_n") <= sample_docs)
+    least = staged(least, "langid-hashes")
+    rows = rows.join(least, ["_lang", "_h"]).groupBy("_lang", "_n", "_h").agg(F.min("_text").alias("_text"))
     sample = staged(rows.mapInArrow(_folded_texts, "_lang string, _n int, _h long, _size long, _data binary"), "langid")
     sizes: dict[str, list[int]] = {}
     for r in sample.select("_lang", "_size").toLocalIterator():
