@@ -263,7 +263,7 @@ def _train(shared_vocabulary, shared_net):
     """One task's round: the batches' texts on lanes, windows in order with the state carried, Adam."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, net = shared_vocabulary.value, Net(shared_net.value)
+        v, net = Vocabulary(**shared_vocabulary.value), Net(shared_net.value)
         frequent, seen = _value_set(v), 0
         x = net.flat()
         m, s, step = np.zeros_like(x), np.zeros_like(x), 0
@@ -308,7 +308,7 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Net:
     """Rounds of local training and averaging; every document is in exactly one round, by its hash."""
     spark, net = docs.sparkSession, Net.start(v)
-    shared = spark.sparkContext.broadcast(v)
+    shared = spark.sparkContext.broadcast(vars(v))
     schema = "block int, salt int, weight double, x binary"
     for r in range(rounds):
         part = docs.filter(F.pmod(F.xxhash64("_id", "_tie", F.lit(SEED)), F.lit(rounds)) == r).select("_text")
@@ -336,7 +336,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int = SCORE
 
 def _score(shared_vocabulary, shared_net):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, net = shared_vocabulary.value, Net(shared_net.value)
+        v, net = Vocabulary(**shared_vocabulary.value), Net(shared_net.value)
         frequent = _value_set(v)
         logs = np.log10(np.concatenate([v.counts, [0]]) + 1.0)
         for b in _gathered(batches, 3):
@@ -373,7 +373,7 @@ def _rare(shared_vocabulary):
     """Words outside the frequent ones, per document: (_id, _tie, word, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = _value_set(shared_vocabulary.value)
+        frequent = _value_set(Vocabulary(**shared_vocabulary.value))
         for batch in batches:
             for lo, hi in pieces(batch.column(2)):
                 b = batch.slice(lo, hi - lo)
@@ -405,7 +405,7 @@ def score(docs: DataFrame, train_docs: DataFrame, id_col: str = "doc_id", text_c
     k, t = keyed(docs, id_col, text_col), keyed(train_docs, id_col, text_col)
     v, counts = learn_vocabulary(t)
     net = train(t, v)
-    shared = spark.sparkContext.broadcast(v)
+    shared = spark.sparkContext.broadcast(vars(v))
     base = k.select("doc_id", "_id", "_tie", "_text").mapInArrow(
         _score(shared, spark.sparkContext.broadcast(net.p)),
         "doc_id long, _id long, _tie long, n_tokens long, known long, rest long, base double, of_rest double, model double")
