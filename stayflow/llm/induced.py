@@ -18,8 +18,9 @@ import tempfile
 from bisect import bisect_left
 
 import numpy as np
+import pyarrow as pa
 
-from stayflow.llm.vec import _BYTES, PIECE, SECOND, Spans, expand, mix, runs_of
+from stayflow.llm.vec import _BYTES, PIECE, SECOND, Spans, buffers, expand, mix, runs_of
 
 #: Queue entries kept in memory, and bytes above which an array goes to a file.
 QUEUE_MEMORY = 4 << 20
@@ -307,9 +308,10 @@ class Shard:
         self.file = tempfile.TemporaryFile()
         self.size, self.cols = [], []
 
-    def add(self, strings: list[bytes], windows, key, tie, start) -> None:
-        self.file.write(b"".join(strings))
-        self.size.append(np.array([len(x) for x in strings], np.int64))
+    def add(self, strings: pa.Array, windows, key, tie, start) -> None:
+        raw, off = buffers(strings)
+        self.file.write(raw)
+        self.size.append(np.diff(off))
         self.cols.append((windows, key, tie, start))
 
     def repeated(self, window: int) -> tuple[np.ndarray, ...]:

@@ -154,7 +154,7 @@ def _sorted_shard(window: int):
         for b in batches:
             col = {name: b.column(name) for name in ("_id", "_tie", "start", "n", "bytes")}
             key, tie, start, n = (col[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_id", "_tie", "start", "n"))
-            shard.add(col["bytes"].to_pylist(), n, key, tie, start)
+            shard.add(col["bytes"], n, key, tie, start)
         again, of, offset, key, tie, start = shard.repeated(window)
         i, length = runs_of(again, of, offset)
         r = of[i]
