@@ -167,3 +167,31 @@ def test_bootstrap_counts_are_poisson():
     other = T.weights(np.arange(200_000), 2, T.Growth(bootstrap=True))
     assert abs(np.corrcoef(w, other)[0, 1]) < 0.01
     assert T.weights(np.arange(200_000), 1, T.Growth(sample=0.8)).mean() == pytest.approx(0.8, abs=0.005)
+
+
+def test_trees_share_one_copy_of_the_rows_in_a_task(spark, monkeypatch):
+    """Few tasks read all rows once for all their trees, and predictions need no node tables."""
+    monkeypatch.setattr(T, "TREE_TASKS", 2)
+    matrix, values = _matrix(_rows(spark))
+    g = T.Growth(max_depth=5, bootstrap=True)
+    kept, tops = T.fit_forest(matrix, [-1, 0], values, 5, g)
+    bare, _ = T.fit_forest(matrix, [-1, 0], values, 5, g, keep_nodes=False)
+    assert not tops and kept.count() == 10 and bare.count() == 4  # (tree, fit) against (task, fit)
+    assert bare.filter("length(nodes) > 0").count() == 0
+    assert {r["fit"]: r["n"] for r in bare.groupBy("fit").agg(F.sum("trees").alias("n")).collect()} == {-1: 5, 0: 5}
+    one, other = (sorted(map(tuple, T.forest_predictions(f, matrix).collect())) for f in (kept, bare))
+    assert [r[:3] for r in one] == [r[:3] for r in other]
+    assert [r[3] for r in one] == pytest.approx([r[3] for r in other], rel=1e-12)
+
+
+@pytest.mark.parametrize("size", [1, 10 ** 6])
+def test_rows_without_weight_and_large_labels(size):
+    """Rows of weight 0 are no part of a tree; sums beyond 2 ** 53 stay exact."""
+    rng = np.random.default_rng(2)
+    x = np.stack([rng.integers(0, 9, 400), rng.integers(0, 3, 400)], 1).astype(np.uint8)
+    y, w = T.integer((x[:, 0] + rng.normal(size=400)) * size), rng.integers(0, 3, 400)
+    values, u = [np.arange(9.0), np.arange(3.0)], w > 0
+    g = T.Growth(max_depth=2)
+    got = T.grown(x, y, w, 7, 0, values, g)
+    assert got.tobytes() == T.grown(x[u], y[u], w[u], 7, 0, values, g).tobytes()
+    same(got, 0, plain_tree(x[u], y[u], w[u], g))
