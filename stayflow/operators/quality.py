@@ -7,15 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.operators.relational import dealt
+
 
 def pk_violations(df: DataFrame, key: Sequence[str] | str, alias: str = "count") -> DataFrame:
-    """Key values that occur more than once or have a NULL part."""
+    """Key values that occur more than once or have a NULL part.
+
+    Rows are dealt by key before they are counted, so that no task holds more keys as the table grows.
+    """
     key = [key] if isinstance(key, str) else list(key)
     null_part = None
     for k in key:
         c = F.col(k).isNull()
         null_part = c if null_part is None else null_part | c
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias(alias)).filter((F.col(alias) > 1) | null_part)
+    return dealt(df.select(*key), key, df.count()).groupBy(*key).agg(F.count(F.lit(1)).alias(alias)).filter((F.col(alias) > 1) | null_part)
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str] | str,
