@@ -195,3 +195,29 @@ def test_rows_without_weight_and_large_labels(size):
     got = T.grown(x, y, w, 7, 0, values, g)
     assert got.tobytes() == T.grown(x[u], y[u], w[u], 7, 0, values, g).tobytes()
     same(got, 0, plain_tree(x[u], y[u], w[u], g))
+
+
+@pytest.mark.parametrize("g", [T.Growth(), T.Growth(max_depth=4), T.Growth(bootstrap=True, min_split=5, min_leaf=2)])
+@pytest.mark.parametrize("size", [1.0, 1e7])
+def test_larger_children_are_not_counted(monkeypatch, g, size):
+    rng = np.random.default_rng(4)
+    n = 4000
+    x = np.stack([rng.integers(0, k, n) for k in (200, 2, 9, 40, 2, 2)], 1).astype(np.uint8)
+    y = T.integer(size * (x[:, 0] ** 2 * 0.01 + x[:, 1] * x[:, 2] + rng.normal(size=n)))
+    values = [np.arange(k) * 1.0 for k in (200, 2, 9, 40, 2, 2)]
+    w = T.weights(np.arange(n), 3, g)
+    counted, plain = [], np.bincount
+
+    def bincount(group, weights=None, minlength=0):
+        counted.append(len(group))
+        return plain(group, weights, minlength)
+
+    monkeypatch.setattr(np, "bincount", bincount)
+    found, work = [], []
+    for least in (16, 256, 1 << 40):  # rows from which counts are kept; the last keeps none
+        monkeypatch.setattr(T, "SHARED_ROWS", least)
+        counted.clear()
+        found.append(T.grown(x, y, w, 7, 0, values, g))
+        work.append(sum(counted))
+    assert (found[0] == found[2]).all() and (found[1] == found[2]).all()
+    assert work[0] < 0.8 * work[2]
