@@ -57,3 +57,27 @@ def test_grouped_matches_spark_percentile(spark, path):
                 assert got[g][n] is None
             else:
                 assert got[g][n] == pytest.approx(want[g][n], rel=1e-12, abs=1e-12)
+
+
+def test_any_doubles_in_order(spark):
+    values = [float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 5e-324, -5e-324, 1.0, float(np.nextafter(1.0, 2)), -1.0, -1e300, 1e300, 2.0 ** 53, 3.5, 3.5]
+    df = spark.createDataFrame([(v, int(i)) for i, v in enumerate(values)] + [(None, None)], "`x.y` double, i int").repartition(3)
+    want = np.sort(np.array(values))  # NaN last
+    got = quantiles.order_statistics(df, [("x.y", k) for k in range(len(values))] + [("i", 0), ("i", 14)])
+    np.testing.assert_array_equal([got["x.y", k] for k in range(len(values))], want)
+    assert (got["i", 0], got["i", 14]) == (0.0, 14.0)
+
+
+def test_columns_are_counted_together_without_a_sketch_for_each_rank(spark, monkeypatch):
+    def sketch(*_):
+        raise AssertionError("a sketch for each rank of each column")
+
+    monkeypatch.setattr(F, "percentile_approx", sketch)
+    monkeypatch.setattr(quantiles, "SEARCHES", 7)
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, k + 1, 3000) * 1.0 for k in range(8)] + [rng.normal(size=3000) * 10.0 ** k for k in range(4)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"c{k} double" for k in range(12))).repartition(3)
+    got = exact_percentiles(df, [(f"c{k}", p) for k in range(12) for p in (0.25, 0.5, 0.75)])
+    for k in range(12):
+        for p in (0.25, 0.5, 0.75):
+            assert got[f"c{k}", p] == pytest.approx(np.quantile(x[:, k], p), rel=1e-12)
