@@ -221,3 +221,30 @@ def test_larger_children_are_not_counted(monkeypatch, g, size):
         work.append(sum(counted))
     assert (found[0] == found[2]).all() and (found[1] == found[2]).all()
     assert work[0] < 0.8 * work[2]
+
+
+@pytest.mark.parametrize("g", [T.Growth(max_depth=4), T.Growth(), T.Growth(bootstrap=True, min_split=4)])
+def test_rows_with_the_commonest_code_are_not_counted(monkeypatch, g):
+    """Flags that few rows have cost these rows only, whichever code is the common one; leaves of the rows come with the tree."""
+    rng = np.random.default_rng(6)
+    n = 1500
+    rare = [np.where(rng.random(n) < 0.04, rng.integers(0, k, n), c) for k, c in ((2, 0), (2, 1), (9, 4), (3, 2), (40, 0), (2, 0), (2, 0))]
+    x = np.stack([rng.integers(0, 30, n), *rare], 1).astype(np.uint8)
+    y = T.integer(x[:, 0] * 0.1 + 3 * x[:, 1] - 2 * x[:, 2] + x[:, 3] * x[:, 4] + rng.normal(size=n))
+    values = [np.arange(k) * 1.0 for k in (30, 2, 2, 9, 3, 40, 2, 2)]
+    w = T.weights(np.arange(n), 3, g)
+    codes, counted, plain = T.Codes(x, g), [], np.bincount
+
+    def bincount(group, weights=None, minlength=0):
+        counted.append(len(group))
+        return plain(group, weights, minlength)
+
+    monkeypatch.setattr(np, "bincount", bincount)
+    ends = np.full(n, -1)
+    nodes = T.grown(codes, y, w, 7, 0, values, g, ends)
+    if g.max_depth:
+        assert sum(counted) < 2 * 4 * n + 3 * 4 * n  # totals and squares of each level, one dense feature; else 8 features
+    monkeypatch.undo()
+    u = w > 0
+    same(nodes, 0, plain_tree(x[u], y[u], w[u], g))
+    assert (ends[u] == T.descend(nodes, x[u])).all() and (ends[~u] == -1).all()
