@@ -8,6 +8,7 @@ from stayflow.plans import linear as L
 from stayflow.plans import mlprep as P
 from stayflow.plans import models as M
 from stayflow.plans.trees import HELD_OUT
+from stayflow.session import materialize
 
 NAMES = ["a", "b", "c", "d"]
 
@@ -83,3 +84,38 @@ def test_constant_and_no_features(spark):
     pred, _ = M.fit_predict(df, {"ols": {"kind": "linear"}, "lasso": {"kind": "lasso", "alpha": 0.1}}, ["a"], [0, 1])
     for r in pred.collect():
         assert r["prediction"] == pytest.approx(4.0 if r["fit"] == 0 else 3.0)
+
+
+def test_packed_rows_keep_values_and_nulls(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, i % 3 - 1, float(i), *[None if rng.random() < 0.2 and i % 2 else float(v) for v in rng.normal(size=3)], None) for i in range(300)]
+    names = ["a", "b", "c", "none"]
+    df = spark.createDataFrame(rows, "k long, fold int, y double, a double, b double, c double, none double").repartition(3)
+    table = L.packed(df, names, "k", "fold", "y")
+    for r in table.collect():
+        want = rows[r["row"]]
+        assert (r["fold"], r["y"]) == want[1:3]
+        np.testing.assert_array_equal(np.frombuffer(bytes(r["x"])), [np.nan if v is None else v for v in want[3:]])
+        assert list(bytes(r["gaps"])) == [v is None for v in want[3:]]
+    got = L.robust_scales(table.filter("fold >= 0"), len(names))
+    want = P.scaling_stats(df.filter("fold >= 0"), names, robust=True)
+    np.testing.assert_array_equal(got, [[want[c][0] or 0.0 for c in names], [want[c][1] or 1.0 for c in names]])
+    assert L.robust_scales(table.filter("fold > 9"), len(names)).tolist() == [[0.0] * 4, [1.0] * 4]
+
+
+def test_linear_folds_write_only_packed_rows(spark, monkeypatch):
+    """Folds of linear models write no table with a column for each feature."""
+    rng = np.random.default_rng(8)
+    names = [f"x{i}" for i in range(6)]
+    df = spark.createDataFrame([(i, i % 5, float(rng.exponential()), *map(float, rng.normal(size=6))) for i in range(400)],
+                               "ICUSTAY_ID long, fold int, LOS double, " + ", ".join(f"{c} double" for c in names))
+    written = []
+
+    def write(frame, *args):
+        written.append(frame.columns)
+        return materialize(frame, *args)
+
+    monkeypatch.setattr(M, "materialize", write)
+    out = M.kfold_cv(df, {"ridge": {"kind": "ridge", "alpha": 1.0}}, names, enhanced=True).collect()
+    assert written == [["row", "fold", "y", "x", "gaps"], ["model", "fit", "row", "y", "prediction"]]
+    assert len(out) == 1 and out[0]["cv_rmse_mean"] > 0
