@@ -248,3 +248,78 @@ def test_rows_with_the_commonest_code_are_not_counted(monkeypatch, g):
     u = w > 0
     same(nodes, 0, plain_tree(x[u], y[u], w[u], g))
     assert (ends[u] == T.descend(nodes, x[u])).all() and (ends[~u] == -1).all()
+
+
+def plain_subset_tree(x, y, w, values, g, path, depth=0):
+    """Greedy recursion where a node looks at ``g.features`` features at a time of its own order until one can split."""
+    n, s, p = w.sum(), (w * y).sum(), x.shape[1]
+    node = {"rows": len(y), "weight": int(n), "value": s / n / T.SCALE}
+    if len(y) < max(2, g.min_split) or (g.max_depth is not None and depth >= g.max_depth) or (y == y[0]).all():
+        return node
+    order, paths, best = np.arange(p)[None].copy(), np.array([path], np.uint64), None
+    for lo in range(0, p, g.features):
+        T.draw_features(order, paths, lo, lo + g.features)
+        for f in np.sort(order[0, lo:lo + g.features]):
+            codes = np.unique(x[:, f])
+            if g.random_split:
+                low, high = values[f][codes[0]], values[f][codes[-1]]
+                bound = low + T.drawn(paths, f, 5)[0] / 2.0 ** 32 * (high - low)
+                codes = np.append(codes[values[f][codes] <= bound][-1:], 0)
+                if high <= bound:
+                    continue
+            for code in codes[:-1]:
+                left = x[:, f] <= code
+                if min(left.sum(), (~left).sum()) < g.min_leaf:
+                    continue
+                lw, ls = float(w[left].sum()), float((w * y)[left].sum())
+                gain = ls * ls / lw + (s - ls) ** 2 / (n - lw) - float(s) * s / n
+                if best is None or gain > best[0]:
+                    best = gain, int(f), int(code)
+        if best is not None:
+            break
+    if best is None or best[0] <= 1e-11 * (w * y.astype(float) * y).sum():
+        return node
+    left, below = x[:, best[1]] <= best[2], T.child_paths(paths)
+    return node | {"feature": best[1], "code": best[2], "gain": best[0], "children": [
+        plain_subset_tree(x[m], y[m], w[m], values, g, int(b[0]), depth + 1) for m, b in zip((left, ~left), below, strict=True)]}
+
+
+@pytest.mark.parametrize("g", [T.Growth(max_depth=8, features=3, min_split=5, min_leaf=2, bootstrap=True), T.Growth(features=2, min_leaf=3, sample=0.8),
+                               T.Growth(max_depth=7, features=3, random_split=True), T.Growth(features=1, bootstrap=True, min_split=4)])
+@pytest.mark.parametrize("size, sliced", [(1.0, 200), (1e8, 200), (1.0, 0), (1.0, 1 << 40)])
+def test_growth_on_subsets_of_the_features(monkeypatch, g, size, sliced):
+    """The greedy tree over each node's own features; flags (more than one word of them) and other features, one that is constant."""
+    monkeypatch.setattr(T, "SLICED_ROWS", sliced)
+    rng = np.random.default_rng(8)
+    n, widths = 1200, (60, 1, 7, 3, *[2] * 70)
+    x = np.stack([rng.integers(0, k, n) for k in widths[:4]] + [rng.random(n) < share for share in np.linspace(0, 1, 70)], 1).astype(np.uint8)
+    y = T.integer(size * (x[:, 0] * 0.1 + x[:, 2] * x[:, 30] - 2 * x[:, 40] + rng.normal(size=n)))
+    values = [np.cumsum(rng.random(k)) for k in widths]
+    w, ends = T.weights(np.arange(n), 3, g), np.full(n, -1)
+    nodes = T.grown(T.Codes(x, g), y, w, 7, 0, values, g, ends)
+    u = w > 0
+    same(nodes, 0, plain_subset_tree(x[u], y[u], w[u], values, g, 7))
+    assert (ends[u] == T.descend(nodes, x[u])).all() and (ends[~u] == -1).all()
+    assert (T.descend(nodes, np.asfortranarray(x), np.flatnonzero(u)) == ends[u]).all()
+
+
+def test_flags_of_a_subset_are_not_counted_row_by_row(monkeypatch):
+    """Of features with two codes no node counts its rows; only those with the rarer code are added up."""
+    rng = np.random.default_rng(9)
+    n, g = 2000, T.Growth(max_depth=6, features=3, bootstrap=True)
+    x = (rng.random((n, 12)) < 0.1).astype(np.uint8)
+    y, w = T.integer(x[:, 0] + 2 * x[:, 1] * x[:, 2] + rng.normal(size=n)), T.weights(np.arange(n), 1, g)
+    counted, plain = [], np.bincount
+
+    def bincount(group, weights=None, minlength=0):
+        counted.append(len(group))
+        return plain(group, weights, minlength)
+
+    monkeypatch.setattr(np, "bincount", bincount)
+    nodes = T.grown(x, y, w, 7, 0, [np.arange(2.0)] * 12, g)
+    assert len(nodes) > 20 and sum(counted) < n
+
+
+def test_no_rows_on_subsets():
+    nodes = T.grown(np.zeros((5, 4), np.uint8), np.arange(5), np.zeros(5, np.int64), 7, 0, [np.arange(2.0)] * 4, T.Growth(features=2))
+    assert len(nodes) == 1 and nodes["rows"][0] == 0 and nodes["feature"][0] == -1
