@@ -323,3 +323,24 @@ def test_flags_of_a_subset_are_not_counted_row_by_row(monkeypatch):
 def test_no_rows_on_subsets():
     nodes = T.grown(np.zeros((5, 4), np.uint8), np.arange(5), np.zeros(5, np.int64), 7, 0, [np.arange(2.0)] * 4, T.Growth(features=2))
     assert len(nodes) == 1 and nodes["rows"][0] == 0 and nodes["feature"][0] == -1
+
+
+@pytest.mark.parametrize("g", [T.Growth(max_depth=3), T.Growth(max_depth=5, features=1, sample=0.8, min_split=4), T.Growth(max_depth=4, min_leaf=3, sample=0.7)])
+def test_large_shallow_boosting_deals_no_rows(spark, monkeypatch, g):
+    """Fits beyond the bound grow shallow trees by passes over the rows, never by dealing them; the trees are those of one task."""
+    matrix, values = _matrix(_rows(spark))
+    near, one = T.fit_boosting(matrix, [-1, 0, 3], values, 4, 0.3, g)
+
+    def dealt(*args, **kwargs):
+        raise AssertionError("rows are dealt to nodes")
+
+    monkeypatch.setattr(T, "grow", dealt)
+    passes, plain = [], T._look
+    monkeypatch.setattr(T, "_look", lambda *args: passes.append(len(args[5])) or plain(*args))
+    far, many = T.fit_boosting(matrix, [-1, 0, 3], values, 4, 0.3, g, finish_rows=20)
+    assert passes and {len(n) for n in one.trees[0]} == {len(n) for n in many.trees[0]}
+    for fit in (-1, 0, 3):
+        for a, b in zip(one.trees[fit], many.trees[fit], strict=True):
+            assert sorted(map(tuple, a[["feature", "code", "depth", "rows", "weight"]])) == sorted(map(tuple, b[["feature", "code", "depth", "rows", "weight"]]))
+    a, b = (sorted(map(tuple, f.collect())) for f in (near, far))
+    assert [r[:3] for r in a] == [r[:3] for r in b] and [r[3] for r in a] == pytest.approx([r[3] for r in b], rel=1e-9)
